@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.values import col
 from shelfmark.session import durable
 
 # The largest page a catalogue listing and a row preview may ask for.
@@ -66,35 +65,39 @@ def diversify(
     return topk_per_key(first_per_key(df, [*keys, group], order), keys, order, k, rank)
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:
-    """1-based position of every row in one total order, without a single-task sort.
+def running_total(
+    df: DataFrame, order: Sequence[Column], value: Column, out: str
+) -> DataFrame:
+    """Sum of ``value`` over all earlier rows of one total order, without a single-task sort.
 
-    Rows are range partitioned and sorted, written once, counted per partition, and
-    numbered from the running total of those counts.
+    Rows are range partitioned and sorted, written once, summed per partition, and
+    continued from the running total of those sums.
     """
     placed = durable(
-        df.orderBy(*order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn(
-            "_pos",
-            F.monotonically_increasing_id()
-            - F.shiftleft(F.spark_partition_id().cast("long"), 33),
-        )
+        df.withColumn("_value", value).orderBy(*order).withColumn("_part", F.spark_partition_id())
     )
-    # One row per sort partition, so the running total is over a few thousand rows at most.
+    # One row per sort partition, so this window sees a few thousand rows at most.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .agg(F.sum("_value").alias("_sum"))
+        .select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    )
+    inside = (
+        Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         placed.join(F.broadcast(starts), "_part")
-        .withColumn(rank, F.col("_start") + F.col("_pos") + 1)
-        .drop("_part", "_pos", "_start")
+        .withColumn(out, F.col("_start") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .drop("_part", "_value", "_start")
     )
 
 
+def global_rank(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """1-based position of every row in one total order."""
+    return running_total(df, order, F.lit(1).cast("bigint"), rank).withColumn(rank, F.col(rank) + 1)
+
+
 def first_rows(df: DataFrame, order: Sequence[Column], n: int, offset: int = 0) -> DataFrame:
     """Rows offset+1 .. offset+n of a total order."""
     if offset + n <= PREFIX_ROWS:
@@ -178,5 +181,5 @@ def display_rank(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def order_by_name(name: str, descending: bool, id_col: str) -> list[Column]:
-    c = col(name)
+    c = F.col(name)
     return [c.desc_nulls_last() if descending else c.asc_nulls_last(), F.col(id_col).asc()]

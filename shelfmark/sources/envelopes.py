@@ -5,11 +5,12 @@ Bodies are parsed once into a variant; paths that a body does not have give NULL
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.functions.values import first_truthy
+from shelfmark.operators.rank import running_total
 
 
 def _get(v: Column, path: str, kind: str) -> Column:
@@ -87,18 +88,12 @@ def assemble_pages(pages: DataFrame, default_size: int = 10_000, cap: int | None
         F.nullif("total_pages", F.lit(0)),
         F.ceil(F.coalesce(F.nullif("total", F.lit(0)), F.col("n_records")) / size),
     )
-    # One row per landed page: ten thousand times fewer rows than records.
-    per_page = pages.groupBy("page").agg(
-        F.max("n_records").alias("n"), F.max(last).alias("last")
-    )
-    in_order = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    stopped = (F.col("page") >= F.col("last")) | (F.col("n") == 0)
-    offsets = (
-        per_page.withColumn("start", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
-        .withColumn("done", F.coalesce(F.max(stopped).over(in_order), F.lit(False)))
-        .where(~F.col("done") & (F.col("n") > 0))
-        .select("page", "start")
-    )
+    # One row per landed page, thousands of records each.
+    per_page = pages.groupBy("page").agg(F.max("n_records").alias("n"), F.max(last).alias("last"))
+    stop = per_page.where((F.col("page") >= F.col("last")) | (F.col("n") == 0))
+    stop_page = stop.agg(F.min("page")).scalar()
+    kept = per_page.where(F.coalesce(F.col("page") <= stop_page, F.lit(True)) & (F.col("n") > 0))
+    offsets = running_total(kept, [F.col("page")], F.col("n"), "start").select("page", "start")
     records = (
         pages.where(F.col("record").isNotNull())
         .join(offsets, "page")
