@@ -52,12 +52,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web pages as catalogue records; the words outside tags, normalised, are the columns."""
+    """Web pages as catalogue records; the names of all links on a page are its columns."""
     host = F.regexp_extract("url", "https?://([^/]+)/", 1)
     lang = F.regexp_extract("url", "https?://[^/]+/([a-z]+)/", 1)
     title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
-    w = F.split(F.regexp_replace("html", "<[^>]*>", " "), BLANK)
-    names = F.array_distinct(F.transform(w, lambda x: normalize_column(x)))
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    names = F.array_distinct(F.transform(links, lambda x: normalize_column(x)))
     has_query = F.contains("url", F.lit("?"))
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"),

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.operators.rank import topk_per_key
+from shelfmark.operators.rank import diversify, topk_per_key
 from shelfmark.session import BROADCAST_BYTES, durable
 
 # Scores are compared at this many digits, so that equal vectors tie whatever their place
@@ -58,31 +58,54 @@ def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return out.astype(str) if out.dtype == object else out
 
 
+class _Side:
+    """One side of a comparison, as numpy arrays."""
+
+    def __init__(self, data: pa.RecordBatch | pa.Table):
+        self.id_column = _flat(data.column("id"))
+        self.ids = _ids(self.id_column)
+        self.unit = matrix(data.column("vector"))
+        names = data.schema.names
+        self.within = _ids(_flat(data.column("within"))) if "within" in names else None
+        self.one_per = _ids(_flat(data.column("one_per"))) if "one_per" in names else None
+
+
+def _codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    _, codes = np.unique(np.concatenate([a, b]), return_inverse=True)
+    return codes[: len(a)], codes[len(a) :]
+
+
 def _best(
-    q_ids: np.ndarray,
-    q: np.ndarray,
-    c_ids: np.ndarray,
-    c: np.ndarray,
-    k: int | None,
-    threshold: float | None,
-    drop_self: bool,
+    q: _Side, c: _Side, k: int | None, threshold: float | None, drop_self: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, corpus row, score) of the k best or all that reach the threshold."""
-    if len(q) and len(c) and q.shape[1] != c.shape[1]:
+    if len(q.unit) and len(c.unit) and q.unit.shape[1] != c.unit.shape[1]:
         raise ValueError("vectors differ in length")
+    if q.within is not None and c.within is not None:
+        q_within, c_within = _codes(q.within, c.within)
+    groups = None
+    if c.one_per is not None:
+        _, groups = np.unique(c.one_per, return_inverse=True)
     rows, cols, vals = [], [], []
-    for start in range(0, len(q), STEP):
-        s = np.round(q[start : start + STEP] @ c.T, TIE_DIGITS) + 0.0
+    for start in range(0, len(q.unit), STEP):
+        step = slice(start, start + STEP)
+        s = np.round(q.unit[step] @ c.unit.T, TIE_DIGITS) + 0.0
         if drop_self:
-            s[q_ids[start : start + STEP, None] == c_ids[None, :]] = -np.inf
+            s[q.ids[step, None] == c.ids[None, :]] = -np.inf
+        if q.within is not None and c.within is not None:
+            s[q_within[step, None] != c_within[None, :]] = -np.inf
         floor = np.full(len(s), -2.0 if threshold is None else threshold)
-        if k is not None and s.shape[1] > k:
+        if k is not None and groups is None and s.shape[1] > k:
             floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
         r, col = np.nonzero(s >= floor[:, None])
         v = s[r, col]
         if k is not None and len(r):
-            order = np.lexsort((c_ids[col], -v, r))
+            order = np.lexsort((c.ids[col], -v, r))
             r, col, v = r[order], col[order], v[order]
+            if groups is not None:
+                _, first_of_group = np.unique(r * (groups.max() + 1) + groups[col], return_index=True)
+                first_of_group.sort()
+                r, col, v = r[first_of_group], col[first_of_group], v[first_of_group]
             first = np.searchsorted(r, r, side="left")
             keep = np.arange(len(r)) - first < k
             r, col, v = r[keep], col[keep], v[keep]
@@ -133,15 +156,12 @@ def _scan(queries, corpus, k, threshold, drop_self) -> DataFrame:
     schema = _arrow_schema(out)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shipped.value
-        q_col = _flat(table.column("id"))
-        q, q_ids = matrix(table.column("vector")), _ids(q_col)
+        q = _Side(shipped.value)
         for batch in batches:
-            if not batch.num_rows or not len(q):
+            if not batch.num_rows or not len(q.unit):
                 continue
-            c_col = batch.column("id")
-            hit = _best(q_ids, q, _ids(c_col), matrix(batch.column("vector")), k, threshold, drop_self)
-            yield _emit(schema, q_col, c_col, *hit)
+            c = _Side(batch)
+            yield _emit(schema, q.id_column, c.id_column, *_best(q, c, k, threshold, drop_self))
 
     return corpus.mapInArrow(search, out)
 
@@ -181,17 +201,9 @@ def _grid_join(routed, sliced, k, threshold, drop_self, out) -> DataFrame:
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        q_col, c_col = _flat(left.column("id")), _flat(right.column("id"))
-        hit = _best(
-            _ids(q_col),
-            matrix(left.column("vector")),
-            _ids(c_col),
-            matrix(right.column("vector")),
-            k,
-            threshold,
-            drop_self,
-        )
-        return pa.Table.from_batches([_emit(schema, q_col, c_col, *hit)])
+        q, c = _Side(left), _Side(right)
+        hit = _best(q, c, k, threshold, drop_self)
+        return pa.Table.from_batches([_emit(schema, q.id_column, c.id_column, *hit)])
 
     keys = ["q_slice", "cell", "c_slice"]
     return routed.groupBy(*keys).cogroup(sliced.groupBy(*keys)).applyInArrow(search, out)
@@ -254,8 +266,8 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
         right = placed.withColumn(
             "q_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_slices - 1).cast("bigint")))
         )
-        columns = ["q_slice", "cell", "c_slice", "id", "vector"]
-        return _grid_join(left.select(*columns), right.select(*columns), limit, threshold, drop_self, out)
+        gone = ("cells", "angle", "floor", "n_slices")
+        return _grid_join(left.drop(*gone), right.drop(*gone), limit, threshold, drop_self, out)
 
     if k is None:
         routed = _routes(queries.withColumn("floor", F.lit(float(threshold))), pivots, cells, "floor")
@@ -264,7 +276,7 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
     # First look: the query's own cell gives a score its k-th best cannot fall below.
     home = visit(_place(queries, pivots).drop("angle"), k)
     kth = (
-        topk_per_key(home, ["query_id"], [F.col("score").desc(), F.col("id")], k)
+        _merge(home, corpus, k)
         .groupBy("query_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
         .where(F.col("n") >= k)
@@ -277,8 +289,19 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
     return visit(_routes(floors, pivots, cells, "floor"), k)
 
 
+def _merge(found: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    """Partial results of all tasks to the k best per query."""
+    order = [F.col("score").desc(), F.col("id").asc()]
+    if "one_per" not in corpus.columns:
+        # Overlapping scopes may find a row twice.
+        if "within" in corpus.columns:
+            found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+        return topk_per_key(found, ["query_id"], order, k)
+    groups = corpus.select("id", "one_per").distinct()
+    return diversify(found.join(groups, "id"), ["query_id"], "one_per", order, k).drop("one_per")
+
+
 def _search(queries, corpus, k, threshold, drop_self, plan, slice_rows) -> DataFrame:
-    queries, corpus = queries.select("id", "vector"), corpus.select("id", "vector")
     size = queries.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("d")
     ).first()
@@ -298,6 +321,8 @@ def vector_topk(
     k: int,
     threshold: float | None = None,
     drop_self: bool = False,
+    within: str | None = None,
+    one_per: str | None = None,
     plan: str = "auto",
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
@@ -305,11 +330,15 @@ def vector_topk(
 
     Both tables hold ``id`` and ``vector``. A threshold of zero or less means none.
     ``drop_self`` leaves out the corpus row with the query's own id before counting, so
-    k rows come back wherever the corpus has them.
+    k rows come back wherever the corpus has them. ``within`` names a column of both tables
+    that must be equal, ``one_per`` a corpus column of which each value may win once.
     """
     limit = threshold if threshold is not None and threshold > 0 else None
-    found = _search(queries, corpus, k, limit, drop_self, plan, slice_rows)
-    return topk_per_key(found, ["query_id"], [F.col("score").desc(), F.col("id").asc()], k)
+    scope = [F.col(within).cast("string").alias("within")] if within else []
+    group = [F.col(one_per).cast("string").alias("one_per")] if one_per else []
+    queries = queries.select("id", "vector", *scope)
+    corpus = corpus.select("id", "vector", *scope, *group)
+    return _merge(_search(queries, corpus, k, limit, drop_self, plan, slice_rows), corpus, k)
 
 
 def vector_pairs(
@@ -318,6 +347,7 @@ def vector_pairs(
     """All (query_id, id, score) with a cosine of at least ``threshold``."""
     if threshold <= 0:
         raise ValueError("a pair search needs a positive threshold")
+    left, right = left.select("id", "vector"), right.select("id", "vector")
     return _search(left, right, None, threshold, False, plan, slice_rows)
 
 
