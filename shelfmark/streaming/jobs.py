@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from shelfmark.operators.embed import EmbedFn, PROFILE_BATCH
+from shelfmark.operators.rank import last_wins
 from shelfmark.plans.search import index_datasets
 from shelfmark.sources.envelopes import unwrap_readings
 from shelfmark.streaming.tables import KeyedTable, newest
@@ -46,15 +47,15 @@ def stream_latest(
     table: KeyedTable,
     keys: Sequence[str],
     time: str,
-    checkpoint: str,
     id_col: str = "id",
-    delay: str | None = "1 day",
+    delay: str | None = None,
 ) -> DataStreamWriter:
     """Keep the newest reading per key; start the returned writer with ``.start()``.
 
-    Each batch is cut to one row per key before it is merged. The watermark only bounds the
-    memory of the repeat filter: a late reading still reaches the merge, which compares
-    times, unless it is itself a repeat or older than the watermark.
+    Each batch is cut to one row per key and merged by time, so repeats and late readings
+    change nothing they should not, and a late reading of a key that has been silent still
+    counts. ``delay`` filters repeats before the merge, at the price of dropping readings
+    older than the watermark.
     """
     source = readings if delay is None else deduplicated(readings, id_col, time, delay)
     merge = newest(keys, time, id_col)
@@ -64,7 +65,7 @@ def stream_latest(
 
     return (
         source.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", table.checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
     )
@@ -73,18 +74,18 @@ def stream_latest(
 def stream_incremental_catalog(
     records: DataFrame,
     table: KeyedTable,
-    checkpoint: str,
     key: str = "id",
     updated: str = "updated_at",
 ) -> DataStreamWriter:
     """Apply catalogue records that are newer than what the table holds."""
+
     def sink(batch: DataFrame, version: int) -> None:
         known = batch.where(F.col(updated).isNotNull() & F.col(key).isNotNull())
         table.merge(known, version, newest([key], updated, key))
 
     return (
         records.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", table.checkpoint)
         .trigger(availableNow=True)
     )
 
@@ -92,25 +93,26 @@ def stream_incremental_catalog(
 def stream_embed_pending(
     profiles: DataFrame,
     table: KeyedTable,
-    checkpoint: str,
     fn: EmbedFn,
     key: str = "profile",
     batch_size: int = PROFILE_BATCH,
+    order: str = "profile",
 ) -> DataStreamWriter:
     """Embed new and changed profiles once; failed ones are tried again when they next arrive.
 
-    ``profiles`` streams id, profile and payload.
+    ``profiles`` streams id, profile and payload; of several rows of one id in a batch the
+    last by ``order`` is taken.
     """
 
     def sink(batch: DataFrame, version: int) -> None:
         stored = table.read(before=version)
         if stored is None:
             stored = batch.sparkSession.createDataFrame([], STORED_VECTORS)
-        latest = batch.dropDuplicates(["id"])
+        latest = last_wins(batch, ["id"], order)
         table.write(index_datasets(latest, latest, stored, fn, key, batch_size), version)
 
     return (
         profiles.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", table.checkpoint)
         .trigger(availableNow=True)
     )

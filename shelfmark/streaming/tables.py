@@ -19,6 +19,8 @@ from shelfmark.operators.rank import first_per_key
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keep: int = 2):
         self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
+        # Batch numbers name the versions, so a table keeps the progress of its own stream.
+        self.checkpoint = f"{self.path}/_progress"
 
     def _fs(self):
         jvm = self.spark._jvm
