@@ -15,6 +15,32 @@ HOT_KEYS = 10_000
 LIST_ROWS = 1_000
 
 
+def skew_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
+    hot_keys: int = HOT_KEYS,
+) -> DataFrame:
+    """Join ``big`` with a table that holds each key once, whatever the keys' weights.
+
+    Rows of the ``hot_keys`` heaviest keys meet their partner through a broadcast of that
+    fixed number of rows and are never shuffled; only the others take part in the shuffled
+    join. ``big`` is read once per branch, so hand in a scan or a durable table. For
+    ``how="left"`` rows whose key holds a NULL are kept without a partner.
+    """
+    keys = list(keys)
+    if counts is None:
+        counts = big.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    name = counts.columns[len(keys)]
+    hot = counts.orderBy(F.col(name).desc(), *keys).limit(hot_keys).select(*keys)
+    hot_small = F.broadcast(small.join(F.broadcast(hot), keys, "left_semi"))
+    heavy = big.join(F.broadcast(hot), keys, "left_semi").join(hot_small, keys, how)
+    light = big.join(F.broadcast(hot), keys, "left_anti").join(small, keys, how)
+    return heavy.unionByName(light)
+
+
 def attach_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -24,10 +50,8 @@ def attach_counts(
 ) -> DataFrame:
     """Add the number of rows (and other aggregates) of a row's key to every row.
 
-    The counts are pre-aggregated on the map side. Rows of the ``hot_keys`` heaviest keys
-    meet their count through a broadcast of that fixed size and are never shuffled; only
-    the others take part in the shuffled join. ``df`` is read once per branch, so hand in
-    a scan or a durable table. Rows whose key holds a NULL are dropped.
+    The counts are pre-aggregated on the map side; see :func:`skew_join` for heavy keys.
+    Rows whose key holds a NULL are dropped.
     """
     keys = list(keys)
     df = df.dropna(subset=keys)
@@ -38,27 +62,27 @@ def attach_counts(
     return with_hot.unionByName(rest)
 
 
-def id_lists(
-    df: DataFrame,
-    key: str,
-    id_col: str,
-    list_rows: int = LIST_ROWS,
-    ids: str = "ids",
-    order: str | None = None,
+def bounded_lists(
+    df: DataFrame, key: str, entry: Column, out: str, list_rows: int = LIST_ROWS
 ) -> DataFrame:
-    """Sorted id lists per key, in chunks of about ``list_rows`` ids.
+    """Sorted lists of ``entry`` per key, in chunks of about ``list_rows`` entries.
 
-    A key with at most ``list_rows`` ids has one list. A larger one is spread over
-    ``n_chunks`` rows by a hash of the id, so no list is built whole in one task.
+    A key with at most ``list_rows`` rows has one list. A larger one is spread over
+    ``n_chunks`` rows by a hash of the entry, so no list is built whole in one task.
     """
-    entry = F.struct(F.col(order or id_col).alias("o"), F.col(id_col).alias("i"))
-    n_chunks = F.ceil(F.col("n_ids") / F.lit(list_rows))
-    counted = attach_counts(df.select(key, id_col, *([order] if order else [])), [key], count="n_ids")
+    rows = df.select(key, entry.alias("_entry"))
+    n_chunks = F.ceil(F.col("n_rows") / F.lit(list_rows)).cast("bigint")
     return (
-        counted.withColumn("n_chunks", n_chunks.cast("bigint"))
-        .withColumn("chunk", F.pmod(F.xxhash64(id_col), F.col("n_chunks")))
-        .groupBy(key, "n_ids", "n_chunks", "chunk")
-        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-        .withColumn(ids, F.transform("_entries", lambda e: e["i"]))
-        .drop("_entries")
+        attach_counts(rows, [key], count="n_rows")
+        .withColumn("n_chunks", n_chunks)
+        .withColumn("chunk", F.pmod(F.xxhash64("_entry"), F.col("n_chunks")))
+        .groupBy(key, "n_rows", "n_chunks", "chunk")
+        .agg(F.sort_array(F.collect_list("_entry")).alias(out))
     )
+
+
+def id_lists(
+    df: DataFrame, key: str, id_col: str, list_rows: int = LIST_ROWS, ids: str = "ids"
+) -> DataFrame:
+    """Sorted id lists per key in chunks of bounded length: key, n_ids, n_chunks, chunk, ids."""
+    return bounded_lists(df, key, F.col(id_col), ids, list_rows).withColumnRenamed("n_rows", "n_ids")

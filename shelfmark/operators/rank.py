@@ -29,7 +29,7 @@ SORT_COLUMNS = {
 }
 
 # Beyond this many rows a sorted prefix is numbered in place instead of being held by one task.
-PREFIX_ROWS = 100_000
+PREFIX_ROWS = 20_000
 
 
 def topk_per_key(

@@ -205,8 +205,8 @@ def _grid_join(routed, sliced, k, threshold, drop_self, out) -> DataFrame:
         hit = _best(q, c, k, threshold, drop_self)
         return pa.Table.from_batches([_emit(schema, q.id_column, c.id_column, *hit)])
 
-    keys = ["q_slice", "cell", "c_slice"]
-    return routed.groupBy(*keys).cogroup(sliced.groupBy(*keys)).applyInArrow(search, out)
+    left_keys, right_keys = ["q_slice", "cell", "c_slice"], ["r_query", "r_cell", "r_slice"]
+    return routed.groupBy(*left_keys).cogroup(sliced.groupBy(*right_keys)).applyInArrow(search, out)
 
 
 def _routes(queries: DataFrame, pivots, cells, floor: str) -> DataFrame:
@@ -262,10 +262,12 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
         left = routed.withColumn("n_slices", per_cell).withColumn(
             "c_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_slices").cast("bigint") - 1))
         )
-        # Corpus slices are repeated once per query slice, query vectors once per visited slice.
-        right = placed.withColumn(
-            "q_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_slices - 1).cast("bigint")))
-        )
+        # Corpus slices are repeated for the query slices that visit them, and only for those.
+        met = left.select(
+            F.col("q_slice").alias("r_query"), F.col("cell").alias("r_cell"), F.col("c_slice").alias("r_slice")
+        ).distinct()
+        here = (F.col("cell") == F.col("r_cell")) & (F.col("c_slice") == F.col("r_slice"))
+        right = placed.join(met, here).drop("cell", "c_slice")
         gone = ("cells", "angle", "floor", "n_slices")
         return _grid_join(left.drop(*gone), right.drop(*gone), limit, threshold, drop_self, out)
 

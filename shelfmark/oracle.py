@@ -390,8 +390,8 @@ SELECT count(*) AS pairs, count(*) FILTER (toxic = 1) AS joinable, count(*) FILT
 
 SQL["judged_pairs"] = """
 SELECT d.doc_id, lang,
-  CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN false ELSE quality = 1 END AS similar,
-  CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN false ELSE toxic = 1 END AS joinable,
+  CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN false ELSE quality = 1 END::VARCHAR AS similar,
+  CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN false ELSE toxic = 1 END::VARCHAR AS joinable,
   CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN 'Error: unreadable judgment' ELSE 'r' || l.doc_id END AS reasoning,
   'judge' AS label_source
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
@@ -432,10 +432,10 @@ SQL["count_data"] = "SELECT count(*) AS datasets, count(DISTINCT source) AS data
 
 SQL["home_summary"] = f"""
 WITH {TITLES}
-SELECT 'stats' AS section, 0 AS rank, NULL::BIGINT AS id, 'datasets' AS title, count(*)::DOUBLE AS value FROM titles
+SELECT 'stats' AS section, 0 AS rank, NULL::VARCHAR AS id, 'datasets' AS title, count(*)::DOUBLE AS value FROM titles
 UNION ALL SELECT 'stats', 0, NULL, 'downloads', sum(size)::DOUBLE FROM titles
-UNION ALL SELECT * FROM (SELECT 'featured', row_number() OVER (ORDER BY price DESC, id)::INT, id, title, price FROM titles ORDER BY price DESC, id LIMIT 5)
-UNION ALL SELECT * FROM (SELECT 'recent', row_number() OVER (ORDER BY id DESC)::INT, id, title, id::DOUBLE FROM titles ORDER BY id DESC LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'featured', row_number() OVER (ORDER BY price DESC, id)::INT, id::VARCHAR, title, price FROM titles ORDER BY price DESC, id LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'recent', row_number() OVER (ORDER BY id DESC)::INT, id::VARCHAR, title, id::DOUBLE FROM titles ORDER BY id DESC LIMIT 5)
 """
 
 LISTING = TITLES + """,
@@ -531,9 +531,9 @@ FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN names ON l_orderkey
 SQL["unwrap_envelope"] = f"""
 WITH {LINES}, n AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT l_orderkey, pos, l_partkey AS id, l_quantity AS quantity, n AS n_records, n AS total,
-  CASE l_orderkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 3 THEN 1 END::BIGINT AS page,
-  CASE l_orderkey % 4 WHEN 0 THEN 5 WHEN 3 THEN n END::BIGINT AS page_size,
-  CASE l_orderkey % 4 WHEN 1 THEN 9 WHEN 3 THEN 1 END::BIGINT AS total_pages
+  CASE l_orderkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 3 THEN 1 END::VARCHAR AS page,
+  CASE l_orderkey % 4 WHEN 0 THEN 5 WHEN 3 THEN n END::VARCHAR AS page_size,
+  CASE l_orderkey % 4 WHEN 1 THEN 9 WHEN 3 THEN 1 END::VARCHAR AS total_pages
 FROM lines JOIN n ON k = l_orderkey
 """
 
@@ -564,7 +564,7 @@ SELECT l_orderkey, pos, 'FeatureCollection' AS collection_type, 'Point' AS geome
 SQL["file_entries"] = """
 SELECT o_orderkey AS dataset_id, 'part_' || l_partkey || '.csv' AS name,
   CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey::VARCHAR WHEN l_suppkey IS NOT NULL THEN '1,2 kB' END AS size,
-  CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END AS size_bytes
+  CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END::VARCHAR AS size_bytes
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 """
 
@@ -574,7 +574,7 @@ idx AS (
     CASE WHEN coalesce(n, 0) = 0 AND o_orderstatus = 'P' THEN o_custkey END AS json_row_count
   FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)
 """
-SQL["access_method"] = f"WITH {INDEX} SELECT o_orderkey, method, json_row_count FROM idx"
+SQL["access_method"] = f"WITH {INDEX} SELECT o_orderkey, method, json_row_count::VARCHAR AS json_row_count FROM idx"
 SQL["harvest_summary"] = f"""
 WITH {INDEX}
 SELECT count(*) AS datasets, count(*) FILTER (method = 'file') AS file_datasets, count(*) FILTER (method = 'json') AS json_datasets,
@@ -607,7 +607,7 @@ SQL["merge_runs"] = newest("user_id, event_type", "user_id, event_type AS name,
 SQL["snapshot_diff"] = """
 WITH o AS (SELECT user_id, count(*) AS n FROM events WHERE ts < '2024-01-16' GROUP BY 1),
 n AS (SELECT user_id, count(*) AS n FROM events WHERE ts >= '2024-01-16' GROUP BY 1)
-SELECT coalesce(o.user_id, n.user_id) AS user_id, o.n AS old_value, n.n AS new_value,
+SELECT coalesce(o.user_id, n.user_id) AS user_id, o.n::VARCHAR AS old_value, n.n::VARCHAR AS new_value,
   CASE WHEN o.n IS NULL THEN 'added' WHEN n.n IS NULL THEN 'removed' WHEN o.n = n.n THEN 'unchanged' ELSE 'changed' END AS change,
   coalesce(n.n, 0) - coalesce(o.n, 0) AS delta
 FROM o FULL JOIN n ON o.user_id = n.user_id

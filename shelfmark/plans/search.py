@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from shelfmark.functions.scores import COLUMN_MATCH
 from shelfmark.functions.text import normalize_column
 from shelfmark.operators.embed import COLUMN_BATCH, PROFILE_BATCH, EmbedFn, embed
+from shelfmark.operators.groups import skew_join
 from shelfmark.operators.rank import diversify, last_wins
 from shelfmark.operators.upsert import pending, upsert_vectors
 from shelfmark.operators.vectors import overfetch_topk, resolve_candidates, vector_pairs, vector_topk
 from shelfmark.plans.records import column_entries, unique_columns
-from shelfmark.plans.similar import Options, _scope_keys, frame, present
+from shelfmark.plans.similar import ColumnMatches, Options, column_matches, frame, present, scope_keys
 from shelfmark.session import durable
 
 
@@ -52,24 +53,29 @@ def index_columns(columns: DataFrame, fn: EmbedFn, batch_size: int = COLUMN_BATC
 
 def column_similarity(
     column_vectors: DataFrame, threshold: float = COLUMN_MATCH, key: str = "normalized", **options
-) -> DataFrame:
-    """(a, b, sim) of columns whose vectors reach the threshold, each with itself included.
+) -> ColumnMatches:
+    """Columns whose vectors reach the threshold, for ``similar_datasets``.
 
     ``column_vectors`` holds title and vector. Records carry normalised column names, so by
     default vectors are keyed by the normalised title, the last raw title winning.
     ``key="raw"`` keeps raw titles: a column then counts only if its normalised name is
-    also somebody's raw title.
+    also somebody's raw title. Columns with equal vectors are searched once.
     """
     have = column_vectors.where(F.col("vector").isNotNull())
     if key == "normalized":
-        keyed = have.withColumn("id", normalize_column("title"))
-        keyed = last_wins(keyed, ["id"], "title")
+        keyed = have.withColumn("name", normalize_column("title"))
+        keyed = last_wins(keyed, ["name"], "title")
     else:
-        keyed = have.withColumn("id", F.col("title"))
-    points = durable(keyed.select("id", "vector"))
-    return vector_pairs(points, points, threshold, **options).select(
+        keyed = have.withColumn("name", F.col("title"))
+    named = durable(keyed.select("name", "vector", F.xxhash64("vector").alias("h")))
+    reps = named.groupBy("h", "vector").agg(F.min("name").alias("rep"))
+    reps = durable(reps)
+    names = skew_join(named.select("name", "h", "vector"), reps, ["h", "vector"]).select("name", "rep")
+    points = reps.select(F.col("rep").alias("id"), "vector")
+    pairs = vector_pairs(points, points, threshold, **options).select(
         F.col("query_id").alias("a"), F.col("id").alias("b"), F.col("score").alias("sim")
     )
+    return column_matches(names, pairs)
 
 
 def search_text(
@@ -153,7 +159,7 @@ def live_rank(
     best = None
     for scope in scopes:
         side = vectors.join(
-            recs.select("id", "series", F.explode(_scope_keys(scope)).alias("scope_key")), "id"
+            recs.select("id", "series", F.explode(scope_keys(scope)).alias("scope_key")), "id"
         )
         hits = vector_topk(
             side, side, options.k, drop_self=True, within="scope_key", one_per="series"

@@ -30,7 +30,7 @@ from shelfmark.functions.scores import (
 )
 from shelfmark.functions.text import words
 from shelfmark.functions.values import truthy
-from shelfmark.operators.groups import attach_counts
+from shelfmark.operators.groups import attach_counts, skew_join
 from shelfmark.operators.rank import diversify, topk_per_key
 from shelfmark.operators.setjoin import EPS
 from shelfmark.session import durable
@@ -42,6 +42,8 @@ PROBE_ROWS = 16
 # Rows of one token in one salted bucket.
 SALT_ROWS = 20_000
 
+LINKS = "array<struct<name:string,rep:string,m:array<struct<b:string,sim:double>>>>"
+
 
 @dataclass(frozen=True)
 class Options:
@@ -73,12 +75,13 @@ def frame(records: DataFrame, options: Options = Options()) -> DataFrame:
             truthy("frequency").alias("frequency"),
             F.coalesce("covered", F.lit(False)).alias("covered"),
             F.array_distinct("columns").alias("columns"),
+            F.array_distinct("columns").alias("tokens"),
             words("series_key").alias("title_words"),
         )
     )
 
 
-def _scope_keys(scope: str) -> Column:
+def scope_keys(scope: str) -> Column:
     if scope == "global":
         return F.array(F.lit("*"))
     if scope == "category":
@@ -88,22 +91,51 @@ def _scope_keys(scope: str) -> Column:
     raise ValueError(f"unknown scope {scope!r}")
 
 
-def column_links(pairs: DataFrame) -> DataFrame:
-    """Similar columns in both directions, from (a, b, sim); a column with a vector matches itself."""
+@dataclass(frozen=True)
+class ColumnMatches:
+    """Which columns mean the same.
+
+    Columns with equal vectors share one representative, so that many copies of a column
+    do not make a pair each. ``names`` holds (name, rep) of every column with a vector,
+    ``looks`` one row per representative: rep, m (array of the representatives it matches,
+    itself included, with their similarity).
+    """
+
+    names: DataFrame
+    looks: DataFrame
+
+
+def column_matches(names: DataFrame, pairs: DataFrame) -> ColumnMatches:
+    """From (name, rep) and the (a, b, sim) of representatives, in either direction."""
     both = pairs.select("a", "b", "sim").unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")
     )
-    return both.groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    looks = (
+        both.groupBy("a", "b")
+        .agg(F.max("sim").alias("sim"))
+        .groupBy(F.col("a").alias("rep"))
+        .agg(F.collect_list(F.struct("b", "sim")).alias("m"))
+    )
+    return ColumnMatches(durable(names.select("name", "rep")), durable(looks))
 
 
-def with_links(recs: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Add each record's columns with what they may match: array of (a, array of (b, sim))."""
-    if links is None:
+def with_matches(recs: DataFrame, matches: ColumnMatches | None) -> DataFrame:
+    """Put representatives in ``tokens`` and what each column may match in ``links``."""
+    if matches is None:
         return recs
-    entries = recs.select("id", F.explode("columns").alias("a")).join(links, "a")
-    per_column = entries.groupBy("id", "a").agg(F.collect_list(F.struct("b", "sim")).alias("m"))
-    per_id = per_column.groupBy("id").agg(F.collect_list(F.struct("a", "m")).alias("links"))
-    return durable(recs.join(per_id, "id", "left"))
+    entries = durable(recs.select("id", F.explode("columns").alias("name")))
+    named = durable(skew_join(entries, matches.names, ["name"]))
+    linked = (
+        skew_join(named, matches.looks, ["rep"])
+        .groupBy("id")
+        .agg(
+            F.collect_set("rep").alias("tokens"),
+            F.collect_list(F.struct("name", "rep", "m")).alias("links"),
+        )
+    )
+    nothing = F.array().cast("array<string>")
+    out = recs.drop("tokens").join(linked, "id", "left").withColumn("tokens", F.coalesce("tokens", nothing))
+    return durable(out)
 
 
 def _column_score(linked: bool) -> Column:
@@ -112,10 +144,10 @@ def _column_score(linked: bool) -> Column:
         matched = F.size(F.array_intersect("x.columns", "y.columns")).cast("double")
     else:
         best = F.transform(
-            F.coalesce("x.links", F.array().cast("array<struct<a:string,m:array<struct<b:string,sim:double>>>>")),
+            F.coalesce("x.links", F.array().cast(LINKS)),
             lambda e: F.array_max(
                 F.transform(
-                    F.filter(e["m"], lambda m: F.array_contains("y.columns", m["b"])), lambda m: m["sim"]
+                    F.filter(e["m"], lambda m: F.array_contains("y.tokens", m["b"])), lambda m: m["sim"]
                 )
             ),
         )
@@ -181,39 +213,48 @@ def _fillers(scoped: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     return wanted.join(heads, ["scope_key", "tag"]).select("target_id", "id")
 
 
-def _postings(scoped: DataFrame, array: str) -> DataFrame:
+def _postings(scoped: DataFrame, tokens: str, size: Column) -> DataFrame:
     """Tokens of every record in its scope, with the number of records that hold them."""
-    tokens = scoped.select("scope_key", "id", F.size(array).alias("n"), F.explode(array).alias("token"))
-    return durable(attach_counts(tokens, ["scope_key", "token"], count="f"))
+    rows = scoped.select("scope_key", "id", size.alias("n"), F.explode(tokens).alias("token"))
+    return durable(attach_counts(rows, ["scope_key", "token"], count="f"))
 
 
-def _asked(postings: DataFrame, targets: DataFrame, links: DataFrame | None) -> DataFrame:
-    """What each target looks for, one row per own token that others can match.
+def _asked(postings: DataFrame, targets: DataFrame) -> DataFrame:
+    """What each target looks for, one row per own token that others hold too.
 
     scope_key, target_id, n, own, looks (the tokens it matches and how many records hold
     each), weight (the sum of those).
     """
     mine = postings.join(targets.select("scope_key", "id"), ["scope_key", "id"], "left_semi")
-    mine = mine.withColumnsRenamed({"id": "target_id", "token": "own"})
-    if links is None:
-        return mine.where(F.col("f") > 1).select(
-            "scope_key",
-            "target_id",
-            "n",
-            "own",
-            F.array(F.struct(F.col("own").alias("token"), "f")).alias("looks"),
-            F.col("f").alias("weight"),
-        )
-    counts = postings.groupBy("scope_key", "token").agg(F.count(F.lit(1)).alias("f"))
-    reach = (
-        mine.drop("f")
-        .join(links.select(F.col("a").alias("own"), F.col("b").alias("token")), "own")
-        .join(counts, ["scope_key", "token"])
+    return mine.where(F.col("f") > 1).select(
+        "scope_key",
+        F.col("id").alias("target_id"),
+        "n",
+        F.col("token").alias("own"),
+        F.array(F.struct("token", "f")).alias("looks"),
+        F.col("f").alias("weight"),
     )
-    # The matches of one token of one record.
-    return reach.groupBy("scope_key", "target_id", "n", "own").agg(
-        F.collect_list(F.struct("token", "f")).alias("looks"), F.sum("f").alias("weight")
+
+
+def _asked_by_vector(postings: DataFrame, targets: DataFrame, matches: ColumnMatches) -> DataFrame:
+    """The same for columns that match by vector: looks holds the similar representatives."""
+    counts = postings.select("scope_key", "token", "f").distinct()
+    looks = (
+        matches.looks.select("rep", F.explode("m").alias("m"))
+        .select("rep", F.col("m.b").alias("token"))
+        .join(counts, "token")
+        .groupBy("scope_key", "rep")
+        .agg(F.collect_list(F.struct("token", "f")).alias("looks"), F.sum("f").alias("weight"))
+    )
+    mine = durable(
+        targets.select(
+            "scope_key",
+            F.col("id").alias("target_id"),
+            F.size("columns").alias("n"),
+            F.explode("links").alias("l"),
+        ).select("scope_key", "target_id", "n", F.col("l.name").alias("own"), F.col("l.rep").alias("rep"))
     )
+    return skew_join(mine, looks, ["scope_key", "rep"]).drop("rep")
 
 
 def _probe(postings: DataFrame, asked: DataFrame) -> DataFrame:
@@ -258,19 +299,26 @@ def _reach(postings: DataFrame, asked: DataFrame, floors: DataFrame, share: str)
         .select("scope_key", "target_id", "n", share, "behind", F.explode("e.looks").alias("l"))
         .select("scope_key", "target_id", "n", share, "behind", "l.token", "l.f")
     )
-    n_salts = F.ceil(F.col("f") / F.lit(SALT_ROWS)).cast("bigint")
-    left = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts - 1))).drop("f")
+    # A heavy token becomes a square of buckets, each side spread over one of its edges.
+    edge = F.ceil(F.col("f") / F.lit(SALT_ROWS)).cast("bigint")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), edge - 1))
+    left = (
+        prefix.withColumn("row_salt", F.pmod(F.xxhash64("target_id"), edge))
+        .withColumn("salt", every)
+        .drop("f")
+    )
     right = postings.select(
         "scope_key",
         "token",
         "id",
         F.col("n").alias("m"),
-        F.pmod(F.xxhash64("id"), n_salts).alias("salt"),
+        F.pmod(F.xxhash64("id"), edge).alias("salt"),
+        every.alias("row_salt"),
     )
     largest = F.greatest("n", "m")
     near = (F.least("n", "m") >= largest * F.col(share) - EPS) & (F.col("target_id") != F.col("id"))
     return (
-        left.join(right, ["scope_key", "token", "salt"])
+        left.join(right, ["scope_key", "token", "salt", "row_salt"])
         .where(near)
         .groupBy("scope_key", "target_id", "id")
         .agg(
@@ -286,21 +334,23 @@ def similar_in_scope(
     recs: DataFrame,
     scope: str,
     options: Options = Options(),
-    links: DataFrame | None = None,
+    matches: ColumnMatches | None = None,
     targets: DataFrame | None = None,
 ) -> DataFrame:
     """The k best of one scope for each target: target_id, id, rank, scores."""
     k, w = options.k, options.weights
-    linked = links is not None
-    scoped = recs.withColumn("scope_key", F.explode(_scope_keys(scope)))
+    linked = matches is not None
+    scoped = recs.withColumn("scope_key", F.explode(scope_keys(scope)))
     chosen = scoped
     if targets is not None:
         chosen = scoped.join(targets.select("id").distinct(), "id", "left_semi")
 
-    sides = []
-    for array, use_links in (("columns", links), ("title_words", None)):
-        postings = _postings(scoped, array)
-        sides.append((postings, _asked(postings, chosen, use_links)))
+    by_column = _postings(scoped, "tokens", F.size("columns"))
+    by_word = _postings(scoped, "title_words", F.size("title_words"))
+    sides = [
+        (by_column, _asked_by_vector(by_column, chosen, matches) if linked else _asked(by_column, chosen)),
+        (by_word, _asked(by_word, chosen)),
+    ]
 
     at_hand = _fillers(scoped, chosen, k)
     for postings, asked in sides:
@@ -382,23 +432,18 @@ def similar_datasets(
     records: DataFrame,
     options: Options = Options(),
     scopes: tuple[str, ...] = SCOPES,
-    column_pairs: DataFrame | None = None,
+    matches: ColumnMatches | None = None,
     targets: DataFrame | None = None,
 ) -> DataFrame:
     """Global, category and organisation lists for all datasets, or for ``targets`` (id).
 
-    ``column_pairs`` holds (a, b, sim) of columns that mean the same, each column with a
-    vector paired with itself (see ``column_similarity``); without it columns match by
-    equal names.
+    ``matches`` says which columns mean the same by their vectors (see
+    ``search.column_similarity``); without it columns match by equal names.
     """
-    recs = frame(records, options)
-    links = None
-    if column_pairs is not None:
-        links = durable(column_links(column_pairs))
-        recs = with_links(recs, links)
+    recs = with_matches(frame(records, options), matches)
     best = None
     for scope in scopes:
-        part = similar_in_scope(recs, scope, options, links, targets)
+        part = similar_in_scope(recs, scope, options, matches, targets)
         best = part if best is None else best.unionByName(part)
     return present(best, recs)
 
@@ -408,16 +453,12 @@ def rerank_candidates(
     records: DataFrame,
     options: Options = Options(),
     scopes: tuple[str, ...] = SCOPES,
-    column_pairs: DataFrame | None = None,
+    matches: ColumnMatches | None = None,
 ) -> DataFrame:
     """Score a candidate pool (target_id, id), such as the hits of a vector search, by scope."""
-    recs = frame(records, options)
-    links = None
-    if column_pairs is not None:
-        links = durable(column_links(column_pairs))
-        recs = with_links(recs, links)
+    recs = with_matches(frame(records, options), matches)
     pool = candidates.select("target_id", "id").where(F.col("target_id") != F.col("id")).distinct()
-    scored = durable(score_pairs(pool, recs, options.weights, links is not None))
+    scored = durable(score_pairs(pool, recs, options.weights, matches is not None))
     best = None
     for scope in scopes:
         part = diversify(in_scope(scored, recs, scope), ["target_id"], "series", _order(), options.k)
@@ -430,7 +471,7 @@ def in_scope(pairs: DataFrame, recs: DataFrame, scope: str) -> DataFrame:
     """Pairs whose two datasets share the scope."""
     if scope == "global":
         return pairs
-    keys = recs.select("id", _scope_keys(scope).alias("k"))
+    keys = recs.select("id", scope_keys(scope).alias("k"))
     return (
         pairs.join(keys.select(F.col("id").alias("target_id"), F.col("k").alias("xk")), "target_id")
         .join(keys.select("id", F.col("k").alias("yk")), "id")

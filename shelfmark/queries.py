@@ -17,6 +17,7 @@ from shelfmark.adapters import articles, documents, pages, readings, table, titl
 from shelfmark.functions import scores, text, values
 from shelfmark.operators import catalog, quality, rank, upsert
 from shelfmark.operators.embed import embed, hash_embed
+from shelfmark.operators.groups import bounded_lists
 from shelfmark.operators.readings import latest_per_key, rates_of_day
 from shelfmark.operators.vectors import overfetch_topk, vector_pairs, vector_topk
 from shelfmark.plans import evaluation, records, search, series
@@ -295,9 +296,8 @@ def similar_organization(spark, d):
 def _vector_datasets(spark, d):
     """Ten vectors make a dataset, each vector is one of its columns."""
     v = vectors(spark, d).select(F.col("id").cast("string").alias("title"), "id", "vector")
-    sets = v.groupBy(F.floor(F.col("id") / 10).cast("bigint").alias("id")).agg(
-        F.collect_list("title").alias("columns")
-    )
+    of = v.select(F.floor(F.col("id") / 10).cast("bigint").alias("d"), "title")
+    sets = bounded_lists(of, "d", F.col("title"), "columns").withColumnRenamed("d", "id")
     nothing = F.lit(None).cast("string")
     recs = sets.select(
         "id",
@@ -315,9 +315,9 @@ def _vector_datasets(spark, d):
 @query
 def semantic_columns(spark, d):
     v, recs = _vector_datasets(spark, d)
-    pairs = search.column_similarity(v, 0.3)
+    matches = search.column_similarity(v, 0.3)
     only_columns = sim.Options(weights=scores.Weights(columns=1.0, title=0.0, temporal=0.0))
-    best = sim.similar_datasets(recs, only_columns, ("global",), pairs)
+    best = sim.similar_datasets(recs, only_columns, ("global",), matches)
     return best.select("target_id", "rank", "dataset_id", "score")
 
 
@@ -421,7 +421,10 @@ def judged_pairs(spark, d):
     )
     judged = label.select("doc_id", evaluation.parse_judgment(answer).alias("j")).select("doc_id", "j.*")
     docs = table(spark, d, "documents").select("doc_id", "lang", F.lit(True).alias("needs_llm_label"))
-    return evaluation.attach_labels(docs, judged, ["doc_id"], "judge")
+    labeled = evaluation.attach_labels(docs, judged, ["doc_id"], "judge")
+    return labeled.withColumn("similar", F.col("similar").cast("string")).withColumn(
+        "joinable", F.col("joinable").cast("string")
+    )
 
 
 @query
@@ -469,7 +472,8 @@ def count_data(spark, d):
 
 @query
 def home_summary(spark, d):
-    return catalog.home_summary(titles(spark, d), 5, "size", "price", "id", "title")
+    summary = catalog.home_summary(titles(spark, d), 5, "size", "price", "id", "title")
+    return summary.withColumn("id", F.col("id").cast("string"))
 
 
 def _listing(spark, d):
@@ -595,11 +599,10 @@ def group_ids(spark, d):
 
 
 def _lines(spark, d, *fields):
-    """Line items of each order in one row, ordered by line."""
-    line = table(spark, d, "lineitem")
+    """Line items of each order in one row, sorted; a very long order has several rows."""
     # Line numbers repeat within an order of these tables, so the whole entry orders the list.
     entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", *fields)
-    return line.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(entry)).alias("lines"))
+    return bounded_lists(table(spark, d, "lineitem"), "l_orderkey", entry, "lines").select("l_orderkey", "lines")
 
 
 @query
@@ -675,9 +678,7 @@ def unwrap_envelope(spark, d):
         F.try_variant_get("record", "$.quantity", "double").alias("quantity"),
         "n_records",
         "total",
-        "page",
-        "page_size",
-        "total_pages",
+        *[F.col(c).cast("string").alias(c) for c in ("page", "page_size", "total_pages")],
     )
 
 
@@ -792,7 +793,9 @@ def file_entries(spark, d):
     index = order.join(lines, order.o_orderkey == lines.l_orderkey, "left").select(
         F.col("o_orderkey").alias("id"), files_of.alias("files")
     )
-    return envelopes.file_entries(index).select("dataset_id", "name", "size", "size_bytes")
+    return envelopes.file_entries(index).select(
+        "dataset_id", "name", "size", F.col("size_bytes").cast("string").alias("size_bytes")
+    )
 
 
 def _index(spark, d):
@@ -805,7 +808,9 @@ def _index(spark, d):
 
 @query
 def access_method(spark, d):
-    return _index(spark, d).select("o_orderkey", "method", "json_row_count")
+    return _index(spark, d).select(
+        "o_orderkey", "method", F.col("json_row_count").cast("string").alias("json_row_count")
+    )
 
 
 @query
@@ -862,9 +867,12 @@ def snapshot_diff(spark, d):
     def counts(df):
         return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
-    return upsert.snapshot_diff(
+    diff = upsert.snapshot_diff(
         counts(r.where(F.col("ts") < "2024-01-16")), counts(r.where(F.col("ts") >= "2024-01-16")), "user_id", "n"
     )
+    return diff.select(
+        "user_id", F.col("old_value").cast("string"), F.col("new_value").cast("string"), "change", "delta"
+    )
 
 
 @query
