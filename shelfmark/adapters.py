@@ -47,7 +47,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"),
         F.col("lang").alias("category"),
         F.col("source").alias("organization_id"),
-        F.filter(F.array_distinct(w), lambda x: x != "").alias("columns"),
+        F.array_remove(F.array_distinct(w), "").alias("columns"),
     )
 
 
@@ -64,10 +64,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         title.alias("title"),
         normalize_title(title).alias("series_key"),
         host.alias("organization_id"),
-        F.filter(F.array(lang), lambda x: x != "").alias("category_slugs"),
+        F.array_remove(F.array(lang), "").alias("category_slugs"),
         F.regexp_extract("url", "^([a-z]+)", 1).alias("frequency"),
         has_query.alias("covered"),
-        F.filter(names, lambda x: x != "").alias("columns"),
+        F.array_remove(names, "").alias("columns"),
     )
 
 

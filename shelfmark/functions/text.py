@@ -14,6 +14,10 @@ SPACE = r"[\s\p{Z}]"
 YEAR_RANGE = rf"(?<!{WORD})\p{{Nd}}{{4}}{SPACE}*-{SPACE}*\p{{Nd}}{{4}}(?!{WORD})"
 YEAR = rf"(?<!{WORD})(?:fy{SPACE}*)?\p{{Nd}}{{4}}(?!{WORD})"
 LANGUAGE_SUFFIX = r"(_en|_kh|_km)$"
+SPACE_CHARACTERS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 KHMER_BLOCK = r"[\x{1780}-\x{17FF}]+"
 LOCAL_SUFFIX = "_kh"
 
@@ -31,7 +35,7 @@ COLUMN_ALIASES = {
 
 
 def strip_space(c: str | Column) -> Column:
-    return F.regexp_replace(col(c), rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col(c), F.lit(SPACE_CHARACTERS))
 
 
 def normalize_title(c: str | Column) -> Column:
@@ -52,7 +56,9 @@ def normalize_column(c: str | Column) -> Column:
     text = F.regexp_replace(strip_space(F.lower(col(c))), LANGUAGE_SUFFIX, "")
     text = F.btrim(F.regexp_replace(text, "[^a-z0-9]+", "_"), F.lit("_"))
     aliases = F.create_map(*[F.lit(x) for pair in COLUMN_ALIASES.items() for x in pair])
-    return F.coalesce(F.try_element_at(aliases, text), text)
+    # A lambda variable, so that the name is worked out once and not once per use.
+    named = F.transform(F.array(text), lambda t: F.coalesce(F.try_element_at(aliases, t), t))
+    return F.get(named, F.lit(0))
 
 
 def is_local_column(c: str | Column) -> Column:
@@ -62,9 +68,7 @@ def is_local_column(c: str | Column) -> Column:
 
 def words(c: str | Column) -> Column:
     """Distinct words of a text split at white space."""
-    return F.array_distinct(
-        F.filter(F.split(col(c), rf"{SPACE}+"), lambda w: w != F.lit(""))
-    )
+    return F.array_remove(F.array_distinct(F.split(col(c), rf"{SPACE}+")), "")
 
 
 def join_names(names: Column, keep_empty: bool = False) -> Column:

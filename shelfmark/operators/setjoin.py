@@ -29,6 +29,11 @@ SCHEMA_MATCH = 0.6
 EPS = 1e-9
 
 
+def set_key(tokens: Column) -> Column:
+    """A fixed-length key of a sorted token array; rows are grouped by it instead of the array."""
+    return F.sha2(F.array_join(tokens, "\u0001"), 256)
+
+
 def token_sets(
     df: DataFrame, id_col: str, tokens: str | Column, extra: Sequence[str] = ()
 ) -> DataFrame:
@@ -39,8 +44,13 @@ def token_sets(
     return (
         df.select(F.col(id_col), F.array_sort(F.array_distinct(col(tokens))).alias("tokens"), *extra)
         .where(F.size("tokens") > 0)
-        .groupBy("tokens", *extra)
-        .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("members"))
+        .withColumn("tokens_key", set_key(F.col("tokens")))
+        .groupBy("tokens_key", *extra)
+        .agg(
+            F.min(id_col).alias("set_id"),
+            F.count(F.lit(1)).alias("members"),
+            F.any_value("tokens").alias("tokens"),
+        )
         .withColumn("n", F.size("tokens"))
     )
 
@@ -59,7 +69,7 @@ def _prefix_keys(sets: DataFrame, t: float, hot_sets: int) -> DataFrame:
     # Tokens travel as 64-bit hashes. A collision can only add candidates, never lose one:
     # n stays the true size, so the prefix keeps its length; the final check is on the tokens.
     hashed = F.array_distinct(F.transform("tokens", lambda x: F.xxhash64(x)))
-    tokens = sets.select("set_id", "n", F.explode(hashed).alias("token"))
+    tokens = durable(sets.select("set_id", "n", F.explode(hashed).alias("token")))
     ordered = attach_counts(tokens, ["token"], count="f").groupBy("set_id", "n").agg(
         F.sort_array(F.collect_list(F.struct("f", "token"))).alias("o")
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +42,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files.
+    """Write ``df`` as a table in the shared checkpoint folder and go on from there.
 
-    Used where one intermediate feeds several branches of a job: it is computed once,
-    and a lost executor costs a re-read instead of a recomputation.
+    Used where one intermediate feeds several branches of a job: it is computed once, a
+    lost executor costs a re-read instead of a recomputation, each branch reads only the
+    columns it needs, and the planner knows the size of what it joins. Tables stay until
+    the Python process ends or :func:`release_tables` is called.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    if not _tables:
+        atexit.register(_release_quietly, spark)
+    _tables.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_tables: list[str] = []
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete all tables written by :func:`durable`; DataFrames built on them end with that."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    while _tables:
+        path = jvm.org.apache.hadoop.fs.Path(_tables.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _release_quietly(spark: SparkSession) -> None:
+    try:
+        release_tables(spark)
+    except Exception:  # noqa: BLE001 - the session may be gone at exit
+        pass
