@@ -248,8 +248,8 @@ nearest AS (
 
 HITS = "SELECT query_id, id, round(score, 4) AS score, rank FROM nearest"
 
-SQL["vector_topk_all"] = f"WITH {COSINES}, {nearest(5)} {HITS}"
-SQL["vector_grid"] = SQL["vector_topk_all"]
+SQL["vector_topk"] = f"WITH {COSINES}, {nearest(5)} {HITS}"
+SQL["vector_grid"] = SQL["vector_topk"]
 SQL["vector_threshold"] = f"WITH {COSINES}, {nearest(10, 'score >= 0.3')} {HITS}"
 SQL["vector_similar_pairs"] = f"""
 WITH {COSINES} SELECT query_id AS a, id AS b, round(score, 4) AS score FROM cosines
@@ -397,7 +397,8 @@ SELECT d.doc_id, lang,
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
 
-RATE = "SELECT count(*) AS queries, sum(hit)::BIGINT AS hits, round(sum(hit)::DOUBLE / count(*), 4) AS hit_rate FROM"
+RATE = """SELECT count(*) AS queries, coalesce(sum(hit), 0)::BIGINT AS hits,
+  round(sum(hit)::DOUBLE / nullif(count(*), 0), 4) AS hit_rate FROM"""
 
 SQL["hit_rate"] = f"""
 WITH {COSINES}, {nearest(5)}
@@ -615,10 +616,10 @@ FROM o FULL JOIN n ON o.user_id = n.user_id
 SQL["updated_since"] = """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-30'
 """
-SQL["latest_reading"] = newest("event_type", "event_type AS name, event_id AS id, value, props")
-SQL["stream_latest_readings"] = SQL["latest_reading"]
+SQL["latest_per_key"] = newest("event_type", "event_type AS name, event_id AS id, value, props")
+SQL["stream_latest"] = SQL["latest_per_key"]
 SQL["latest_per_user"] = newest("user_id, event_type", "user_id, event_type AS name, event_id AS id, value")
-SQL["rates_today"] = newest(
+SQL["today_only"] = newest(
     "event_type", "event_type AS currency_id, event_id AS id, value", "ts::DATE = DATE '2024-01-15'"
 )
 

@@ -272,11 +272,15 @@ def _probe(postings: DataFrame, asked: DataFrame) -> DataFrame:
     return rare.join(heads, keys).select("target_id", "id")
 
 
-def _reach(postings: DataFrame, asked: DataFrame, floors: DataFrame, share: str) -> DataFrame:
+def _reach(
+    postings: DataFrame, asked: DataFrame, floors: DataFrame, share: str, one_to_one: bool
+) -> DataFrame:
     """(target_id, id) of every pair whose overlap can reach the target's share.
 
     A pair with overlap >= share matches at least share * n of the target's n tokens, so
     it matches one of the first n - ceil(share * n) + 1 in any order; rare ones go first.
+    Equal tokens match ``one_to_one``; similar columns need not, several of the target's may
+    match the same one, so the other side's size says nothing then.
     """
     need = F.greatest(F.ceil(F.col(share) * F.col("n") - EPS), F.lit(1)).cast("int")
     # The tokens of one record, rare ones first.
@@ -316,7 +320,8 @@ def _reach(postings: DataFrame, asked: DataFrame, floors: DataFrame, share: str)
         every.alias("row_salt"),
     )
     largest = F.greatest("n", "m")
-    near = (F.least("n", "m") >= largest * F.col(share) - EPS) & (F.col("target_id") != F.col("id"))
+    most = F.least("n", "m") if one_to_one else F.col("n")
+    near = (most >= largest * F.col(share) - EPS) & (F.col("target_id") != F.col("id"))
     return (
         left.join(right, ["scope_key", "token", "salt", "row_salt"])
         .where(near)
@@ -347,13 +352,11 @@ def similar_in_scope(
 
     by_column = _postings(scoped, "tokens", F.size("columns"))
     by_word = _postings(scoped, "title_words", F.size("title_words"))
-    sides = [
-        (by_column, _asked_by_vector(by_column, chosen, matches) if linked else _asked(by_column, chosen)),
-        (by_word, _asked(by_word, chosen)),
-    ]
+    wanted_columns = _asked_by_vector(by_column, chosen, matches) if linked else _asked(by_column, chosen)
+    sides = [(by_column, wanted_columns, not linked), (by_word, _asked(by_word, chosen), True)]
 
     at_hand = _fillers(scoped, chosen, k)
-    for postings, asked in sides:
+    for postings, asked, _ in sides:
         at_hand = at_hand.unionByName(_probe(postings, asked))
     at_hand = at_hand.where(F.col("target_id") != F.col("id")).distinct()
     first = durable(score_pairs(at_hand, recs, w, linked))
@@ -376,8 +379,8 @@ def similar_in_scope(
         .select("target_id", share.alias("share"))
     )
     found = None
-    for postings, asked in sides:
-        part = _reach(postings, asked, floors, "share")
+    for postings, asked, one_to_one in sides:
+        part = _reach(postings, asked, floors, "share", one_to_one)
         found = part if found is None else found.unionByName(part)
     new = found.distinct().join(first.select("target_id", "id"), ["target_id", "id"], "left_anti")
     scored = first.unionByName(score_pairs(new, recs, w, linked))

@@ -32,7 +32,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_query")] = fn
     return fn
 
 
@@ -194,7 +194,7 @@ def _hits(df):
 
 
 @query
-def vector_topk_all(spark, d):
+def vector_topk_query(spark, d):
     v = vectors(spark, d)
     return _hits(vector_topk(v, v, 5, drop_self=True))
 
@@ -885,7 +885,7 @@ def updated_since(spark, d):
 
 
 @query
-def latest_reading(spark, d):
+def latest_per_key_query(spark, d):
     newest = latest_per_key(readings(spark, d), ["name"], "ts")
     return newest.select("name", "id", "value", "props")
 
@@ -897,7 +897,7 @@ def latest_per_user(spark, d):
 
 
 @query
-def rates_today(spark, d):
+def today_only(spark, d):
     rates = readings(spark, d).select(
         "id",
         F.col("ts").cast("date").alias("valid_date"),
@@ -950,7 +950,7 @@ def validate_rows(spark, d):
 
 
 @query
-def stream_latest_readings(spark, d):
+def stream_latest_query(spark, d):
     """The newest reading per event type, kept by a stream over the landed file."""
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/latest-{uuid.uuid4().hex}"

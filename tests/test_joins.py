@@ -241,8 +241,9 @@ def test_similar_equals_brute_force(spark, monkeypatch, scope, options):
     assert got == brute_similar(rows, scope, options, equal_columns)
 
 
-def test_similar_by_column_vectors(spark):
-    rows = random_records(11, 60)
+@pytest.mark.parametrize("seed", [11, 12])
+def test_similar_by_column_vectors(spark, seed):
+    rows = random_records(seed, 60)
     rng = np.random.default_rng(0)
     names = sorted({c for r in rows for c in r[7]})
     # Every third column is a copy of the first one; some columns have no vector at all.
