@@ -5,9 +5,10 @@ compatibility. Instead of scoring all pairs:
 
 1. every target gets a few candidates at hand (neighbours on its rarest columns and title
    words, and the first series of its scope); their k-th best score is a floor,
-2. a pair above the floor must reach a share of the column or of the title overlap, so
-   only the rarest columns and words that share requires are joined on, and pairs that
-   share too few of them are dropped by count,
+2. a pair above the floor must reach a share of the column or of the title overlap; each
+   target splits its floor between the two where that reads fewest postings, only the
+   rarest columns and words those shares require are joined on, and pairs that share too
+   few of them are dropped by count,
 3. what is left is scored exactly and cut to the k best, one per series.
 
 Both cuts are safe: no pair among the k best is lost, however low its score. Heavy
@@ -272,36 +273,86 @@ def _probe(postings: DataFrame, asked: DataFrame) -> DataFrame:
     return rare.join(heads, keys).select("target_id", "id")
 
 
-def _reach(
-    postings: DataFrame, asked: DataFrame, floors: DataFrame, share: str, one_to_one: bool
-) -> DataFrame:
-    """(target_id, id) of every pair whose overlap can reach the target's share.
+def _rare_first(asked: DataFrame, name: str) -> DataFrame:
+    """One row per target of a scope: its tokens, rare ones first, and their full number."""
+    return asked.groupBy("scope_key", "target_id").agg(
+        F.any_value("n").alias(f"n_{name}"),
+        F.sort_array(F.collect_list(F.struct("weight", "own", "looks"))).alias(f"o_{name}"),
+    )
+
+
+def _prefix_length(share: Column, n: Column, o: Column) -> Column:
+    """How many of the rarest tokens must be looked at to meet every overlap >= share.
+
+    Such a pair matches at least share * n of the n tokens, so it matches one of the first
+    n - ceil(share * n) + 1 in any order; tokens nobody else holds are not in ``o``.
+    """
+    need = F.greatest(F.ceil(share * n - EPS), F.lit(1))
+    return F.greatest(F.lit(0), F.size(o) - need + 1).cast("int")
+
+
+def _splits(excess: Column, w: Weights) -> list[tuple[Column, Column]]:
+    """Ways to say: a pair with this much from columns and title has (columns >= a or title >= b)."""
+    zero, never = F.lit(0.0), F.lit(2.0)
+    if not w.title:
+        return [(F.greatest(excess / w.columns, zero), never)]
+    if not w.columns:
+        return [(never, F.greatest(excess / w.title, zero))]
+    out = []
+    for f in (0.3, 0.5, 0.6, 0.7, 0.8, 0.9):
+        out.append((F.greatest(excess * f / w.columns, zero), F.greatest(excess * (1 - f) / w.title, zero)))
+    # Even equal columns are not enough without the title, and the other way round.
+    out.append((F.when(excess > w.columns, never).otherwise(zero), F.greatest((excess - w.columns) / w.title, zero)))
+    out.append((F.greatest((excess - w.title) / w.columns, zero), F.when(excess > w.title, never).otherwise(zero)))
+    return out
+
+
+def _bounds(by_column: DataFrame, by_word: DataFrame, floors: DataFrame, w: Weights) -> DataFrame:
+    """Per target and scope the cheapest split of its floor, with both sides' tokens.
+
+    The cost of a split is the number of postings its prefixes would read, so a target
+    avoids its frequent columns and words wherever the floor lets it.
+    """
+    no_tokens = F.array().cast(by_word.schema["o_word"].dataType)
+    keys = ["scope_key", "target_id"]
+    both = (
+        by_column.join(by_word, keys, "full_outer")
+        .join(floors, "target_id")
+        .withColumn("n_column", F.coalesce("n_column", F.lit(0)))
+        .withColumn("n_word", F.coalesce("n_word", F.lit(0)))
+        .withColumn("o_column", F.coalesce("o_column", no_tokens))
+        .withColumn("o_word", F.coalesce("o_word", no_tokens))
+    )
+
+    def cost(share: Column, side: str) -> Column:
+        head = F.slice(f"o_{side}", F.lit(1), _prefix_length(share, F.col(f"n_{side}"), F.col(f"o_{side}")))
+        return F.aggregate(head, F.lit(0).cast("bigint"), lambda acc, e: acc + e["weight"])
+
+    options = [
+        F.struct(
+            (cost(a, "column") + cost(b, "word")).alias("cost"), a.alias("column"), b.alias("word")
+        )
+        for a, b in _splits(F.col("excess"), w)
+    ]
+    return durable(both.withColumn("split", F.array_min(F.array(*options))).drop("excess"))
+
+
+def _reach(postings: DataFrame, bounds: DataFrame, side: str, one_to_one: bool) -> DataFrame:
+    """(target_id, id) of every pair whose overlap on one side can reach the target's share.
 
-    A pair with overlap >= share matches at least share * n of the target's n tokens, so
-    it matches one of the first n - ceil(share * n) + 1 in any order; rare ones go first.
     Equal tokens match ``one_to_one``; similar columns need not, several of the target's may
     match the same one, so the other side's size says nothing then.
     """
-    need = F.greatest(F.ceil(F.col(share) * F.col("n") - EPS), F.lit(1)).cast("int")
-    # The tokens of one record, rare ones first.
-    ordered = asked.groupBy("scope_key", "target_id", "n").agg(
-        F.sort_array(F.collect_list(F.struct("weight", "own", "looks"))).alias("o")
-    )
-    first = F.greatest(F.lit(0), F.size("o") - F.col("need") + 1)
+    o, share = F.col(f"o_{side}"), F.col("share")
+    first = _prefix_length(share, F.col("n"), o)
+    keep = ["scope_key", "target_id", "n", "share", "behind"]
     prefix = (
-        ordered.join(floors.select("target_id", share), "target_id")
-        .withColumn("need", need)
-        .withColumn("behind", F.size("o") - first)
-        .select(
-            "scope_key",
-            "target_id",
-            "n",
-            share,
-            "behind",
-            F.explode(F.slice("o", F.lit(1), first)).alias("e"),
-        )
-        .select("scope_key", "target_id", "n", share, "behind", F.explode("e.looks").alias("l"))
-        .select("scope_key", "target_id", "n", share, "behind", "l.token", "l.f")
+        bounds.withColumn("share", F.col("split")[side])
+        .withColumn("n", F.col(f"n_{side}"))
+        .withColumn("behind", F.size(o) - first)
+        .select(*keep, F.explode(F.slice(o, F.lit(1), first)).alias("e"))
+        .select(*keep, F.explode("e.looks").alias("l"))
+        .select(*keep, "l.token", "l.f")
     )
     # A heavy token becomes a square of buckets, each side spread over one of its edges.
     edge = F.ceil(F.col("f") / F.lit(SALT_ROWS)).cast("bigint")
@@ -321,15 +372,16 @@ def _reach(
     )
     largest = F.greatest("n", "m")
     most = F.least("n", "m") if one_to_one else F.col("n")
-    near = (most >= largest * F.col(share) - EPS) & (F.col("target_id") != F.col("id"))
+    near = (most >= largest * share - EPS) & (F.col("target_id") != F.col("id"))
+    wanted = largest * share
+    if side == "word":
+        # Title overlap is a Jaccard index: shared / (n + m - shared).
+        wanted = (F.col("n") + F.col("m")) * share / (share + 1)
     return (
         left.join(right, ["scope_key", "token", "salt", "row_salt"])
         .where(near)
         .groupBy("scope_key", "target_id", "id")
-        .agg(
-            F.count(F.lit(1)).alias("seen"),
-            F.max(largest * F.col(share) - F.col("behind")).alias("wanted"),
-        )
+        .agg(F.count(F.lit(1)).alias("seen"), F.max(wanted - F.col("behind")).alias("wanted"))
         .where(F.col("seen") >= F.col("wanted") - EPS)
         .select("target_id", "id")
     )
@@ -353,10 +405,10 @@ def similar_in_scope(
     by_column = _postings(scoped, "tokens", F.size("columns"))
     by_word = _postings(scoped, "title_words", F.size("title_words"))
     wanted_columns = _asked_by_vector(by_column, chosen, matches) if linked else _asked(by_column, chosen)
-    sides = [(by_column, wanted_columns, not linked), (by_word, _asked(by_word, chosen), True)]
+    wanted_words = _asked(by_word, chosen)
 
     at_hand = _fillers(scoped, chosen, k)
-    for postings, asked, _ in sides:
+    for postings, asked in ((by_column, wanted_columns), (by_word, wanted_words)):
         at_hand = at_hand.unionByName(_probe(postings, asked))
     at_hand = at_hand.where(F.col("target_id") != F.col("id")).distinct()
     first = durable(score_pairs(at_hand, recs, w, linked))
@@ -367,21 +419,19 @@ def similar_in_scope(
         .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
         .select("target_id", F.when(F.col("n") >= k, F.col("s")).otherwise(0.0).alias("floor"))
     )
-    # Below this share of columns and of title words the time part cannot lift a pair to the floor.
+    # What a pair must bring from columns and title to reach the floor with the full time part.
     bonus = (F.col("frequency").isNotNull().cast("int") + F.col("covered").cast("int")) * 0.5
-    share = F.greatest(
-        (F.coalesce("floor", F.lit(0.0)) - EPS - bonus * w.temporal) / (w.columns + w.title), F.lit(0.0)
-    )
-    floors = durable(
+    excess = F.coalesce("floor", F.lit(0.0)) - EPS - bonus * w.temporal
+    floors = (
         chosen.select(F.col("id").alias("target_id"), "frequency", "covered")
         .distinct()
         .join(kth, "target_id", "left")
-        .select("target_id", share.alias("share"))
+        .select("target_id", excess.alias("excess"))
+    )
+    bounds = _bounds(
+        _rare_first(wanted_columns, "column"), _rare_first(wanted_words, "word"), floors, w
     )
-    found = None
-    for postings, asked, one_to_one in sides:
-        part = _reach(postings, asked, floors, "share", one_to_one)
-        found = part if found is None else found.unionByName(part)
+    found = _reach(by_column, bounds, "column", not linked).unionByName(_reach(by_word, bounds, "word", True))
     new = found.distinct().join(first.select("target_id", "id"), ["target_id", "id"], "left_anti")
     scored = first.unionByName(score_pairs(new, recs, w, linked))
     best = diversify(scored, ["target_id"], "series", _order(), k)
