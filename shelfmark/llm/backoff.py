@@ -174,7 +174,7 @@ def score_documents(
                 grams, ok = grams_of(words, starts, n)
                 keys, place, counts = np.unique(grams[ok], return_inverse=True, return_counts=True)
                 rest = [_values(others[n, p], np.uint64) for p in range(parts) if (n, p) in others]
-                total = np.concatenate(rest).astype(np.int64) + counts
+                total = np.concatenate([np.empty(0, np.uint64), *rest]).astype(np.int64) + counts
                 # less the document's own: each (document, n-gram) counted
                 pair = place + doc[ok] * np.int64(len(keys))
                 _, slot, own = np.unique(pair, return_inverse=True, return_counts=True)

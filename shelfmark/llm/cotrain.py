@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -148,65 +149,94 @@ def _sums(rows: DataFrame, names: list[str], make) -> np.ndarray:
     return np.array([r.v for r in got])
 
 
-def _newton(total, w: np.ndarray, ridge: float) -> np.ndarray:
-    d = len(w)
-    weight, grad, hess = total[0], total[1 : d + 1], total[d + 1 :].reshape(d, d)
-    pull = ridge * max(weight, 1.0)
-    step = np.linalg.solve(hess + pull * np.eye(d), grad + pull * w)
-    return w - step / max(1.0, np.abs(step).max() / 5)
+@dataclass
+class Problem:
+    """A logistic regression: ``pick`` gives features, targets and weights of a batch."""
+
+    weights: np.ndarray
+    pick: Callable[[dict], tuple[np.ndarray, np.ndarray, np.ndarray]]
+    ridge: float = RIDGE
+
+    def part(self, columns: dict) -> np.ndarray:
+        """Weight, gradient and curvature of a batch."""
+        x, y, weight = self.pick(columns)
+        p = _sigmoid(x @ self.weights)
+        h = x * (weight * p * (1 - p))[:, None]
+        return np.concatenate(([weight.sum()], x.T @ (weight * (p - y)), (h.T @ x).ravel()))
+
+    def step(self, total: np.ndarray) -> bool:
+        """One Newton step; false when it no longer moves anything."""
+        d = len(self.weights)
+        weight, grad, hess = total[0], total[1 : d + 1], total[d + 1 :].reshape(d, d)
+        if weight <= 0:
+            return False
+        pull = self.ridge * max(weight, 1.0)
+        step = np.linalg.solve(hess + pull * np.eye(d), grad + pull * self.weights)
+        self.weights = self.weights - step / max(1.0, np.abs(step).max() / 5)
+        return bool(np.abs(step).max() > 1e-2)
+
+
+def _solve(rows: DataFrame, names: list[str], problems: list[Problem], steps: int) -> list[np.ndarray]:
+    """Newton steps of several problems over the same rows, one pass a step for all."""
+    live = list(problems)
+    for _ in range(steps):
+        total = _sums(rows, names, lambda c, live=live: np.concatenate([p.part(c) for p in live]))
+        if not len(total):
+            break
+        sizes = [1 + len(p.weights) + len(p.weights) ** 2 for p in live]
+        parts = np.split(total, np.cumsum(sizes)[:-1])
+        live = [p for p, t in zip(live, parts, strict=True) if p.step(t)]
+        if not live:
+            break
+    return [p.weights for p in problems]
 
 
-def _fit(rows: DataFrame, feature: str, dim: int, target, w: np.ndarray, steps: int) -> np.ndarray:
-    """Logistic regression of ``target(columns) -> (y, weight)`` by Newton steps over all rows."""
-    names = [feature, "y", "fold", "pa", "pb"]
+def _numbers(columns: dict, name: str) -> np.ndarray:
+    return columns[name].to_numpy(zero_copy_only=False).astype(np.float64)
 
-    for _ in range(steps):
 
-        def part(c, w=w):
-            y, weight = target({k: c[k].to_numpy(zero_copy_only=False) for k in names[1:]})
-            use = weight > 0
-            x = _matrix(c[feature], dim)[use]
-            y, weight = y[use], weight[use]
-            p = _sigmoid(x @ w)
-            h = x * (weight * p * (1 - p))[:, None]
-            return np.concatenate(([weight.sum()], x.T @ (weight * (p - y)), (h.T @ x).ravel()))
-
-        total = _sums(rows, names, part)
-        if not len(total) or total[0] <= 0:
-            return w
-        new = _newton(total, w, RIDGE)
-        done = np.abs(new - w).max() < 1e-3
-        w = new
-        if done:
-            break
-    return w
+def _labelled(columns: dict, held_out: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Labels (0 where none), and which rows of the wanted fold have one."""
+    y = _numbers(columns, "y")
+    fold = columns["fold"].to_numpy(zero_copy_only=False)
+    return np.nan_to_num(y), ~np.isnan(y) & ((fold == 0) == held_out)
+
+
+def _examples(feature: str, dim: int, teacher: str | None, confident: float):
+    """Labelled rows, and those that the other view is sure of."""
 
+    def pick(c):
+        y, use = _labelled(c, False)
+        if teacher is not None:
+            p = _numbers(c, teacher)
+            sure = np.isnan(_numbers(c, "y")) & ((p >= confident) | (p <= 1 - confident))
+            y, use = np.where(sure, p >= 0.5, y), use | sure
+        return _matrix(c[feature], dim)[use], y[use], np.ones(int(use.sum()))
 
-def _calibrate(rows: DataFrame, views: dict[str, tuple[View, int]]) -> None:
-    """Slope and offset of each view on the labelled rows that no fit has seen."""
-    for feature, (view, dim) in views.items():
+    return pick
+
+
+def _held_out_logits(views: list[tuple[str, int, View]]):
+    """Logits of views on the labelled rows that no fit has seen, as features."""
+
+    def pick(c):
+        y, use = _labelled(c, True)
+        z = [view.logit(_matrix(c[feature], dim)[use]) for feature, dim, view in views]
+        ones = np.ones(int(use.sum()))
+        return np.column_stack((*z, ones)), y[use], ones
+
+    return pick
+
+
+def _calibrate(rows: DataFrame, views: list[tuple[str, int, View]]) -> None:
+    """Slope and offset of each view."""
+    problems = []
+    for feature, dim, view in views:
         view.slope, view.offset = 1.0, 0.0
-        ab = np.array([1.0, 0.0])
-        for _ in range(STEPS):
-
-            def part(c, view=view, dim=dim, ab=ab, feature=feature):
-                y = c["y"].to_numpy(zero_copy_only=False).astype(np.float64)
-                use = (c["fold"].to_numpy() == 0) & ~np.isnan(y)
-                z = np.clip(_matrix(c[feature], dim)[use] @ view.weights, -15, 15)
-                x = np.column_stack((z, np.ones(len(z))))
-                p = _sigmoid(x @ ab)
-                h = x * (p * (1 - p))[:, None]
-                return np.concatenate(([len(z)], x.T @ (p - y[use]), (h.T @ x).ravel()))
-
-            total = _sums(rows, [feature, "y", "fold"], part)
-            if not len(total) or total[0] <= 0:
-                break
-            new = _newton(total, ab, 1e-4)
-            done = np.abs(new - ab).max() < 1e-3
-            ab = new
-            if done:
-                break
-        view.slope, view.offset = float(ab[0]), float(ab[1])
+        problems.append(Problem(np.array([1.0, 0.0]), _held_out_logits([(feature, dim, view)]), 1e-4))
+    names = [*(f for f, _, _ in views), "y", "fold"]
+    for (_, _, view), (slope, offset) in zip(views, _solve(rows, names, problems, STEPS), strict=True):
+        view.slope, view.offset = float(slope), float(offset)
 
 
 def _scored(rows: DataFrame, x: str, m: str, model: Model, drop: bool, keep_only: bool, out) -> DataFrame:
@@ -277,60 +307,25 @@ def train(
         .withColumn("fold", F.coalesce(F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(5)), F.lit(1)).cast("int"))
     )
     text, meta = View(np.zeros(TEXT_DIM)), View(np.zeros(META_DIM))
+    views = [(x, TEXT_DIM, text), (m, META_DIM, meta)]
+
+    def fit(table: DataFrame, teachers: tuple[str | None, str | None], steps: int) -> None:
+        names = [x, m, "y", "fold", *(t for t in teachers if t)]
+        problems = [
+            Problem(view.weights, _examples(feature, dim, teacher, confident))
+            for (feature, dim, view), teacher in zip(views, teachers, strict=True)
+        ]
+        text.weights, meta.weights = _solve(table, names, problems, steps)
+        _calibrate(rows, views)
 
-    def labelled(c):
-        y = c["y"].astype(np.float64)
-        return np.nan_to_num(y), (~np.isnan(y) & (c["fold"] != 0)).astype(np.float64)
-
-    def taught(other: str):
-        def target(c):
-            y, weight = labelled(c)
-            free = np.isnan(c["y"].astype(np.float64))
-            p = c[other].astype(np.float64)
-            sure = free & ((p >= confident) | (p <= 1 - confident))
-            return np.where(sure, p >= 0.5, y), np.where(sure, 1.0, weight)
-
-        return target
-
-    def with_scores(model: Model | None) -> DataFrame:
-        if model is None:
-            return rows.withColumns({"pa": F.lit(0.5), "pb": F.lit(0.5)})
-        return _scored(rows, x, m, model, False, False, ("pa", "pb", "p", "kept"))
-
-    views = {x: (text, TEXT_DIM), m: (meta, META_DIM)}
-    start = with_scores(None)
-    text.weights = _fit(start, x, TEXT_DIM, labelled, text.weights, STEPS)
-    meta.weights = _fit(start, m, META_DIM, labelled, meta.weights, STEPS)
-    _calibrate(rows, views)
-    model = Model(text, meta, np.array([1.0, 1.0, 0.0]))
+    fit(rows, (None, None), STEPS)
     for _ in range(rounds):
-        now = with_scores(model)
-        new_text = _fit(now, x, TEXT_DIM, taught("pb"), text.weights, 3)
-        new_meta = _fit(now, m, META_DIM, taught("pa"), meta.weights, 3)
-        text.weights, meta.weights = new_text, new_meta
-        _calibrate(rows, views)
-    # combine on the held-out fold: the calibrated logits are the two features
-    mix = np.array([1.0, 0.0, 0.0])
-    for _ in range(STEPS):
-
-        def part(c, mix=mix):
-            y = c["y"].to_numpy(zero_copy_only=False).astype(np.float64)
-            use = (c["fold"].to_numpy() == 0) & ~np.isnan(y)
-            a = text.logit(_matrix(c[x], TEXT_DIM)[use])
-            b = meta.logit(_matrix(c[m], META_DIM)[use])
-            z = np.column_stack((a, b, np.ones(len(a))))
-            p = _sigmoid(z @ mix)
-            h = z * (p * (1 - p))[:, None]
-            return np.concatenate(([len(a)], z.T @ (p - y[use]), (h.T @ z).ravel()))
-
-        total = _sums(rows, [x, m, "y", "fold"], part)
-        if not len(total) or total[0] <= 0:
-            break
-        new = _newton(total, mix, 1e-4)
-        done = np.abs(new - mix).max() < 1e-3
-        mix = new
-        if done:
-            break
+        judge = Model(replace(text), replace(meta), np.array([1.0, 1.0, 0.0]))
+        judged = _scored(rows, x, m, judge, False, False, ("pa", "pb", "p", "kept"))
+        fit(judged, ("pb", "pa"), 3)
+    # the calibrated logits are the features of the combination
+    both = Problem(np.array([1.0, 0.0, 0.0]), _held_out_logits(views), 1e-4)
+    (mix,) = _solve(rows, [x, m, "y", "fold"], [both], STEPS)
     model = Model(text, meta, mix)
     scored = _scored(rows, x, m, model, True, False, ("p_text", "p_meta", "p", "kept"))
     return model, scored.select("id", "p_text", "p_meta", "p", "kept")
