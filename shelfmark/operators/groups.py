@@ -1,4 +1,4 @@
-"""Per-key counts and id lists that stay bounded when one key holds most rows."""
+"""Per-key counts and joins that hold up when one key has most rows, and lists per key."""
 
 from __future__ import annotations
 
@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 # less than 1/HOT_KEYS of the rows, so the shuffle of the rest is even.
 HOT_KEYS = 10_000
 
-# Longest id list put into one row.
-LIST_ROWS = 1_000
-
 
 def skew_join(
     big: DataFrame,
@@ -62,27 +59,18 @@ def attach_counts(
     return with_hot.unionByName(rest)
 
 
-def bounded_lists(
-    df: DataFrame, key: str, entry: Column, out: str, list_rows: int = LIST_ROWS
-) -> DataFrame:
-    """Sorted lists of ``entry`` per key, in chunks of about ``list_rows`` entries.
+def sorted_lists(df: DataFrame, key: str, entry: Column, out: str) -> DataFrame:
+    """One sorted list of ``entry`` per key: key, ``n_rows``, the list.
 
-    A key with at most ``list_rows`` rows has one list. A larger one is spread over
-    ``n_chunks`` rows by a hash of the entry, so no list is built whole in one task.
+    One scan and one shuffle. A list is one value, so a key's entries meet in one task in
+    the end; where they may be many, keep them as rows instead.
     """
-    rows = df.select(key, entry.alias("_entry"))
-    n_chunks = F.ceil(F.col("n_rows") / F.lit(list_rows)).cast("bigint")
-    return (
-        attach_counts(rows, [key], count="n_rows")
-        .withColumn("n_chunks", n_chunks)
-        .withColumn("chunk", F.pmod(F.xxhash64("_entry"), F.col("n_chunks")))
-        .groupBy(key, "n_rows", "n_chunks", "chunk")
-        .agg(F.sort_array(F.collect_list("_entry")).alias(out))
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list(entry)).alias(out)
     )
 
 
-def id_lists(
-    df: DataFrame, key: str, id_col: str, list_rows: int = LIST_ROWS, ids: str = "ids"
-) -> DataFrame:
-    """Sorted id lists per key in chunks of bounded length: key, n_ids, n_chunks, chunk, ids."""
-    return bounded_lists(df, key, F.col(id_col), ids, list_rows).withColumnRenamed("n_rows", "n_ids")
+def id_lists(df: DataFrame, key: str, id_col: str, ids: str = "ids") -> DataFrame:
+    """The sorted ids of each key in one list: key, n_ids, ids."""
+    lists = sorted_lists(df.dropna(subset=[key]), key, F.col(id_col), ids)
+    return lists.withColumnRenamed("n_rows", "n_ids")

@@ -30,13 +30,25 @@ def merge_runs(earlier: DataFrame, later: DataFrame, keys: Sequence[str] = ("id"
 def upsert_vectors(existing: DataFrame, new: DataFrame, dim: int | None = None) -> DataFrame:
     """Keyed vectors after writing ``new`` over ``existing``.
 
-    With ``dim``, new rows of another length are left out (see ``check_dimension``).
+    With ``dim``, a new vector that is null or of another length fails the job with its id;
+    :func:`rejected_vectors` lists such rows beforehand.
     """
     if dim is not None:
-        new = new.where(F.size("vector") == dim)
+        wrong = F.concat(F.lit(f"vector is not of length {dim}: id "), F.col("id").cast("string"))
+        fits = F.coalesce(F.size("vector") == dim, F.lit(False))
+        new = new.withColumn("vector", F.when(fits, F.col("vector")).otherwise(F.raise_error(wrong)))
     return merge_runs(existing, new)
 
 
+def rejected_vectors(new: DataFrame, dim: int) -> DataFrame:
+    """New rows whose vector can't be stored, with the reason: the columns of ``new``, reason."""
+    n = F.size("vector")
+    reason = F.when(F.col("vector").isNull(), "no vector").when(
+        n != dim, F.concat(F.lit("length "), n.cast("string"), F.lit(f" instead of {dim}"))
+    )
+    return new.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     """What changed between two snapshots: key, old and new value, change, delta."""
     o = old.select(F.col(key), F.col(value).alias("old_value"), F.lit(True).alias("_o"))

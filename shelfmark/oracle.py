@@ -199,6 +199,20 @@ WHERE a.series_key <> '' GROUP BY a.id, a.title, a.series_key
 
 SQL["schema_pairs"] = f"WITH {SCHEMA_PAIRS} SELECT * FROM pairs"
 
+SQL["schema_links"] = f"""
+WITH {DOCS}, g AS (
+  SELECT min(id) AS group_id, columns, count(*) AS members, category
+  FROM docs WHERE len(columns) > 0 GROUP BY columns, category
+), p AS (
+  SELECT a.group_id AS group_a, b.group_id AS group_b, a.members AS members_a,
+    len(list_intersect(a.columns, b.columns)) AS i, len(a.columns) AS na, len(b.columns) AS nb,
+    coalesce(a.category = b.category, false) AS same_category,
+    CASE WHEN a.group_id = b.group_id THEN a.members * (a.members - 1) // 2 ELSE a.members * b.members END AS n_pairs
+  FROM g a JOIN g b ON a.group_id <= b.group_id WHERE a.group_id < b.group_id OR a.members > 1)
+SELECT group_a, group_b, members_a, round(i::DOUBLE / (na + nb - i), 3) AS jaccard_score, same_category, n_pairs
+FROM p WHERE i::DOUBLE / (na + nb - i) >= 0.6
+"""
+
 SQL["schema_groups"] = f"""
 WITH {DOCS}
 SELECT min(id) AS group_id, len(columns) AS n, count(*) AS members, category
@@ -393,7 +407,7 @@ SELECT d.doc_id, lang,
   CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN false ELSE quality = 1 END::VARCHAR AS similar,
   CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN false ELSE toxic = 1 END::VARCHAR AS joinable,
   CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.doc_id % 7 = 0 THEN 'Error: unreadable judgment' ELSE 'r' || l.doc_id END AS reasoning,
-  'judge' AS label_source
+  CASE WHEN l.doc_id IS NOT NULL THEN 'judge' END AS label_source
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
 
@@ -508,7 +522,7 @@ ORDER BY text ASC NULLS LAST, conv_id || '-' || turn LIMIT 10 OFFSET 10
 """
 
 SQL["group_ids"] = """
-SELECT coalesce(nullif(s_nationkey, 0)::VARCHAR, 'unknown') AS nation, count(*) AS n_ids, 0::BIGINT AS chunk,
+SELECT coalesce(nullif(s_nationkey, 0)::VARCHAR, 'unknown') AS nation, count(*) AS n_ids,
   string_agg(s_suppkey, ',' ORDER BY s_suppkey) AS ids FROM supplier GROUP BY 1
 """
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.values import truthy
-from shelfmark.operators.groups import LIST_ROWS, attach_counts
+from shelfmark.operators.groups import attach_counts
 
 
 def series_members(df: DataFrame, id_col: str = "id", title: str = "title", key: str = "series_key") -> DataFrame:
@@ -21,24 +21,15 @@ def series_members(df: DataFrame, id_col: str = "id", title: str = "title", key:
     return attach_counts(named, ["series_key"], count="n_members").where(F.col("n_members") > 1)
 
 
-def series_pairs(members: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """One evaluation case per member of a series.
+def series_pairs(members: DataFrame) -> DataFrame:
+    """One evaluation case per member of a series, with the sorted ids of all others.
 
-    ``relevant_dataset_ids`` lists the other members, sorted, where the series has at most
-    ``list_rows`` members. For a larger series the list is NULL, since listing the others
-    for every member is quadratic; its members are the rows of :func:`series_members` with
-    the same series_key, which is also what hit tests join on.
+    The lists are as long as the result asks for: k members have k lists of k - 1 ids. Where
+    that is too much, :func:`series_members` is the same truth in linear size, and hit tests
+    join on it.
     """
-    small = (
-        members.where(F.col("n_members") <= list_rows)
-        .groupBy("series_key")
-        .agg(F.sort_array(F.collect_list("id")).alias("_ids"))
-    )
-    listed = members.where(F.col("n_members") <= list_rows).join(small, "series_key")
-    unlisted = members.where(F.col("n_members") > list_rows).withColumn(
-        "_ids", F.lit(None).cast(small.schema["_ids"].dataType)
-    )
-    return listed.unionByName(unlisted).select(
+    ids = members.groupBy("series_key").agg(F.sort_array(F.collect_list("id")).alias("_ids"))
+    return members.join(ids, "series_key").select(
         F.lit("temporal_variant").alias("track"),
         F.col("id").alias("query_dataset_id"),
         F.col("title").alias("query_title"),

@@ -17,7 +17,7 @@ from shelfmark.adapters import articles, documents, pages, readings, table, titl
 from shelfmark.functions import scores, text, values
 from shelfmark.operators import catalog, quality, rank, upsert
 from shelfmark.operators.embed import embed, hash_embed
-from shelfmark.operators.groups import bounded_lists
+from shelfmark.operators.groups import sorted_lists
 from shelfmark.operators.readings import latest_per_key, rates_of_day
 from shelfmark.operators.vectors import overfetch_topk, vector_pairs, vector_topk
 from shelfmark.plans import evaluation, records, search, series
@@ -135,8 +135,7 @@ def series_pairs(spark, d):
 
 def _document_pairs(spark, d):
     docs = documents(spark, d).withColumn("category_slugs", F.array("category"))
-    pairs, _ = evaluation.schema_pairs(docs)
-    return pairs
+    return evaluation.schema_pairs(docs)
 
 
 def _flat_pairs(pairs):
@@ -155,6 +154,17 @@ def schema_pairs(spark, d):
     return _flat_pairs(_document_pairs(spark, d))
 
 
+@query
+def schema_links(spark, d):
+    docs = documents(spark, d).withColumn("category_slugs", F.array("category"))
+    links, members = evaluation.schema_links(docs)
+    n = members.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
+    size = n.select(F.col("group_id").alias("group_a"), F.col("n").alias("members_a"))
+    return links.join(size, "group_a").select(
+        "group_a", "group_b", "members_a", "jaccard_score", "same_category", "n_pairs"
+    )
+
+
 @query
 def schema_groups(spark, d):
     docs = documents(spark, d).withColumn("category_slugs", F.array("category"))
@@ -165,7 +175,7 @@ def schema_groups(spark, d):
 
 @query
 def page_schema_pairs(spark, d):
-    pairs, _ = evaluation.schema_pairs(pages(spark, d), title="title")
+    pairs = evaluation.schema_pairs(pages(spark, d), title="title")
     return pairs.select(
         "dataset_a_id",
         "dataset_b_id",
@@ -297,7 +307,7 @@ def _vector_datasets(spark, d):
     """Ten vectors make a dataset, each vector is one of its columns."""
     v = vectors(spark, d).select(F.col("id").cast("string").alias("title"), "id", "vector")
     of = v.select(F.floor(F.col("id") / 10).cast("bigint").alias("d"), "title")
-    sets = bounded_lists(of, "d", F.col("title"), "columns").withColumnRenamed("d", "id")
+    sets = sorted_lists(of, "d", F.col("title"), "columns").withColumnRenamed("d", "id")
     nothing = F.lit(None).cast("string")
     recs = sets.select(
         "id",
@@ -449,7 +459,7 @@ def series_hit_rate(spark, d):
 @query
 def joinable_hit_rate(spark, d):
     recs = pages(spark, d)
-    pairs, _ = evaluation.schema_pairs(recs)
+    pairs = evaluation.schema_pairs(recs)
     labeled = pairs.withColumn("joinable", ~F.col("same_category"))
     return _rate(evaluation.evaluate_joinable(sim.similar_datasets(recs, scopes=("global",)), labeled))
 
@@ -591,7 +601,7 @@ def group_ids(spark, d):
     s = table(spark, d, "supplier").withColumn("nation", F.nullif("s_nationkey", F.lit(0)).cast("string"))
     lists = catalog.group_ids_by(s, "nation", "s_suppkey")
     return lists.select(
-        "nation", "n_ids", "chunk", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids")
+        "nation", "n_ids", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids")
     )
 
 
@@ -599,10 +609,10 @@ def group_ids(spark, d):
 
 
 def _lines(spark, d, *fields):
-    """Line items of each order in one row, sorted; a very long order has several rows."""
+    """Line items of each order in one row, sorted."""
     # Line numbers repeat within an order of these tables, so the whole entry orders the list.
     entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", *fields)
-    return bounded_lists(table(spark, d, "lineitem"), "l_orderkey", entry, "lines").select("l_orderkey", "lines")
+    return sorted_lists(table(spark, d, "lineitem"), "l_orderkey", entry, "lines").select("l_orderkey", "lines")
 
 
 @query

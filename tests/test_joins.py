@@ -55,35 +55,31 @@ def test_groups_of_copies_are_joined_once(spark):
     assert [(r.a, r.b, r.jaccard) for r in pairs.collect()] == [(0, 100, 0.75)]
 
 
-@pytest.mark.parametrize("flat", [1000, 3])
-def test_schema_pairs_count_every_pair(spark, flat):
+def test_schema_pairs_are_all_pairs(spark):
     sets = random_sets(3, 60, 12, 4)
+    sets |= {i: ["same", "columns", "here"] for i in range(1000, 1060)}
     slugs = {i: [f"c{i % 3}"] if i % 5 else [] for i in sets}
     df = spark.createDataFrame(
         [(i, f"T{i}", c, slugs[i]) for i, c in sets.items()],
         "id long, title string, columns array<string>, category_slugs array<string>",
     )
-    pairs, members = evaluation.schema_pairs(df, title="title", flat_pairs=flat)
     want = brute_pairs(sets, 0.6)
-    rows = pairs.collect()
-    assert sum(r.n_pairs for r in rows) == len(want)
-    of = {}
+    rows = evaluation.schema_pairs(df, title="title").collect()
+    got = {(r.dataset_a_id, r.dataset_b_id): (r.jaccard_score, r.same_category) for r in rows}
+    assert len(rows) == len(got)
+    assert got == {p: (round(j, 3), bool(set(slugs[p[0]]) & set(slugs[p[1]]))) for p, j in want.items()}
+    links, members = evaluation.schema_links(df)
+    links, of = links.collect(), {}
     for m in members.collect():
         of.setdefault(m.group_id, []).append(m.id)
-    seen = {}
-    for r in rows:
-        if r.n_pairs == 1:
-            expanded = [(r.dataset_a_id, r.dataset_b_id)]
-        elif r.dataset_a_id == r.dataset_b_id:
-            ids = sorted(of[r.dataset_a_id])
-            expanded = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]]
-        else:
-            expanded = [tuple(sorted((a, b))) for a in of[r.dataset_a_id] for b in of[r.dataset_b_id]]
-        for p in expanded:
-            seen[p] = (r.jaccard_score, r.same_category)
-    assert seen == {
-        p: (round(j, 3), bool(set(slugs[p[0]]) & set(slugs[p[1]]))) for p, j in want.items()
-    }
+    assert sorted(i for v in of.values() for i in v) == sorted(sets)
+    expanded = set()
+    for r in links:
+        a, b = of[r.group_a], of[r.group_b]
+        pairs = {tuple(sorted((x, y))) for x in a for y in b if x != y}
+        assert len(pairs) == r.n_pairs
+        expanded |= pairs
+    assert expanded == set(want) and sum(r.n_pairs for r in links) == len(want)
 
 
 # ── vectors ─────────────────────────────────────────────────────────────────────
@@ -304,25 +300,35 @@ def test_skew_join_equals_join(spark):
         assert got == sorted(df.join(small, "k", how).collect(), key=str)
 
 
-def test_id_lists_are_bounded_and_whole(spark):
-    df = spark.createDataFrame([("a", i) for i in range(100)] + [("b", 1)], "k string, id long")
-    lists = groups.id_lists(df, "k", "id", list_rows=10).collect()
-    ids = sorted(i for r in lists if r.k == "a" for i in r.ids)
-    assert ids == list(range(100)) and max(len(r.ids) for r in lists) < 40
-    assert [r.ids for r in lists if r.k == "b"] == [[1]]
+def test_lists_are_whole(spark):
+    df = spark.createDataFrame([("a", i) for i in range(2500)] + [("b", 1), (None, 2)], "k string, id long")
+    lists = {r.k: r for r in groups.id_lists(df, "k", "id").collect()}
+    assert lists.keys() == {"a", "b"}
+    assert lists["a"].ids == list(range(2500)) and lists["a"].n_ids == 2500
+    assert lists["b"].ids == [1]
 
 
-def test_series_lists_stay_linear(spark):
-    rows = [(i, f"big {i}", "big") for i in range(30)] + [(100, "x", "pair"), (101, "y", "pair"), (102, "z", ""), (103, "q", "alone")]
+def test_series_lists_are_full(spark):
+    rows = [(i, f"big {i}", "big") for i in range(1201)] + [(2000, "x", "pair"), (2001, "y", "pair"), (2002, "z", ""), (2003, "q", "alone")]
     members = series.series_members(spark.createDataFrame(rows, "id long, title string, series_key string"))
-    cases = {r.query_dataset_id: r for r in series.series_pairs(members, list_rows=5).collect()}
-    assert set(cases) == {*range(30), 100, 101}
-    assert cases[100].relevant_dataset_ids == [101] and cases[100].n_relevant == 1
-    assert cases[0].relevant_dataset_ids is None and cases[0].n_relevant == 29
-    found = spark.createDataFrame([(0, 7), (100, 100), (101, 3)], "query_id long, id long")
+    cases = {r.query_dataset_id: r for r in series.series_pairs(members).collect()}
+    assert set(cases) == {*range(1201), 2000, 2001}
+    assert cases[2000].relevant_dataset_ids == [2001] and cases[2000].n_relevant == 1
+    for i in (0, 700):
+        assert cases[i].relevant_dataset_ids == [j for j in range(1201) if j != i]
+        assert cases[i].n_relevant == 1200
+    found = spark.createDataFrame([(0, 7), (2000, 2000), (2001, 3)], "query_id long, id long")
     assert [r.query_id for r in evaluation.series_hits(found, members).collect()] == [0]
 
 
+def test_labels_only_where_judged(spark):
+    pairs = spark.createDataFrame([(1, 2, True, "rule"), (1, 3, True, "rule")], "a int, b int, joinable boolean, label_source string")
+    labels = spark.createDataFrame([(1, 2, False, "r")], "a int, b int, joinable boolean, reasoning string")
+    got = {r.b: r for r in evaluation.attach_labels(pairs, labels, ["a", "b"], "judge").collect()}
+    assert (got[2].joinable, got[2].reasoning, got[2].label_source) == (False, "r", "judge")
+    assert (got[3].joinable, got[3].reasoning, got[3].label_source) == (True, None, "rule")
+
+
 def test_hit_rate_without_queries_is_null(spark):
     none = spark.createDataFrame([], "query_id long")
     assert tuple(evaluation.hit_rate(none, none).first()) == (0, 0, None)
