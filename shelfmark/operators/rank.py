@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +66,21 @@ def diversify(
     return topk_per_key(first_per_key(df, [*keys, group], order), keys, order, k, rank)
 
 
+def landing_order(df: DataFrame) -> Column:
+    """Position of a row as it landed: file name, block of the file, row within it.
+
+    Spark packs files into tasks by size, so a row number alone doesn't follow their names.
+    Rows that come from no file are ordered as the table lists them.
+    """
+    row = F.monotonically_increasing_id().alias("row")
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), row)
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return F.struct(file.alias("file"), block.alias("block"), row)
+
+
 def running_total(
     df: DataFrame, order: Sequence[Column], value: Column, out: str
 ) -> DataFrame:
@@ -103,7 +119,8 @@ def first_rows(df: DataFrame, order: Sequence[Column], n: int, offset: int = 0)
     if offset + n <= PREFIX_ROWS:
         return df.orderBy(*order).offset(offset).limit(n)
     ranked = global_rank(df, order, "_rank")
-    return ranked.where(F.col("_rank").between(offset + 1, offset + n)).drop("_rank")
+    page = ranked.where(F.col("_rank").between(offset + 1, offset + n))
+    return page.orderBy("_rank").drop("_rank")
 
 
 def paginate(

@@ -1,11 +1,12 @@
 """Exact set-similarity join (Jaccard at least t) by prefix filtering.
 
 Tokens are ordered from rare to frequent. Two sets with the required overlap share a
-token among the first n - ceil(t*n) + 1 of each, so only those are joined on: frequent
-tokens stay out of the join key. Where a token of the prefix is itself frequent, its
-bucket is split by the *second* shared token, which the same argument places among the
-first n - ceil(t*n) + 2; this keeps the join exact. Sets with equal tokens are joined
-once, as a group, and carry their number of members.
+token among the first n - ceil(t*n) + 1 of each, so only those are join keys: a set has as
+many keys as its prefix is long, whatever the other sets hold, and frequent tokens stay out
+unless a set has nothing else. The first token that two sets share bounds what they can
+share in all, by its position in either; pairs below the bound fall within the join. The
+rows of a key that many sets hold are dealt into a square of salted buckets. Sets with
+equal tokens are joined once, as a group, and carry their number of members.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.values import col
-from shelfmark.operators.groups import attach_counts
 from shelfmark.session import durable
 
-# A prefix token found in more sets than this is split by the second shared token.
+# A prefix token found in more sets than this is dealt into several buckets; this only
+# changes where its pairs are compared.
 HOT_TOKEN_SETS = 2_000
 
 # Fixed value: schemas at least this similar are candidates for labelling.
@@ -61,43 +62,29 @@ def _needed(n: Column, t: float) -> Column:
 
 
 def _prefix_keys(sets: DataFrame, t: float, hot_sets: int) -> DataFrame:
-    """(set_id, n, beyond, hot, key, cold): the join keys of each set.
+    """(set_id, n, left, key, k): the join keys of each set.
 
-    ``beyond`` is the number of tokens after the prefix, ``hot`` that of frequent tokens in
-    it; ``cold`` is 1 for a key that stands for one rare token.
+    ``left`` is the number of the set's tokens from this one on, in rare-first order; ``k``
+    is the number of buckets that the key is dealt into.
     """
     # Tokens travel as 64-bit hashes. A collision can only add candidates, never lose one:
     # n stays the true size, so the prefix keeps its length; the final check is on the tokens.
     hashed = F.array_distinct(F.transform("tokens", lambda x: F.xxhash64(x)))
-    tokens = durable(sets.select("set_id", "n", F.explode(hashed).alias("token")))
-    ordered = attach_counts(tokens, ["token"], count="f").groupBy("set_id", "n").agg(
-        F.sort_array(F.collect_list(F.struct("f", "token"))).alias("o")
-    )
-    need = F.col("need")
-    second = F.slice("o", F.lit(1), F.least(F.size("o"), F.col("n") - need + 2))
-
-    def keys_of(e: Column, i: Column) -> Column:
-        later = F.slice(second, i + 2, F.size("o"))
-        paired = F.transform(
-            later, lambda x: F.struct(F.xxhash64(e["token"], x["token"]).alias("key"), F.lit(0).alias("cold"))
-        )
-        alone = F.array(F.struct(e["token"].alias("key"), F.lit(0).alias("cold")))
-        split = F.when(need == 1, F.concat(alone, paired)).otherwise(paired)
-        cold = F.array(F.struct(e["token"].alias("key"), F.lit(1).alias("cold")))
-        return F.when(e["f"] <= hot_sets, cold).otherwise(split)
-
-    return (
-        ordered.withColumn("need", _needed(F.col("n"), t))
-        .withColumn("prefix", F.slice("o", F.lit(1), F.col("n") - need + 1))
-        .select(
-            "set_id",
-            "n",
-            (need - 1).alias("beyond"),
-            F.size(F.filter("prefix", lambda e: e["f"] > hot_sets)).alias("hot"),
-            F.explode(F.flatten(F.transform("prefix", keys_of))).alias("k"),
-        )
-        .select("set_id", "n", "beyond", "hot", "k.key", "k.cold")
+    tokens = sets.select("set_id", "n", F.explode(hashed).alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
+    keys = (
+        tokens.join(counts, "token")
+        .groupBy("set_id", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("o"))
+        .withColumn("prefix", F.slice("o", F.lit(1), F.col("n") - _needed(F.col("n"), t) + 1))
+        .select("set_id", "n", F.posexplode("prefix").alias("pos", "e"))
+        .select("set_id", "n", (F.col("n") - F.col("pos")).alias("left"), F.col("e.token").alias("key"))
     )
+    keys = durable(keys)
+    # A key of one set joins nothing.
+    held = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    buckets = F.ceil(F.col("m") / F.lit(hot_sets)).cast("int")
+    return durable(keys.join(held.select("key", buckets.alias("k")), "key"))
 
 
 def similar_sets(sets: DataFrame, t: float, hot_sets: int = HOT_TOKEN_SETS) -> DataFrame:
@@ -109,29 +96,23 @@ def similar_sets(sets: DataFrame, t: float, hot_sets: int = HOT_TOKEN_SETS) -> D
     if not 0 < t <= 1:
         raise ValueError("the similarity bound must lie in (0, 1]")
     keys = _prefix_keys(sets, t, hot_sets)
-    a, b = keys.alias("a"), keys.alias("b")
+    # Each set of a hot key is in one bucket as a, and in all as b.
+    a = keys.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.col("k")).cast("int")).alias("a")
+    b = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).alias("b")
     n_a, n_b = F.col("a.n"), F.col("b.n")
-    # Shared tokens lie in both prefixes (counted, or frequent) or behind one of them.
-    unseen = F.least("a.hot", "b.hot") + F.greatest("a.beyond", "b.beyond")
-    missing = (n_a + n_b) * (t / (1 + t)) - EPS - unseen
+    least = (n_a + n_b) * (t / (1 + t)) - EPS
     candidates = (
         a.join(
             b,
             (F.col("a.key") == F.col("b.key"))
+            & (F.col("a.salt") == F.col("b.salt"))
             & (F.col("a.set_id") < F.col("b.set_id"))
             & (n_b >= n_a * t - EPS)
-            & (n_a >= n_b * t - EPS),
-        )
-        .select(
-            F.col("a.set_id").alias("a"),
-            F.col("b.set_id").alias("b"),
-            F.least("a.cold", "b.cold").alias("cold"),
-            missing.alias("missing"),
+            & (n_a >= n_b * t - EPS)
+            & (F.least("a.left", "b.left") >= least),
         )
-        .groupBy("a", "b")
-        .agg(F.sum("cold").alias("cold"), F.max("missing").alias("missing"))
-        .where(F.col("cold") >= F.col("missing"))
-        .select("a", "b")
+        .select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
+        .distinct()
     )
     left = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))

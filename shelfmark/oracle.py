@@ -558,6 +558,7 @@ SELECT true AS matched, count(DISTINCT l_orderkey) AS bodies, count(*) AS pulled
 
 SQL["assemble_pages"] = """
 SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS ord, o_orderkey AS id FROM orders
+WHERE o_orderkey // 200 + 1 <= (SELECT max(o_orderkey // 200 + 1) // 2 FROM orders)
 """
 
 SQL["json_payload"] = """

@@ -16,20 +16,19 @@ from shelfmark.functions.text import (
 )
 from shelfmark.functions.scores import is_covered
 from shelfmark.functions.values import first_truthy, truthy, uuid5
-from shelfmark.operators.rank import last_wins
+from shelfmark.operators.rank import landing_order, last_wins
 
 
 def last_columns(columns: DataFrame, order: str | None = None) -> DataFrame:
     """One definition row per dataset, the later one where a dataset is repeated.
 
-    Without an ``order`` column the order of the files decides.
+    Without an ``order`` column the names of the files decide, then the place in the file.
     """
     known = columns.where(truthy("id").isNotNull())
     if order:
         return last_wins(known, ["id"], order)
-    return last_wins(
-        known.withColumn("_ord", F.monotonically_increasing_id()), ["id"], "_ord"
-    ).drop("_ord")
+    landed = known.withColumn("_ord", landing_order(columns))
+    return last_wins(landed, ["id"], "_ord").drop("_ord")
 
 
 def column_titles(columns: str | Column = "columns") -> Column:
@@ -133,7 +132,7 @@ def unique_columns(entries: DataFrame, order: str) -> DataFrame:
 def column_entries(columns: DataFrame) -> DataFrame:
     """title, description, ord for every column of every dataset, in file order."""
     return (
-        columns.withColumn("_row", F.monotonically_increasing_id())
+        columns.withColumn("_row", landing_order(columns))
         .select("_row", F.posexplode("columns").alias("_pos", "c"))
         .select(
             F.struct("_row", "_pos").alias("ord"),

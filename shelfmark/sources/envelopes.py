@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark import schemas
 from shelfmark.functions.values import first_truthy
-from shelfmark.operators.rank import running_total
+from shelfmark.operators.rank import landing_order, running_total
 
 
 def _get(v: Column, path: str, kind: str) -> Column:
@@ -26,11 +27,11 @@ def unwrap_envelope(raw: DataFrame, body: str = "raw") -> DataFrame:
 
     ``{"data": {"results": [...], "total": n, ...}}``, ``{"data": [...], "total_items": n}``,
     ``{"results": [...], ...}`` and a bare list, whose length is its total. Adds record (a
-    variant), pos, n_records, total, page, page_size, total_pages; an empty body keeps one
-    row with a NULL record.
+    variant), pos, n_records, total, page, page_size, total_pages, and landed, the order in
+    which the bodies landed; an empty body keeps one row with a NULL record.
     """
     v = F.try_parse_json(body)
-    df = raw.withColumn("_v", v)
+    df = raw.withColumn("landed", landing_order(raw)).withColumn("_v", v)
     many = "array<variant>"
     bare = _get(F.col("_v"), "$", many)
     flat = _get(F.col("_v"), "$.data", many)
@@ -65,40 +66,52 @@ def payload_or_body(raw: DataFrame, schema: str, body: str = "raw") -> DataFrame
 
 
 def unwrap_readings(raw: DataFrame, schema: str, body: str = "raw") -> DataFrame:
-    """Rows of a feed whose ``data`` is one object or a list of objects."""
-    row = schema if schema.startswith("struct<") else f"struct<{_ddl_to_struct(schema)}>"
-    listed = F.from_json(F.get_json_object(body, "$.data"), f"array<{row}>")
+    """Rows of a feed whose ``data`` is one object or a list of objects; ``schema`` is DDL."""
+    row = T.StructType.fromDDL(schema.removeprefix("struct<").removesuffix(">") if schema.startswith("struct<") else schema)
+    listed = F.from_json(F.get_json_object(body, "$.data"), T.ArrayType(row))
     return raw.select(F.explode(listed).alias("_r")).select("_r.*")
 
 
-def _ddl_to_struct(ddl: str) -> str:
-    fields = (f.strip().split(" ", 1) for f in ddl.split(","))
-    return ",".join(f"{name}:{kind}" for name, kind in fields)
-
-
-def assemble_pages(pages: DataFrame, default_size: int = 10_000, cap: int | None = None) -> DataFrame:
+def assemble_pages(
+    pages: DataFrame, default_size: int = 10_000, cap: int | None = None, landed: str = "landed"
+) -> DataFrame:
     """Records of unwrapped pages in page order, up to the last page or an empty one.
 
-    ``pages`` is the output of :func:`unwrap_envelope`. The last page is the first one that
-    reaches total_pages (else ceil(total / size), total falling back to the page's length).
-    Positions come from the page sizes alone, so nothing is sorted globally.
+    ``pages`` is the output of :func:`unwrap_envelope`, written or otherwise stable. A body
+    without a page number is the page that its place in the landing order makes it. Of a
+    page that landed more than once the last landing counts. The last page is the first one
+    that reaches total_pages (else ceil(total / size), total falling back to the page's
+    length). Positions come from the page sizes alone, so records are not sorted globally.
     """
     size = F.coalesce(F.nullif("page_size", F.lit(0)), F.lit(default_size))
     last = F.coalesce(
         F.nullif("total_pages", F.lit(0)),
         F.ceil(F.coalesce(F.nullif("total", F.lit(0)), F.col("n_records")) / size),
     )
-    # One row per landed page, thousands of records each.
-    per_page = pages.groupBy("page").agg(F.max("n_records").alias("n"), F.max(last).alias("last"))
+    # One row per landed body, thousands of records each.
+    bodies = pages.groupBy(F.col(landed).alias("landed")).agg(
+        F.max("page").alias("given"), F.max("n_records").alias("n"), F.max(last).alias("last")
+    )
+    numbered = running_total(bodies, [F.col("landed")], F.lit(1).cast("bigint"), "earlier").withColumn(
+        "page", F.coalesce("given", F.col("earlier") + 1)
+    )
+    per_page = (
+        numbered.groupBy("page")
+        .agg(F.max_by(F.struct("landed", "n", "last"), "landed").alias("b"))
+        .select("page", "b.*")
+    )
     stop = per_page.where((F.col("page") >= F.col("last")) | (F.col("n") == 0))
     stop_page = stop.agg(F.min("page")).scalar()
     kept = per_page.where(F.coalesce(F.col("page") <= stop_page, F.lit(True)) & (F.col("n") > 0))
-    offsets = running_total(kept, [F.col("page")], F.col("n"), "start").select("page", "start")
+    offsets = running_total(kept, [F.col("page")], F.col("n"), "start").select(
+        F.col("landed").alias("_landed"), F.col("page").alias("_page"), "start"
+    )
     records = (
         pages.where(F.col("record").isNotNull())
-        .join(offsets, "page")
+        .join(offsets, F.col(landed) == F.col("_landed"))
         .withColumn("ord", F.col("start") + F.col("pos"))
-        .drop("start")
+        .withColumn("page", F.col("_page"))
+        .drop("start", "_landed", "_page")
     )
     return records if cap is None else records.where(F.col("ord") < cap)
 

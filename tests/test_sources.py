@@ -184,6 +184,37 @@ def test_assemble_pages(spark):
     assert run(page(1, [1, 2])) == [1, 2]
 
 
+def test_pages_without_number_and_landed_twice(spark):
+    def run(*bodies):
+        return ids_of(envelopes.assemble_pages(envelopes.unwrap_envelope(raw(spark, *bodies))))
+
+    bare = [{"data": [{"id": i}], "total_items": 3, "page_size": 1} for i in (1, 2, 3)]
+    assert run(*bare) == [1, 2, 3]
+    # The later landing of a page counts, once.
+    assert run(page(1, [1], total_pages=2), page(2, [8, 9], total_pages=2), page(2, [2], total_pages=2)) == [1, 2]
+
+
+def test_last_wins_across_files(spark, tmp_path):
+    """The later name wins, however Spark packs the files."""
+    for name, words in (("a", "old"), ("b", "new")):
+        rows = [{"id": "x", "columns": [{"title": words}]}]
+        if name == "b":
+            rows += [{"id": f"f{i}", "columns": [{"title": "filler " * 50}]} for i in range(200)]
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows))
+    cols = files.read_columns(spark, str(tmp_path))
+    (got,) = records.last_columns(cols).where("id = 'x'").collect()
+    assert got.columns[0].title == "new"
+    entries = records.column_entries(cols)
+    first = entries.orderBy("ord").first()
+    assert first.title == "old"
+
+
+def test_readings_of_nested_types(spark):
+    df = raw(spark, {"data": [{"price": 1.25, "tags": {"a": "b"}}]})
+    (row,) = envelopes.unwrap_readings(df, "price decimal(10,2), tags map<string,string>").collect()
+    assert str(row.price) == "1.25" and row.tags == {"a": "b"}
+
+
 def test_readings_one_or_many(spark):
     rate = {"id": 1, "valid_date": "2024-01-01", "created_at": "2024-01-01T08:00:00", "currency_id": "USD", "data": {"buy": 4050.0}}
     df = raw(spark, {"data": rate}, {"data": [rate, {**rate, "id": 2, "data": None}]}, {"data": []})
