@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from shelfmark.llm.blocks import sorted_groups
 
 # Characters of text in one block of documents; a block's n-grams are held by one task.
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 10 << 20
+# Distinct words whose hashes a task remembers; beyond it the memory starts anew.
+WORDS = 300_000
 # N-grams of one partition of the count tables, about.
-PART_GRAMS = 4_000_000
+PART_GRAMS = 2_000_000
 
 
 def _word_hashes(text: str | None, known: dict) -> np.ndarray:
+    if len(known) > WORDS:
+        known.clear()
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     got = list(map(known.get, words))
     if None in got:
@@ -62,8 +66,9 @@ def _values(raw: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
-def _words_of_block(texts, known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    each = [_word_hashes(t, known) for t in texts]
+def _words_of_block(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    known: dict[bytes, int] = {}
+    each = [_word_hashes(t.as_py(), known) for t in texts]
     sizes = np.array([len(e) for e in each], dtype=np.int64)
     words = np.concatenate(each) if each else np.empty(0, np.uint64)
     first = np.cumsum(sizes) - sizes
@@ -117,7 +122,7 @@ def score_documents(
     )
 
     def ready(table: pa.Table):
-        return _words_of_block(table.column("text").to_pylist(), {})
+        return _words_of_block(table.column("text"))
 
     def send(key, table):
         block = key[0].as_py()
@@ -176,10 +181,12 @@ def score_documents(
                 rest = [_values(others[n, p], np.uint64) for p in range(parts) if (n, p) in others]
                 total = np.concatenate([np.empty(0, np.uint64), *rest]).astype(np.int64) + counts
                 # less the document's own: each (document, n-gram) counted
-                pair = place + doc[ok] * np.int64(len(keys))
-                _, slot, own = np.unique(pair, return_inverse=True, return_counts=True)
+                place += doc[ok] * np.int64(len(keys))
+                pairs, slot, own = np.unique(place, return_inverse=True, return_counts=True)
+                rest = total[pairs % len(keys)] - own if len(pairs) else own
                 left = np.zeros(len(words), dtype=np.int64)
-                left[ok] = total[place] - own[slot]
+                left[ok] = rest[slot]
+                del grams, keys, counts, place, pairs, slot, own, rest, total
                 seen.append(left)
                 # the count of a word's context: the n-gram that ends one word before
                 context.append(np.concatenate(([0], left[:-1])))
