@@ -8,6 +8,7 @@ never reaches a single task whole.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -73,10 +74,14 @@ def landing_order(df: DataFrame) -> Column:
     Rows that come from no file are ordered as the table lists them.
     """
     row = F.monotonically_increasing_id().alias("row")
+    log = logging.getLogger("DataFrameQueryContextLogger")
+    muted, log.disabled = log.disabled, True  # not resolving is an answer here
     try:
         df.select("_metadata.file_path")
     except AnalysisException:
         return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), row)
+    finally:
+        log.disabled = muted
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     return F.struct(file.alias("file"), block.alias("block"), row)
 
@@ -184,8 +189,9 @@ def sample_for_labels(pairs: DataFrame, n: int, same: str = "same_category", **n
 
 
 def sample_ids(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
-    """n rows picked by a seeded hash of their id."""
-    return first_rows(df, [F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)], n)
+    """n rows picked by a seeded hash of their id: the MD5 of ``seed:id``."""
+    mixed = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    return first_rows(df, [mixed, F.col(id_col)], n)
 
 
 def score_threshold(df: DataFrame, threshold: float, score: str = "score") -> DataFrame:

@@ -666,3 +666,117 @@ e AS (
     CASE WHEN length(phone) NOT BETWEEN 9 AND 15 THEN 'phone' END], lambda x: x IS NOT NULL) AS errors FROM s)
 SELECT c_custkey, first_name, array_to_string(errors, ',') AS errors, len(errors) AS n_errors FROM e
 """
+
+SQL["sample_ids"] = "SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 10"
+
+SQL["typed_lines"] = """
+SELECT event_id, CASE WHEN event_id % 7 > 0 THEN (props::JSON ->> '$.k')::BIGINT END AS k,
+  CASE WHEN event_id % 7 = 0 THEN 'json_invalid' END AS error
+FROM events
+"""
+
+SQL["time_stamps"] = """
+WITH t AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL
+    WHEN o_orderkey % 2 = 0 THEN date_trunc('second', o_orderdate) - INTERVAL 7 HOUR
+    ELSE date_trunc('second', o_orderdate) END AS moment
+  FROM orders)
+SELECT o_orderkey, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(moment, '%Y%m%d') AS stamp FROM t
+"""
+
+SQL["usable_ids"] = """
+SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_partkey::VARCHAR WHEN 1 THEN p_name ELSE p_brand END AS usable FROM part
+"""
+
+SQL["judge_prompts"] = """
+SELECT p_partkey, md5('Compare two datasets of an open-data catalogue.' || chr(10) || 'First: "' || p_name || '"' || chr(10)
+  || 'Second: "' || p_type || '"' || chr(10) || 'Columns in both: ' || p_brand || ', ' || p_size || chr(10)
+  || 'similar: do they treat the same topic?' || chr(10)
+  || 'joinable: do they share a key such as a place or a country that makes a join useful? '
+  || 'A year or month alone is a weak key.' || chr(10)
+  || 'Answer as JSON: {"similar": true or false, "joinable": true or false, "reasoning": "one or two sentences"}') AS prompt
+FROM part
+"""
+
+SQL["labeled_pairs"] = f"""
+WITH {PAGES}, p AS (
+  SELECT a.id + b.id AS n, len(list_intersect(a.columns, b.columns)) AS s, len(a.columns) AS na, len(b.columns) AS nb
+  FROM records a JOIN records b ON a.id < b.id WHERE len(a.columns) > 0 AND len(b.columns) > 0)
+SELECT CASE WHEN n % 3 > 0 THEN 'judge' END AS label_source, count(*) AS pairs,
+  count(*) FILTER (n % 3 > 0 AND n % 2 = 0) AS joinable, count(*) FILTER (n % 3 > 0) AS similar
+FROM p WHERE s::DOUBLE / (na + nb - s) >= 0.6 GROUP BY 1
+"""
+
+_TYPE, _BRAND, _NAME = (
+    ALIASED.format(c="(" + COLUMN_NAME.format(c=c) + ")") for c in ("p_type", "p_brand || ' _en'", "p_name")
+)
+
+LANDED = f"""
+landed AS (
+  SELECT p_partkey, p_partkey::VARCHAR AS id, p_name || ' ' || (p_size + 2000) AS title, p_brand, p_type,
+    CASE WHEN p_partkey % 2 = 0 THEN 'monthly' ELSE 'yearly' END AS frequency, p_partkey % 4 = 0 AS covered,
+    list_distinct(CASE WHEN p_partkey % 3 = 0 THEN ['old_name', {_TYPE}] ELSE ['year', {_BRAND}, {_NAME}] END) AS columns
+  FROM part WHERE p_partkey % 50 <> 49),
+recs AS (
+  SELECT id, title, {title_key('title')} AS series_key, (p_partkey % 25)::VARCHAR AS org, p_brand, p_type AS category,
+    frequency, covered, columns FROM landed),
+records AS (
+  SELECT *, list_distinct(list_filter(string_split(series_key, ' '), lambda x: x <> '')) AS words,
+    CASE WHEN series_key = '' THEN '#' || id ELSE series_key END AS series
+  FROM recs)
+"""
+
+SQL["landed_records"] = f"""
+WITH {LANDED}
+SELECT id, title, series_key, org::BIGINT AS organization_id, p_brand AS organization_name, frequency,
+  covered::VARCHAR AS covered, category, array_to_string(list_sort(columns), ',') AS columns
+FROM records
+"""
+
+SQL["similar_landed"] = f"""
+WITH {LANDED}{SCORED.removeprefix(PAGES)}, {ranked('same_org')}
+SELECT target_id, rank, dataset_id, round(score, 4) AS score FROM ranked
+"""
+
+SQL["landed_schema_columns"] = f"""
+WITH {LANDED} SELECT id, array_to_string(list_sort(columns), ',') AS columns FROM landed
+"""
+
+SQL["first_category"] = f"""
+WITH {LANDED}
+SELECT id, title, p_partkey % 25 AS organization_id, p_brand AS organization_name, p_type AS category_slug, frequency,
+  CASE WHEN covered THEN '2000' END AS coverage_start, CASE WHEN covered THEN '2010' END AS coverage_end
+FROM landed
+"""
+
+SQL["export_and_read"] = f"""
+WITH {LANDED}
+SELECT id, title AS name, p_brand AS organization, p_type AS categories, frequency,
+  count(*) OVER () AS pulled, 7 AS api_total, '2024-05-06T23:30:00Z' AS fetched_at
+FROM landed
+"""
+
+SQL["snapshots"] = """
+SELECT '20240506' AS snapshot_date, '2024-05-06T23:30:00Z' AS fetched_at, o_orderstatus, count(*) AS orders, sum(o_orderkey)::BIGINT AS keys
+FROM orders GROUP BY ALL
+UNION ALL
+SELECT '20240507', '2024-05-07T01:00:00Z', o_orderstatus, count(*), sum(o_orderkey)::BIGINT
+FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL
+"""
+
+SQL["completeness"] = """
+SELECT max(n) AS api_reported_total, sum(n)::BIGINT AS pulled_count, max(n) = sum(n) AS count_matched
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)
+"""
+
+SQL["rejected_vectors"] = """
+SELECT vec_id AS id, CASE WHEN vec_id % 9 = 0 THEN 'length 10 instead of 64' ELSE 'no vector' END AS reason
+FROM embeddings WHERE vec_id % 9 = 0 OR vec_id % 11 = 0
+"""
+
+SQL["stream_catalog"] = """
+SELECT id, name, event_id FROM (
+  SELECT user_id AS id, event_type AS name, event_id,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events)
+WHERE r = 1
+"""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from shelfmark.plans import evaluation, records, search, series
 from shelfmark.plans import similar as sim
 from shelfmark.session import durable, ensure_checkpoint_dir
 from shelfmark.sources import envelopes, files
-from shelfmark.streaming.jobs import stream_latest
+from shelfmark.streaming.jobs import stream_incremental_catalog, stream_latest
 from shelfmark.streaming.tables import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -962,13 +963,199 @@ def validate_rows(spark, d):
 
 
 @query
-def stream_latest_query(spark, d):
-    """The newest reading per event type, kept by a stream over the landed file."""
+def typed_lines(spark, d):
+    """Event payloads to typed columns, every seventh one broken on the way."""
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring("props", 1, 4)).otherwise(F.col("props"))
+    events = table(spark, d, "events").select("event_id", cut.alias("raw"))
+    typed = quality.typed_lines(events, "k bigint")
+    good, bad = quality.split_valid(typed, [("raw", "not JSON", "json_invalid", F.col("_corrupt_record").isNull())])
+    rejected = bad.select("event_id", F.lit(None).cast("bigint").alias("k"), F.col("errors")[0]["type"].alias("error"))
+    return good.select("event_id", "k", F.lit(None).cast("string").alias("error")).union(rejected)
+
+
+@query
+def time_stamps(spark, d):
+    """Times as text, with and without offset, back to timestamps and stamps."""
+    order = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("t"))
+    offset = F.when(F.col("o_orderkey") % 2 == 0, F.concat("t", F.lit("+07:00"))).otherwise(F.concat("t", F.lit("Z")))
+    parsed = order.withColumn("at", values.parse_time(F.when(F.col("o_orderkey") % 5 == 0, "no time").otherwise(offset)))
+    return parsed.select("o_orderkey", values.iso_utc("at").alias("iso"), values.date_stamp("at").alias("stamp"))
+
+
+@query
+def usable_ids(spark, d):
+    part = table(spark, d, "part").select(
+        "p_partkey",
+        F.when(F.col("p_partkey") % 3 == 0, F.col("p_partkey").cast("string")).otherwise("").alias("id"),
+        F.when(F.col("p_partkey") % 3 == 1, F.col("p_name")).alias("slug"),
+        F.col("p_brand").alias("uuid"),
+    )
+    return part.select("p_partkey", values.usable_id().alias("usable"))
+
+
+@query
+def judge_prompts(spark, d):
+    prompt = evaluation.judge_prompt(F.col("p_name"), F.col("p_type"), F.array("p_brand", F.col("p_size").cast("string")))
+    return table(spark, d, "part").select("p_partkey", F.md5(prompt).alias("prompt"))
+
+
+@query
+def labeled_pairs(spark, d):
+    """Pairs of page schemas with the judgments that have arrived, and how they count."""
+    pairs = evaluation.schema_pairs(pages(spark, d), title="title")
+    number = F.col("dataset_a_id") + F.col("dataset_b_id")
+    answer = F.concat(
+        F.lit('{"similar": true, "joinable": '), (number % 2 == 0).cast("string"), F.lit(', "reasoning": "x"}')
+    )
+    judged = durable(pairs).where(number % 3 > 0).select(
+        "dataset_a_id", "dataset_b_id", evaluation.parse_judgment(answer).alias("j")
+    )
+    labeled = evaluation.attach_labels(
+        pairs, judged.select("dataset_a_id", "dataset_b_id", "j.*"), ["dataset_a_id", "dataset_b_id"], "judge"
+    )
+    return labeled.groupBy("label_source").agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_if("joinable").alias("joinable"), F.count_if("similar").alias("similar")
+    )
+
+
+# ── landed files ────────────────────────────────────────────────────────────────
+
+
+def _folder(spark, name):
+    """A new folder of this run in the shared storage of the cluster."""
     ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/latest-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def _landed(spark, d):
+    """Catalogue and column definitions of the parts, written as JSON lines and read back."""
+    part = table(spark, d, "part")
+    key = F.col("p_partkey")
+    entry = part.select(
+        F.when(key % 50 == 49, "").otherwise(key.cast("string")).alias("id"),
+        F.concat_ws(" ", "p_name", F.col("p_size") + 2000).alias("name"),
+        F.array(F.struct(F.col("p_type").alias("name_en"), F.col("p_type").alias("slug"))).alias("categories"),
+        F.struct((key % 25).cast("bigint").alias("organization_id"), F.col("p_brand").alias("name_en")).alias("organization"),
+        F.when(key % 2 == 0, "monthly").otherwise("yearly").alias("frequency"),
+        F.when(key % 4 == 0, "2000").alias("coverage_start"),
+        F.when(key % 4 == 0, "2010").alias("coverage_end"),
+    )
+    path = _folder(spark, "catalog")
+    entry.write.json(f"{path}/catalog")
+
+    def column(*titles):
+        return F.array(*[F.struct(t.alias("title")) for t in titles]).alias("columns")
+
+    # The second landing has newer definitions of two thirds of the parts.
+    first = part.select(key.cast("string").alias("id"), column(F.lit("Old Name_en"), F.col("p_type")))
+    later = part.where(key % 3 > 0).select(
+        key.cast("string").alias("id"), column(F.lit("ref_year"), F.concat_ws(" ", "p_brand", F.lit("_en")), F.col("p_name"))
+    )
+    first.write.json(f"{path}/columns/landing=1")
+    later.repartition(3).write.json(f"{path}/columns/landing=2")
+    catalog_ = files.read_catalog(spark, f"{path}/catalog", whole_file=False)
+    columns = files.read_columns(spark, f"{path}/columns/*", whole_file=False)
+    return catalog_, columns
+
+
+@query
+def landed_records(spark, d):
+    found = records.build_records(*_landed(spark, d))
+    return found.select(
+        "id", "title", "series_key", "organization_id", "organization_name", "frequency",
+        F.col("covered").cast("string").alias("covered"),
+        F.array_join("category_slugs", ",").alias("category"),
+        F.array_join(F.array_sort("columns"), ",").alias("columns"),
+    )
+
+
+@query
+def similar_landed(spark, d):
+    recs = durable(records.build_records(*_landed(spark, d)))
+    best = sim.similar_datasets(recs, scopes=("organization",))
+    return best.select("target_id", "rank", "dataset_id", F.round("score", 4).alias("score"))
+
+
+@query
+def landed_schema_columns(spark, d):
+    found = records.schema_columns(*_landed(spark, d))
+    return found.select("id", F.array_join(F.array_sort("columns"), ",").alias("columns"))
+
+
+@query
+def first_category(spark, d):
+    catalog_, _ = _landed(spark, d)
+    return records.first_category_records(catalog_).select(
+        "id", "title", "organization_id", "organization_name", "category_slug", "frequency", "coverage_start", "coverage_end"
+    )
+
+
+@query
+def export_and_read(spark, d):
+    """The flat export as CSV, read back, beside what its manifest counts."""
+    catalog_, _ = _landed(spark, d)
+    path = _folder(spark, "export")
+    files.export_csv(catalog_, path, SNAPSHOT_DAYS[0], "catalogue", api_total=7)
+    back = files.read_export(spark, path, ", ".join(f"{n} string" for n in files.flatten_catalog(catalog_).columns))
+    manifest = spark.read.json(f"{path}_manifest").select("pulled", "api_total", "fetched_at")
+    return back.select("id", "name", "organization", "categories", "frequency").join(F.broadcast(manifest))
+
+
+SNAPSHOT_DAYS = (datetime(2024, 5, 6, 23, 30, tzinfo=timezone.utc), datetime(2024, 5, 7, 1, 0, tzinfo=timezone.utc))
+
+
+@query
+def snapshots(spark, d):
+    """Orders landed on two days; the second day is landed again with half of them."""
+    order = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    path = _folder(spark, "snapshots")
+    files.write_snapshot(order, path, SNAPSHOT_DAYS[0])
+    files.write_snapshot(order, path, SNAPSHOT_DAYS[1])
+    files.write_snapshot(order.where("o_orderkey % 2 = 0"), path, SNAPSHOT_DAYS[1])
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"), "fetched_at", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys")
+    )
+
+
+@query
+def completeness(spark, d):
+    return envelopes.check_completeness(envelopes.unwrap_envelope(_bodies(spark, d)))
+
+
+@query
+def rejected_vectors(spark, d):
+    short = F.when(F.col("id") % 9 == 0, F.slice("vector", 1, 10)).when(F.col("id") % 11 > 0, F.col("vector"))
+    return upsert.rejected_vectors(vectors(spark, d).select("id", short.alias("vector")), 64).select("id", "reason")
+
+
+# ── streams ─────────────────────────────────────────────────────────────────────
+
+
+def _events_in_files(spark, d, n=4):
+    """The events in several files, for a stream that reads one a batch."""
+    path = _folder(spark, "events")
     source = table(spark, d, "events")
-    landed = spark.readStream.schema(source.schema).parquet(f"{d}/event[s].parquet")
+    source.repartition(n, "event_id").write.parquet(path)
+    return spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def stream_catalog(spark, d):
+    """Catalogue entries per user, each kept at its newest update, over several batches."""
+    feed = _events_in_files(spark, d).select(
+        F.col("user_id").alias("id"), F.col("ts").alias("updated_at"), F.col("event_type").alias("name"), "event_id"
+    )
+    store = KeyedTable(spark, _folder(spark, "entries"))
+    stream_incremental_catalog(feed, store).start().awaitTermination()
+    return store.read().select("id", "name", "event_id")
+
+
+@query
+def stream_latest_query(spark, d):
+    """The newest reading per event type, kept by a stream over the landed files."""
+    landed = _events_in_files(spark, d)
     feed = landed.select(F.col("event_id").alias("id"), F.col("event_type").alias("name"), "ts", "value", "props")
-    store = KeyedTable(spark, path)
+    store = KeyedTable(spark, _folder(spark, "latest"))
     stream_latest(feed, store, ["name"], "ts").start().awaitTermination()
     return store.read().select("name", "id", "value", "props")
