@@ -5,15 +5,18 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Distinct pieces a task remembers; beyond it the memory starts anew.
-PIECES = 300_000
+PIECES = 400_000
 # Ids per Arrow batch that a task sends on are about this many.
 OUT_IDS = 1_000_000
 
@@ -58,7 +61,7 @@ class WordBPE:
         self.pieces = regex.compile(pattern.replace(r"\s", space)).findall
         self.letters = byte_letters()
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in added.items()}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, array] = {}
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece: merges in order of rank, the leftmost first.
@@ -66,59 +69,79 @@ class WordBPE:
         The symbols are a doubly linked list. A queue holds (rank, position) of every adjacent
         pair that can merge; an entry whose pair is gone when its turn comes is skipped.
         """
-        symbols = [self.letters[b] for b in piece.encode("utf-8", "surrogatepass")]
+        letters, ranks = self.letters, self.ranks
+        symbols = [letters[b] for b in piece.encode("utf-8", "surrogatepass")]
         symbols[-1] += self.suffix
         n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, str, str]] = []
-
-        def offer(i: int) -> None:
-            j = after[i] if i >= 0 else -1
-            if j >= 0:
-                rank = self.ranks.get((symbols[i], symbols[j]))
-                if rank is not None:
-                    heapq.heappush(queue, (rank, i, symbols[i], symbols[j]))
-
-        for i in range(n - 1):
-            offer(i)
+        queue = []
+        for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)):
+            rank = ranks.get(pair)
+            if rank is not None:
+                queue.append((rank, i, pair))
+        heapq.heapify(queue)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
+            _, i, pair = heapq.heappop(queue)
             j = after[i]
-            if symbols[i] != left or j < 0 or symbols[j] != right:
+            if j < 0 or symbols[i] != pair[0] or symbols[j] != pair[1]:
                 continue
-            symbols[i], symbols[j] = left + right, ""
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
+            symbols[i], symbols[j] = pair[0] + pair[1], ""
+            k = after[i] = after[j]
             after[j] = -1
-            offer(before[i])
-            offer(i)
+            if k >= 0:
+                before[k] = i
+                new = (symbols[i], symbols[k])
+                rank = ranks.get(new)
+                if rank is not None:
+                    heapq.heappush(queue, (rank, i, new))
+            h = before[i]
+            if h >= 0:
+                new = (symbols[h], symbols[i])
+                rank = ranks.get(new)
+                if rank is not None:
+                    heapq.heappush(queue, (rank, h, new))
         # a symbol outside the vocabulary has no id and leaves none
         return [self.vocab[s] for s in symbols if s and s in self.vocab]
 
-    def _plain(self, text: str) -> list[int]:
+    def _plain(self, text: str, out: array) -> None:
         known = self.known
         if len(known) > PIECES:
             known.clear()
-        out: list[int] = []
         for piece in self.pieces(lower_each(unicodedata.normalize("NFC", text))):
             ids = known.get(piece)
             if ids is None:
-                ids = known[piece] = self.merge(piece)
+                ids = known[piece] = array("i", self.merge(piece))
             out += ids
-        return out
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode_into(self, text: str | None, out: array) -> None:
+        """Append the ids of a whole text."""
         text = text or ""
         if self.split_added is None or not any(a in text for a in self.added):
-            return self._plain(text)
-        out: list[int] = []
+            self._plain(text, out)
+            return
         for part in self.split_added.split(text):
             if part in self.added:
                 out.append(self.added[part])
             elif part:
-                out += self._plain(part)
-        return out
+                self._plain(part, out)
+
+    def encode(self, text: str | None) -> list[int]:
+        out = array("i")
+        self.encode_into(text, out)
+        return out.tolist()
+
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """Texts of many id lists: each id's vocabulary string, joined; null lists are empty."""
+        lists = pc.fill_null(lists, pa.scalar([], type=lists.type)) if lists.null_count else lists
+        table = pa.array([self.strings.get(i) for i in range(max(self.strings) + 1)], pa.string())
+        ids = lists.flatten()
+        if len(ids) and (pc.max(ids).as_py() >= len(table) or pc.min(ids).as_py() < 0):
+            ids = pc.if_else(pc.and_(pc.less(ids, len(table)), pc.greater_equal(ids, 0)), ids, None)
+        strings = table.take(ids)
+        if strings.null_count:
+            return pa.array([self.decode(v.as_py()) for v in lists], pa.string())
+        offsets = pc.subtract(lists.offsets, lists.offsets[0])
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, strings), " ")
 
     def decode(self, ids: list[int]) -> str:
         """The ids' vocabulary strings; a file without a decoder puts a space between them."""
@@ -157,15 +180,16 @@ def encode(
     def run(batches):
         coder = _coder(spec.value)
         for batch in batches:
-            start, held, ids = 0, 0, []
+            start, ids, ends = 0, array("i"), [0]
             for i, text in enumerate(batch.column(text_at)):
-                ids.append(coder.encode(text.as_py()))
-                held += len(ids[-1])
-                if held > OUT_IDS or i + 1 == batch.num_rows:
+                coder.encode_into(text.as_py(), ids)
+                ends.append(len(ids))
+                if len(ids) > OUT_IDS or i + 1 == batch.num_rows:
                     part = batch.slice(start, i + 1 - start)
-                    columns = part.columns[:-1] + [pa.array(ids, type=pa.list_(pa.int32()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-                    start, held, ids = i + 1, 0, []
+                    values = pa.array(np.frombuffer(ids, dtype=np.int32) if ids else [], pa.int32())
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
+                    start, ids, ends = i + 1, array("i"), [0]
 
     return src.mapInArrow(run, schema)
 
@@ -184,8 +208,7 @@ def decode(
     def run(batches):
         coder = _coder(spec.value)
         for batch in batches:
-            texts = [coder.decode(v.as_py() or []) for v in batch.column(ids_at)]
-            columns = batch.columns[:-1] + [pa.array(texts, type=pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            texts = coder.decode_lists(batch.column(ids_at))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=names)
 
     return src.mapInArrow(run, schema)
