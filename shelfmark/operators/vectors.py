@@ -75,46 +75,69 @@ def _codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes[: len(a)], codes[len(a) :]
 
 
+def _cut(r, v, ids, groups, k: int) -> np.ndarray:
+    """Positions of the k best of each query row, at most one per group, in order."""
+    order = np.lexsort((ids, -v, r))
+    if groups is not None:
+        _, codes = np.unique(groups, return_inverse=True)
+        key = r[order] * (codes.max(initial=0) + 1) + codes[order]
+        _, first_of_group = np.unique(key, return_index=True)
+        order = order[np.sort(first_of_group)]
+    rows = r[order]
+    return order[np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k]
+
+
 def _best(
     q: _Side, c: _Side, k: int | None, threshold: float | None, drop_self: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, corpus row, score) of the k best or all that reach the threshold."""
+    """(query row, corpus row, score) of the k best or all that reach the threshold.
+
+    With a ``within`` value only rows of the same value are compared at all.
+    """
     if len(q.unit) and len(c.unit) and q.unit.shape[1] != c.unit.shape[1]:
         raise ValueError("vectors differ in length")
-    if q.within is not None and c.within is not None:
-        q_within, c_within = _codes(q.within, c.within)
-    groups = None
-    if c.one_per is not None:
-        _, groups = np.unique(c.one_per, return_inverse=True)
+    if q.within is None or c.within is None:
+        return _best_of(q, c, np.arange(len(q.unit)), np.arange(len(c.unit)), k, threshold, drop_self)
+    q_codes, c_codes = _codes(q.within, c.within)
+    q_order, c_order = np.argsort(q_codes, kind="stable"), np.argsort(c_codes, kind="stable")
+    parts = []
+    for code in np.intersect1d(q_codes, c_codes):
+        q_rows = q_order[slice(*np.searchsorted(q_codes[q_order], [code, code + 1]))]
+        c_rows = c_order[slice(*np.searchsorted(c_codes[c_order], [code, code + 1]))]
+        parts.append(_best_of(q, c, q_rows, c_rows, k, threshold, drop_self))
+    if not parts:
+        return _nothing()
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _nothing() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    empty = np.zeros(0, dtype=np.int64)
+    return empty, empty, np.zeros(0)
+
+
+def _best_of(q, c, q_rows, c_rows, k, threshold, drop_self):
+    """The same for chosen rows of either side."""
     rows, cols, vals = [], [], []
-    for start in range(0, len(q.unit), STEP):
-        step = slice(start, start + STEP)
-        s = np.round(q.unit[step] @ c.unit.T, TIE_DIGITS) + 0.0
+    unit, c_ids = c.unit[c_rows], c.ids[c_rows]
+    groups = None if c.one_per is None else c.one_per[c_rows]
+    for start in range(0, len(q_rows), STEP):
+        mine = q_rows[start : start + STEP]
+        s = np.round(q.unit[mine] @ unit.T, TIE_DIGITS) + 0.0
         if drop_self:
-            s[q.ids[step, None] == c.ids[None, :]] = -np.inf
-        if q.within is not None and c.within is not None:
-            s[q_within[step, None] != c_within[None, :]] = -np.inf
+            s[q.ids[mine, None] == c_ids[None, :]] = -np.inf
         floor = np.full(len(s), -2.0 if threshold is None else threshold)
         if k is not None and groups is None and s.shape[1] > k:
             floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
         r, col = np.nonzero(s >= floor[:, None])
         v = s[r, col]
         if k is not None and len(r):
-            order = np.lexsort((c.ids[col], -v, r))
-            r, col, v = r[order], col[order], v[order]
-            if groups is not None:
-                _, first_of_group = np.unique(r * (groups.max() + 1) + groups[col], return_index=True)
-                first_of_group.sort()
-                r, col, v = r[first_of_group], col[first_of_group], v[first_of_group]
-            first = np.searchsorted(r, r, side="left")
-            keep = np.arange(len(r)) - first < k
+            keep = _cut(r, v, c_ids[col], None if groups is None else groups[col], k)
             r, col, v = r[keep], col[keep], v[keep]
-        rows.append(r + start)
-        cols.append(col)
+        rows.append(mine[r])
+        cols.append(c_rows[col])
         vals.append(v)
     if not rows:
-        empty = np.zeros(0, dtype=np.int64)
-        return empty, empty, np.zeros(0)
+        return _nothing()
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
 
 
@@ -157,15 +180,35 @@ def _scan(queries, corpus, k, threshold, drop_self) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = _Side(shipped.value)
+        # The best of all batches of the task so far: at most k rows per query.
+        best = None
         for batch in batches:
             if not batch.num_rows or not len(q.unit):
                 continue
             c = _Side(batch)
-            yield _emit(schema, q.id_column, c.id_column, *_best(q, c, k, threshold, drop_self))
+            r, col, v = _best(q, c, k, threshold, drop_self)
+            if k is None:
+                yield _emit(schema, q.id_column, c.id_column, r, col, v)
+                continue
+            new = [r, v, c.ids[col], None if c.one_per is None else c.one_per[col], c.id_column.take(pa.array(col))]
+            if best is not None:
+                new = [_joined(a, b) for a, b in zip(best, new, strict=True)]
+                keep = _cut(*new[:4], k)
+                new = [None if x is None else x.take(pa.array(keep)) if isinstance(x, pa.Array) else x[keep] for x in new]
+            best = new
+        if best is not None:
+            r, v, _, _, ids = best
+            yield _emit(schema, q.id_column, ids, r, np.arange(len(r)), v)
 
     return corpus.mapInArrow(search, out)
 
 
+def _joined(a, b):
+    if a is None:
+        return None
+    return pa.concat_arrays([a, b]) if isinstance(a, pa.Array) else np.concatenate([a, b])
+
+
 def _pivots(corpus: DataFrame, n: int) -> np.ndarray:
     count = min(MAX_PIVOTS, max(1, math.isqrt(max(n // SLICE_ROWS, 1)) * 4))
     picked = corpus.orderBy(F.xxhash64("id"), "id").limit(count).select("vector").toArrow()
