@@ -17,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a few files over all cores, where parsing them costs more than moving them.
+
+    A file of one row group is read by one task, however many cores there are. Tables of
+    more files than cores are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > cores or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as datasets of yearly series: id, title, series_key and catalogue fields."""
     part = table(spark, sf_dir, "part")
@@ -43,7 +55,8 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as schemas: the distinct words of the whole text are the columns."""
     w = F.split(F.lower("text"), BLANK)
-    return table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return spread(docs).select(
         F.col("doc_id").alias("id"),
         F.col("lang").alias("category"),
         F.col("source").alias("organization_id"),
@@ -59,7 +72,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     names = F.array_distinct(F.transform(links, lambda x: normalize_column(x)))
     has_query = F.contains("url", F.lit("?"))
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         F.col("page_id").alias("id"),
         title.alias("title"),
         normalize_title(title).alias("series_key"),

@@ -443,6 +443,13 @@ UNION ALL SELECT 'organization', source, count(*) FROM documents WHERE source IS
 UNION ALL SELECT 'format', CASE WHEN n_chars < 1000 THEN 'short' ELSE 'long' END, count(*) FROM documents GROUP BY 2
 """
 
+SQL["facet_labels"] = """
+SELECT 'category' AS facet, p_type AS value, count(*) AS dataset_count, upper(p_type[1]) || lower(p_type[2:]) AS label_en,
+  NULL::VARCHAR AS label_kh, p_type[1:3] AS abbreviation FROM part GROUP BY p_type
+UNION ALL SELECT 'organization', p_brand, count(*), upper(p_brand[1]) || lower(p_brand[2:]), NULL, p_brand[1:3] FROM part GROUP BY p_brand
+UNION ALL SELECT 'format', CASE WHEN p_size > 25 THEN 'big' ELSE 'small' END, count(*), NULL, NULL, NULL FROM part GROUP BY 2
+"""
+
 SQL["count_data"] = "SELECT count(*) AS datasets, count(DISTINCT source) AS datasources FROM documents"
 
 SQL["home_summary"] = f"""

@@ -491,8 +491,11 @@ def similar_datasets(
     """Global, category and organisation lists for all datasets, or for ``targets`` (id).
 
     ``matches`` says which columns mean the same by their vectors (see
-    ``search.column_similarity``); without it columns match by equal names.
+    ``search.column_similarity``); without it columns match by equal names. Weights with an
+    embedding part are refused, since no embedding is at hand here.
     """
+    if options.weights.embedding:
+        raise ValueError("similar_datasets has no embedding term")
     recs = with_matches(frame(records, options), matches)
     best = None
     for scope in scopes:

@@ -47,9 +47,12 @@ def normalize_title(spark, d):
 
 @query
 def normalize_column(spark, d):
-    w = documents(spark, d).select("id", F.explode("columns").alias("c"))
+    # Each spelling is normalised once, not once per document.
+    w = durable(documents(spark, d).select("id", F.explode("columns").alias("c")))
+    names = w.select("c").distinct().withColumn("name", text.normalize_column("c"))
     return (
-        w.select("id", text.normalize_column("c").alias("name"))
+        w.join(names, "c")
+        .select("id", "name")
         .distinct()
         .groupBy("name")
         .agg(F.count(F.lit(1)).alias("documents"))
@@ -476,6 +479,21 @@ def facet_counts(spark, d):
     return catalog.facet_counts(docs, "doc_id", F.array("lang"), "source", "format")
 
 
+@query
+def facet_labels(spark, d):
+    """Parts by type, brand and size, with the names of types and brands."""
+    part = table(spark, d, "part").withColumn("big", F.when(F.col("p_size") > 25, "big").otherwise("small"))
+
+    def named(facet, value):
+        return part.select(
+            F.lit(facet).alias("facet"), F.col(value).alias("value"), F.initcap(value).alias("label_en"),
+            F.lit(None).cast("string").alias("label_kh"), F.substring(value, 1, 3).alias("abbreviation"),
+        )
+
+    labels = named("category", "p_type").union(named("organization", "p_brand"))
+    return catalog.facet_counts(part, "p_partkey", F.array("p_type"), "p_brand", "big", labels)
+
+
 @query
 def count_data(spark, d):
     return catalog.count_data(documents(spark, d), "organization_id")
