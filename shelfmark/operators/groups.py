@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The heaviest keys are joined by broadcast. With this many of them, any other key holds
-# less than 1/HOT_KEYS of the rows, so the shuffle of the rest is even.
-HOT_KEYS = 10_000
+# Rows of one key that meet in one task; a key with more is dealt into salted parts.
+SALT_ROWS = 1_000_000
 
 
 def skew_join(
@@ -18,24 +17,35 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     counts: DataFrame | None = None,
-    hot_keys: int = HOT_KEYS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Join ``big`` with a table that holds each key once, whatever the keys' weights.
 
-    Rows of the ``hot_keys`` heaviest keys meet their partner through a broadcast of that
-    fixed number of rows and are never shuffled; only the others take part in the shuffled
-    join. ``big`` is read once per branch, so hand in a scan or a durable table. For
-    ``how="left"`` rows whose key holds a NULL are kept without a partner.
+    A key of more than ``salt_rows`` rows is dealt into parts of about that size, and its
+    partner is repeated for each part. So the repeated rows are at most one for every
+    ``salt_rows`` rows of ``big``, however wide they are, and nothing is broadcast that Spark
+    does not find small itself. ``counts`` (keys, rows) saves the counting. ``big`` is read
+    twice, so hand in a scan or a durable table. For ``how="left"`` rows whose key holds a
+    NULL are kept without a partner.
     """
     keys = list(keys)
     if counts is None:
         counts = big.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    name = counts.columns[len(keys)]
-    hot = counts.orderBy(F.col(name).desc(), *keys).limit(hot_keys).select(*keys)
-    hot_small = F.broadcast(small.join(F.broadcast(hot), keys, "left_semi"))
-    heavy = big.join(F.broadcast(hot), keys, "left_semi").join(hot_small, keys, how)
-    light = big.join(F.broadcast(hot), keys, "left_anti").join(small, keys, how)
-    return heavy.unionByName(light)
+    n = F.col(counts.columns[len(keys)])
+    heavy = counts.where(n > salt_rows).select(*keys, F.ceil(n / F.lit(salt_rows)).cast("int").alias("_k"))
+    parts = F.coalesce("_k", F.lit(1))
+    dealt = (
+        big.withColumn("_row", F.monotonically_increasing_id())
+        .join(heavy, keys, "left")
+        .withColumn("_part", F.pmod(F.xxhash64("_row"), parts).cast("int"))
+        .drop("_k", "_row")
+    )
+    repeated = (
+        small.join(heavy, keys, "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("_k")
+    )
+    return dealt.join(repeated, [*keys, "_part"], how).drop("_part")
 
 
 def attach_counts(
@@ -43,7 +53,7 @@ def attach_counts(
     keys: Sequence[str],
     aggs: Sequence[Column] = (),
     count: str = "n",
-    hot_keys: int = HOT_KEYS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Add the number of rows (and other aggregates) of a row's key to every row.
 
@@ -53,10 +63,7 @@ def attach_counts(
     keys = list(keys)
     df = df.dropna(subset=keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count), *aggs)
-    hot = counts.orderBy(F.col(count).desc(), *keys).limit(hot_keys)
-    with_hot = df.join(F.broadcast(hot), keys)
-    rest = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counts, keys)
-    return with_hot.unionByName(rest)
+    return skew_join(df, counts, keys, counts=counts.select(*keys, count), salt_rows=salt_rows)
 
 
 def sorted_lists(df: DataFrame, key: str, entry: Column, out: str) -> DataFrame:

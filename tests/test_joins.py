@@ -286,9 +286,9 @@ def test_similar_for_chosen_targets(spark):
 def test_counts_with_heavy_keys(spark):
     rows = [("hot", i) for i in range(50)] + [(f"k{i % 9}", i) for i in range(30)] + [(None, 1)]
     df = spark.createDataFrame(rows, "k string, v int")
-    got = {(r.k, r.n) for r in groups.attach_counts(df, ["k"], hot_keys=2).collect()}
+    got = {(r.k, r.n) for r in groups.attach_counts(df, ["k"], salt_rows=7).collect()}
     assert ("hot", 50) in got and len(got) == 10
-    assert groups.attach_counts(df, ["k"], hot_keys=2).count() == 80
+    assert groups.attach_counts(df, ["k"], salt_rows=7).count() == 80
 
 
 def test_skew_join_equals_join(spark):
@@ -296,7 +296,7 @@ def test_skew_join_equals_join(spark):
     df = spark.createDataFrame(rows, "k string, v int")
     small = spark.createDataFrame([("hot", 1), ("k1", 2), ("zz", 3)], "k string, w int")
     for how in ("inner", "left"):
-        got = sorted(groups.skew_join(df, small, ["k"], how, hot_keys=1).collect(), key=str)
+        got = sorted(groups.skew_join(df, small, ["k"], how, salt_rows=7).collect(), key=str)
         assert got == sorted(df.join(small, "k", how).collect(), key=str)
 
 
