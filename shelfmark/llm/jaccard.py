@@ -7,6 +7,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from shelfmark.llm.blocks import components, lists_of, map_buckets, spare
 from shelfmark.session import durable
@@ -74,59 +76,60 @@ def _flush(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: id, set size, digest of the set, prefix in hash order.
-
-    The prefix is long enough for ``ell`` = p matches, where p = n - need(n) + 1 is the plain
-    prefix length: two sets that link share at least p of their first 2p - 1 tokens.
-    """
-    schema = pa.schema(
-        [("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("pre", pa.list_(pa.int64()))]
-    )
+def _hashed(docs: DataFrame, width: int, out: str, row) -> DataFrame:
+    """``row(id, set)`` of every document, a tuple of the columns of ``out``."""
+    schema = to_arrow_schema(T.StructType.fromDDL(out))
 
     def run(batches):
         shingle, rows, held = Shingler(width), [], 0
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = shingle(text.as_py())
-                p = len(s) - need(len(s), percent) + 1 if len(s) else 0
-                key = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
-                pre = s[: max(0, 2 * p - 1)]
-                rows.append((i, len(s), key, pre))
-                held += len(pre)
-                if held > OUT_VALUES or len(rows) >= 10_000:
+                rows.append(row(i, shingle(text.as_py())))
+                held += len(rows[-1][-1]) if isinstance(rows[-1][-1], np.ndarray) else 1
+                if held > OUT_VALUES:
                     yield _flush(schema, rows)
                     rows, held = [], 0
         if rows:
             yield _flush(schema, rows)
 
-    return docs.mapInArrow(run, "id bigint, n bigint, key binary, pre array<bigint>")
+    return docs.mapInArrow(run, out)
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
-    schema = pa.schema(
-        [("id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("toks", pa.list_(pa.int64()))]
-    )
+def _keys(docs: DataFrame, width: int) -> DataFrame:
+    """Per row: id, size of the set, digest of the set (null if empty)."""
 
-    def run(batches):
-        shingle, rows, held = Shingler(width), [], 0
-        for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = shingle(text.as_py())
-                rows.append((i, xxhash.xxh3_128_digest(s.tobytes()), len(s), s))
-                held += len(s)
-                if held > OUT_VALUES:
-                    yield _flush(schema, rows)
-                    rows, held = [], 0
-        if rows:
-            yield _flush(schema, rows)
+    def row(i, s):
+        return i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+
+    return _hashed(docs, width, "id bigint, n bigint, key binary", row)
+
+
+def matches(n: int, percent: int, stretch: float) -> int:
+    """How many tokens of their first prefixes a set of ``n`` must share with a larger one."""
+    return max(1, int(stretch * (n - need(n, percent) + 1)))
+
+
+def _prefixes(docs: DataFrame, width: int, percent: int, stretch: float) -> DataFrame:
+    """Per row: id and the first p + matches - 1 tokens in hash order, p the plain prefix."""
+
+    def row(i, s):
+        n = len(s)
+        return i, s[: n - need(n, percent) + matches(n, percent, stretch)] if n else s
+
+    return _hashed(docs, width, "id bigint, pre array<bigint>", row)
+
+
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    def row(i, s):
+        return i, xxhash.xxh3_128_digest(s.tobytes()), len(s), s
 
-    return docs.mapInArrow(run, "id bigint, key binary, n bigint, toks array<bigint>")
+    return _hashed(docs, width, "id bigint, key binary, n bigint, toks array<bigint>", row)
 
 
-def _only(df: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
-    """Rows of ``df`` whose id is listed; the list is broadcast only while it is small."""
-    return df.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "id", "left_semi")
+def _filtered(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` whose id is listed, or not; the list is broadcast only while it is small."""
+    ids = durable(ids.select("id").distinct())
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", how)
 
 
 def _pairs_in_bucket(percent: int):
@@ -205,6 +208,7 @@ def jaccard_components(
     text_col: str = "text",
     width: int = 3,
     percent: int = 90,
+    stretch: float = 1.0,
 ) -> DataFrame:
     """Groups of documents whose shingle sets have Jaccard similarity >= percent/100.
 
@@ -217,9 +221,10 @@ def jaccard_components(
     Method (all exact):
 
     1. Equal sets are one class, named by its smallest id; all else runs on classes.
-    2. In hash order each class sends 2p - 1 tokens, p the plain prefix length. Two classes that
-       link share as many of them as the smaller one's p; a class with fewer of its tokens in
-       any other class has no link.
+    2. In hash order each class sends its first p + m - 1 tokens, p the plain prefix length and
+       m = ``stretch`` * p. Two classes that link share at least the smaller one's m of them; a
+       class with fewer of its tokens in any other class has no link. ``stretch`` only trades
+       the length of these prefixes for what goes on to the next step.
     3. Of the rest, tokens are ordered rare first by their exact counts; tokens of one class
        only lead the order and never become keys. Each class lengthens its prefix by ``ell`` - 1
        tokens, more where its keys lead to many candidates, and a pair must then share the
@@ -231,26 +236,32 @@ def jaccard_components(
     Hot keys are dealt in blocks (:func:`blocks.map_buckets`); nothing is capped.
     """
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    base = durable(_sketches(src, width, percent))
+    base = durable(_keys(src, width))
     sized = base.where("n > 0 and id is not null")
-    classes = durable(
-        sized.groupBy("key").agg(F.min(F.struct("id", "n", "pre")).alias("m")).select("key", "m.*")
+    classes = durable(sized.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n")))
+    # 2. hash order; what is read are the rows that stand for a class
+    copies = (
+        sized.join(classes.select("key", F.col("id").alias("rep")), "key")
+        .where("id <> rep")
+        .select("id")
+        .join(classes.select("id"), "id", "left_anti")
     )
-    # 2. hash order
-    tokens = classes.select("id", F.explode("pre").alias("tok"))
+    readable = src.dropna(subset=["id"])
+    firsts = durable(_prefixes(_filtered(readable, copies, "left_anti"), width, percent, stretch))
+    tokens = firsts.select("id", F.explode("pre").alias("tok"))
     shared = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tok")
     hits = tokens.join(shared, "tok", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("hits"))
     least = F.expr(f"(n * {percent} + 99) div 100")
     smaller = F.expr(f"(least * {percent} + 99) div 100")
+    wanted = F.greatest(F.lit(1), F.floor(F.lit(stretch) * (F.col("least") - smaller + 1)))
     live = durable(
         classes.select("key", "id", least.alias("least"))
         .join(hits, "id")
-        .where(F.col("hits") >= F.col("least") - smaller + 1)
+        .where(F.col("hits") >= wanted)
         .select("key", "id")
     )
-    n_live = live.count()
     # 3. rare first
-    fresh = _sets(_only(src, live.select("id").distinct(), n_live), width)
+    fresh = _sets(_filtered(readable, live, "left_semi"), width)
     sets = durable(
         fresh.join(live, ["key", "id"], "left_semi")
         .groupBy("key")

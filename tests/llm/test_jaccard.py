@@ -59,13 +59,14 @@ def family(rng, n_base, copies, edits):
     return rows
 
 
-@pytest.mark.parametrize("width,percent,seed", [(3, 90, 1), (5, 80, 2)])
-def test_equals_brute_force(spark, width, percent, seed):
+@pytest.mark.parametrize("width,percent,stretch,seed", [(3, 90, 1.0, 1), (5, 80, 0.5, 2), (2, 70, 0.0, 3)])
+def test_equals_brute_force(spark, width, percent, stretch, seed):
     rows = family(random.Random(seed), 40, 8, 5)
     got = jaccard.jaccard_components(
         spark.createDataFrame(rows, "doc_id long, text string").repartition(5),
         width=width,
         percent=percent,
+        stretch=stretch,
     ).collect()
     want = brute(rows, width, percent)
     assert {r.doc_id: r.component_id for r in got} == want
