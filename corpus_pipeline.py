@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word-shingle Jaccard similarity 0.8 or more."""
-    return jaccard.keep_one(docs, width=5, percent=80)
+    return jaccard.keep_one(docs, width=5, percent=80, stretch=0.5)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
