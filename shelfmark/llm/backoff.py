@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from shelfmark.llm.blocks import sorted_groups
 
 # Characters of text in one block of documents; a block's n-grams are held by one task.
-BLOCK_CHARS = 10 << 20
+BLOCK_CHARS = 9 << 20
 # Distinct words whose hashes a task remembers; beyond it the memory starts anew.
-WORDS = 300_000
+WORDS = 200_000
 # N-grams of one partition of the count tables, about.
-PART_GRAMS = 2_000_000
+PART_GRAMS = 1_500_000
 
 
 def _word_hashes(text: str | None, known: dict) -> np.ndarray:
@@ -56,14 +56,38 @@ def grams_of(words: np.ndarray, starts: np.ndarray, order: int) -> tuple[np.ndar
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Integers byte by byte: all lowest bytes, then all next ones; equal bytes shrink well."""
+    """Integers byte by byte, all lowest bytes first, which packs well; compressed."""
     width = values.dtype.itemsize
-    return values.view(np.uint8).reshape(-1, width).T.tobytes()
+    return pa.compress(values.view(np.uint8).reshape(-1, width).T.tobytes(), "zstd", asbytes=True)
 
 
-def _values(raw: bytes, dtype) -> np.ndarray:
+def _values(raw: bytes, dtype, n: int) -> np.ndarray:
     width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+    planes = pa.decompress(raw, n * width, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The documents of each batch and block as one compressed Arrow stream: block, docs."""
+
+    def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            blocks = batch.column(2).to_numpy()
+            for block in np.unique(blocks):
+                part = batch.select(["id", "text"]).filter(pa.array(blocks == block))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                    out.write_batch(part)
+                raw = sink.getvalue().to_pybytes()
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "docs": [raw]})
+
+    return docs.mapInArrow(run, "block int, docs binary")
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    parts = [pa.ipc.open_stream(raw.as_buffer()).read_all() for raw in table.column("docs")]
+    return pa.concat_tables(parts)
 
 
 def _words_of_block(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,18 +139,16 @@ def score_documents(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
         F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int").alias("block"),
-    ).repartition(blocks, "block")
+    )
+    dealt = _packed(dealt).repartition(blocks, "block")
     gram_schema = pa.schema(
-        [("part", pa.int32()), ("n", pa.int32()), ("block", pa.int32()),
+        [("part", pa.int32()), ("n", pa.int32()), ("block", pa.int32()), ("size", pa.int32()),
          ("grams", pa.binary()), ("counts", pa.binary())]
     )
 
-    def ready(table: pa.Table):
-        return _words_of_block(table.column("text"))
-
     def send(key, table):
         block = key[0].as_py()
-        words, starts, _ = ready(table)
+        words, starts, _ = _words_of_block(_unpacked(table).column("text"))
         rows = []
         for n in range(1, order + 1):
             grams, ok = grams_of(words, starts, n)
@@ -137,8 +159,8 @@ def score_documents(
                 if len(g):
                     step = np.diff(g, prepend=np.uint64(0))
                     c = counts[cut[p] : cut[p + 1]].astype(np.uint32)
-                    rows.append((p, n, block, _planes(step), _planes(c)))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                    rows.append((p, n, block, len(g), _planes(step), _planes(c)))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         return pa.Table.from_arrays(
             [pa.array(c, type=f.type) for c, f in zip(columns, gram_schema, strict=True)],
             schema=gram_schema,
@@ -146,10 +168,15 @@ def score_documents(
 
     def add_up(batches):
         for (part, n), table in sorted_groups(batches, ["part", "n"]):
+            sizes = table.column("size").to_pylist()
             whole = [
-                np.cumsum(_values(g.as_py(), np.uint64), dtype=np.uint64) for g in table.column("grams")
+                np.cumsum(_values(g.as_py(), np.uint64, k), dtype=np.uint64)
+                for g, k in zip(table.column("grams"), sizes, strict=True)
+            ]
+            own = [
+                _values(c.as_py(), np.uint32, k).astype(np.int64)
+                for c, k in zip(table.column("counts"), sizes, strict=True)
             ]
-            own = [_values(c.as_py(), np.uint32).astype(np.int64) for c in table.column("counts")]
             keys, place = np.unique(np.concatenate(whole), return_inverse=True)
             total = np.bincount(place, weights=np.concatenate(own), minlength=len(keys)).astype(np.int64)
             at = 0
@@ -161,16 +188,18 @@ def score_documents(
                         "block": pa.array([block], pa.int32()),
                         "part": pa.array([int(part)], pa.int32()),
                         "n": pa.array([int(n)], pa.int32()),
+                        "size": pa.array([len(w)], pa.int32()),
                         "others": pa.array([_planes(others)], pa.binary()),
                     }
                 )
 
     def score(key, table, got):
-        words, starts, sizes = ready(table)
+        docs_here = _unpacked(table)
+        words, starts, sizes = _words_of_block(docs_here.column("text"))
         doc = np.repeat(np.arange(len(sizes)), sizes)
         others = {
-            (n, p): o.as_py()
-            for n, p, o in zip(got["n"].to_pylist(), got["part"].to_pylist(), got["others"], strict=True)
+            (n, p): (o.as_py(), k)
+            for n, p, k, o in zip(*(got[c].to_pylist() for c in ("n", "part", "size")), got["others"], strict=True)
         }
         mean = np.full(len(sizes), np.nan)
         if len(words):
@@ -178,7 +207,11 @@ def score_documents(
             for n in range(1, order + 1):
                 grams, ok = grams_of(words, starts, n)
                 keys, place, counts = np.unique(grams[ok], return_inverse=True, return_counts=True)
-                rest = [_values(others[n, p], np.uint64) for p in range(parts) if (n, p) in others]
+                rest = [
+                    _values(others[n, p][0], np.uint64, others[n, p][1])
+                    for p in range(parts)
+                    if (n, p) in others
+                ]
                 total = np.concatenate([np.empty(0, np.uint64), *rest]).astype(np.int64) + counts
                 # less the document's own: each (document, n-gram) counted
                 place += doc[ok] * np.int64(len(keys))
@@ -200,17 +233,17 @@ def score_documents(
             full = np.bincount(doc, weights=value, minlength=len(sizes))
             mean = np.divide(full, sizes, out=mean, where=sizes > 0)
         return pa.Table.from_arrays(
-            [table.column("id"), pa.array(sizes), pa.array(mean, mask=sizes == 0)],
+            [docs_here.column("id"), pa.array(sizes), pa.array(mean, mask=sizes == 0)],
             names=["id", "n_words", "log_score"],
         )
 
     grams = dealt.groupBy("block").applyInArrow(
-        send, "part int, n int, block int, grams binary, counts binary"
+        send, "part int, n int, block int, size int, grams binary, counts binary"
     )
     back = (
         grams.repartition("part", "n")
         .sortWithinPartitions("part", "n", "block")
-        .mapInArrow(add_up, "block int, part int, n int, others binary")
+        .mapInArrow(add_up, "block int, part int, n int, size int, others binary")
     )
     corpus_words = _corpus_words(docs, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
