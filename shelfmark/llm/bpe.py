@@ -15,10 +15,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Distinct pieces a task remembers; beyond it the memory starts anew.
-PIECES = 400_000
+# Distinct pieces a task remembers at least; at twice as many the older ones go.
+PIECES = 80_000
 # Ids per Arrow batch that a task sends on are about this many.
-OUT_IDS = 1_000_000
+OUT_IDS = 500_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -34,7 +34,7 @@ def lower_each(text: str) -> str:
 
 
 class WordBPE:
-    """Encoder and decoder for a word-level BPE file: lower case, white space dropped.
+    """Encoder for a word-level BPE file: lower case, white space dropped.
 
     ``spec`` is the parsed tokenizer file. Strings of its added tokens are found first and
     become their ids. The rest of a text is normalised (NFC, lower case) and cut into pieces
@@ -60,8 +60,12 @@ class WordBPE:
         space = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
         self.pieces = regex.compile(pattern.replace(r"\s", space)).findall
         self.letters = byte_letters()
-        self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in added.items()}
         self.known: dict[str, array] = {}
+        self.older: dict[str, array] = {}
+
+    def forget(self) -> None:
+        """Give the memory of pieces back; workers outlive their tasks."""
+        self.known, self.older = {}, {}
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece: merges in order of rank, the leftmost first.
@@ -104,13 +108,16 @@ class WordBPE:
         return [self.vocab[s] for s in symbols if s and s in self.vocab]
 
     def _plain(self, text: str, out: array) -> None:
-        known = self.known
-        if len(known) > PIECES:
-            known.clear()
+        if len(self.known) > PIECES:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         for piece in self.pieces(lower_each(unicodedata.normalize("NFC", text))):
             ids = known.get(piece)
             if ids is None:
-                ids = known[piece] = array("i", self.merge(piece))
+                ids = older.get(piece)
+                if ids is None:
+                    ids = array("i", self.merge(piece))
+                known[piece] = ids
             out += ids
 
     def encode_into(self, text: str | None, out: array) -> None:
@@ -143,10 +150,30 @@ class WordBPE:
         offsets = pc.subtract(lists.offsets, lists.offsets[0])
         return pc.binary_join(pa.ListArray.from_arrays(offsets, strings), " ")
 
-    def decode(self, ids: list[int]) -> str:
-        """The ids' vocabulary strings; a file without a decoder puts a space between them."""
-        strings = self.strings
-        return " ".join([strings[i] for i in ids if i in strings])
+
+class Decoder:
+    """Vocabulary strings of ids; a file without a decoder puts a space between them."""
+
+    def __init__(self, spec: dict):
+        strings = {i: s for s, i in spec["model"]["vocab"].items()}
+        strings |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.strings = pa.array([strings.get(i) for i in range(max(strings) + 1)], pa.string())
+
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """Texts of many id lists; a null list is empty, unknown ids are skipped."""
+        lists = pc.fill_null(lists, pa.scalar([], type=lists.type)) if lists.null_count else lists
+        ids = lists.flatten()
+        known = pc.and_(pc.less(ids, len(self.strings)), pc.greater_equal(ids, 0))
+        strings = self.strings.take(pc.if_else(known, ids, None))
+        if strings.null_count:
+            whole = zip(lists.value_lengths().to_pylist(), strict=True)
+            parts, at = [], 0
+            for (n,) in whole:
+                parts.append(" ".join(x for x in strings[at : at + n].to_pylist() if x is not None))
+                at += n
+            return pa.array(parts, pa.string())
+        offsets = pc.subtract(lists.offsets, lists.offsets[0])
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, strings), " ")
 
 
 @lru_cache(maxsize=2)
@@ -154,6 +181,11 @@ def _coder(spec: str) -> WordBPE:
     return WordBPE(json.loads(spec))
 
 
+@lru_cache(maxsize=2)
+def _decoder(spec: str) -> Decoder:
+    return Decoder(json.loads(spec))
+
+
 def read_spec(path: str) -> str:
     """The tokenizer file, read on the driver; it travels to the tasks (a few MB, fixed)."""
     with open(path, encoding="utf-8") as f:
@@ -190,6 +222,7 @@ def encode(
                     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
                     start, ids, ends = i + 1, array("i"), [0]
+        coder.forget()
 
     return src.mapInArrow(run, schema)
 
@@ -206,9 +239,12 @@ def decode(
     spec = src.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches):
-        coder = _coder(spec.value)
+        coder = _decoder(spec.value)
         for batch in batches:
-            texts = coder.decode_lists(batch.column(ids_at))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=names)
+            step = max(1, batch.num_rows * OUT_IDS // max(1, len(batch.column(ids_at).flatten())))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                texts = coder.decode_lists(part.column(ids_at))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], texts], names=names)
 
     return src.mapInArrow(run, schema)
