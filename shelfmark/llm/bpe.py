@@ -223,6 +223,7 @@ def encode(
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
                     start, ids, ends = i + 1, array("i"), [0]
         coder.forget()
+        pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, schema)
 
@@ -246,5 +247,6 @@ def decode(
                 part = batch.slice(start, step)
                 texts = coder.decode_lists(part.column(ids_at))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], texts], names=names)
+        pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, schema)

@@ -16,7 +16,7 @@ from shelfmark.session import durable
 # A broadcast list of ids may hold this many; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
 # Hash lists per Arrow batch that a task sends on are about this long.
-OUT_VALUES = 2_000_000
+OUT_VALUES = 1_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -33,21 +33,22 @@ class Shingler:
     words, an empty or a null text has none.
     """
 
-    def __init__(self, width: int, cache: int = 400_000):
-        self.width, self.cache, self.words = width, cache, {}
+    def __init__(self, width: int, cache: int = 100_000):
+        self.width, self.cache, self.words, self.older = width, cache, {}, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.empty(0, dtype=np.int64)
-        known = self.words
-        if len(known) > self.cache:
-            known.clear()
+        if len(self.words) > self.cache:
+            self.words, self.older = {}, self.words
+        known, older = self.words, self.older
         got = list(map(known.get, words))
         if None in got:
             for i, (g, w) in enumerate(zip(got, words, strict=True)):
                 if g is None:
-                    got[i] = known[w] = xxhash.xxh64_intdigest(w)
+                    h = older.get(w)
+                    got[i] = known[w] = xxhash.xxh64_intdigest(w) if h is None else h
         h = np.array(got, dtype=np.uint64)
         width = min(self.width, len(h))
         n = len(h) - width + 1
@@ -91,6 +92,8 @@ def _hashed(docs: DataFrame, width: int, out: str, row) -> DataFrame:
                     rows, held = [], 0
         if rows:
             yield _flush(schema, rows)
+        del shingle, rows
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     return docs.mapInArrow(run, out)
 
