@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -98,9 +99,12 @@ class Scanner:
 
     def __init__(self, templates: Mapping[str, str], floor: float):
         self.floor = floor
-        self.templates = {name: words_of(t) for name, t in templates.items()}
-        self.counts = {name: Counter(t) for name, t in self.templates.items()}
-        self.every = {w for t in self.templates.values() for w in t}
+        self.templates = [(name, words_of(t)) for name, t in templates.items()]
+        self.counts = [Counter(t) for _, t in self.templates]
+        self.every = {w for _, t in self.templates for w in t}
+
+    def _enough(self, n: int, template: list[bytes]) -> bool:
+        return n / len(template) >= self.floor
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(name, coverage, first word, end word) of the best match of each template found."""
@@ -110,39 +114,64 @@ class Scanner:
             if w in self.every:
                 at.setdefault(w, []).append(i)
         found = []
-        for name, template in self.templates.items():
-            need = self.counts[name]
+        for k, (name, template) in enumerate(self.templates):
             # no alignment can cover more than the words that are there at all
-            most = sum(min(n, len(at.get(w, ()))) for w, n in need.items())
-            if not template or most < self.floor * len(template):
+            most = sum(min(n, len(at.get(w, ()))) for w, n in self.counts[k].items())
+            if not template or not self._enough(most, template):
                 continue
-            best = max((self._match(words, template, s) for s in self._stretches(words, template, at)),
-                       key=lambda m: (m[0], -m[1]))
-            if best[0] >= self.floor:
-                found.append((name, *best))
+            copies = [
+                (-len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1)
+                for pairs in self._copies(words, k, at)
+            ]
+            if copies:
+                cover, first, end = min(copies)
+                found.append((name, -cover, first, end))
         return found
 
-    def _stretches(self, words: list, template: list, at: dict) -> list[tuple[int, int]]:
-        """Parts of the text in which the template's rarest word occurs once."""
-        counts = Counter(template)
-        single = [w for w in template if counts[w] == 1 and w in at]
-        if not single:
-            return [(0, len(words))]
-        spots = at[min(single, key=lambda w: (len(at[w]), w))]
-        reach = 2 * len(template)
-        before = [-1, *spots[:-1]]
-        after = [*spots[1:], len(words)]
-        return [
-            (max(b + 1, s - reach), min(e, s + reach + 1))
-            for s, b, e in zip(spots, before, after, strict=True)
-        ]
-
-    def _match(self, words: list, template: list, part: tuple[int, int]) -> tuple[float, int, int]:
-        a, b = part
-        pairs = align(words[a:b], template)
-        if not pairs:
-            return 0.0, a, a
-        return len(pairs) / len(template), a + pairs[0][0], a + pairs[-1][0] + 1
+    def _copies(self, words: list, k: int, at: dict) -> Iterator[list[tuple[int, int]]]:
+        """Alignments of a template with every stretch of the text that may hold a copy.
+
+        A copy that lacks at most ``lack`` words begins with one of the first ``lack`` + 1
+        words of the template and ends with one of the last, so all stretches between such
+        words count that have enough of the template's words. Those with most words are
+        aligned first, then the shorter; a stretch is left out where a copy that overlaps it
+        has as many words as it could have.
+        """
+        template, counts = self.templates[k][1], self.counts[k]
+        size, lack = len(template), 0
+        while lack + 1 < size and self._enough(size - lack - 1, template):
+            lack += 1
+        heads, tails = set(template[: lack + 1]), set(template[-lack - 1 :])
+        hits = sorted((i, w) for w in counts for i in at.get(w, ()))
+        reach = 4 * size + 1
+        stretches = []
+        held: Counter[bytes] = Counter()
+        there = end = 0  # words that count in the ``reach`` from a hit on, and where it ends
+        for n, (a, head) in enumerate(hits):
+            while end < len(hits) and hits[end][0] < a + reach:
+                w = hits[end][1]
+                there += held[w] < counts[w]
+                held[w] += 1
+                end += 1
+            if head in heads and there >= size - lack:
+                seen: Counter[bytes] = Counter()
+                got = 0
+                for b, w in hits[n:end]:
+                    if seen[w] < counts[w]:
+                        seen[w] += 1
+                        got += 1
+                    if w in tails and got >= size - lack:
+                        stretches.append((-got, b - a, a, b + 1))
+            held[head] -= 1
+            there -= held[head] < counts[head]
+        covered = np.zeros(len(words) if stretches else 0, dtype=np.int32)
+        for got, _, a, b in sorted(stretches):
+            if covered[a:b].max() >= -got:
+                continue
+            pairs = align(words[a:b], template)
+            if self._enough(len(pairs), template):
+                np.maximum(covered[a:b], len(pairs), out=covered[a:b])
+                yield [(a + i, j) for i, j in pairs]
 
 
 def scan_licenses(

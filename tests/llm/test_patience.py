@@ -62,3 +62,43 @@ def test_odd_rows(spark):
         ("1", 0), ("2", 0), ("3", 1), ("3", 1), ("4", 1), ("None", 1)
     ]
     assert patience.scan_licenses(df.limit(0)).count() == 0
+
+
+def test_copies_that_lack_any_one_word():
+    """Whatever word a copy lacks, and wherever else that word stands, it is found as by brute force."""
+    template = "this work is licensed under the gnu general public license version three"
+    long = " ".join(f"t{i}" for i in range(20))
+    for text in (template, long):
+        words = text.split()
+        scanner = patience.Scanner({"T": text}, 0.9)
+        for k, word in enumerate(words):
+            less = " ".join(words[:k] + words[k + 1 :])
+            for gap in (3, 500):
+                filler = " ".join(["x"] * gap)
+                whole = f"{word} {filler} {less} {filler} {less} {filler}"
+                got = scanner.scan(whole)
+                near = patience.words_of(whole)
+                near = near[: 3 * len(words) + 10] if gap == 3 else near[gap : gap + 2 * len(words)]
+                brute = max(
+                    len(patience.align(near[a:b], patience.words_of(text)))
+                    for a in range(len(near)) for b in range(a, min(len(near), a + 4 * len(words) + 1) + 1)
+                )
+                assert [f[:2] for f in got] == [("T", brute / len(words))], (word, gap)
+
+
+def test_copies_among_their_own_words():
+    rng = random.Random(5)
+    for _ in range(150):
+        words = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(10, 14))]
+        scanner = patience.Scanner({"T": " ".join(words)}, 0.85)
+        template = patience.words_of(" ".join(words))
+        copy = list(words)
+        del copy[rng.randrange(len(copy))]
+        text = rng.choices("abcdefghijklmnop", k=8) + copy + rng.choices("abcdefghijklmnop", k=8)
+        body = patience.words_of(" ".join(text))
+        best = max(
+            len(patience.align(body[a:b], template)) for a in range(len(body)) for b in range(a, len(body) + 1)
+        )
+        got = scanner.scan(" ".join(text))
+        want = best / len(template)
+        assert [f[1] for f in got] == ([want] if want >= 0.85 else [])
