@@ -95,17 +95,37 @@ def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """Finds the templates that a text holds to at least ``floor`` of their words."""
+    """Finds the templates that a text holds to at least ``floor`` of their words.
+
+    A word of the text counts for one template only: copies that match more words take theirs
+    first, and what is left of a copy must still reach the floor. Where a template has a
+    sibling that differs in few words, a copy must have most of those words, so that a notice
+    of one version is never taken for another.
+    """
 
     def __init__(self, templates: Mapping[str, str], floor: float):
         self.floor = floor
         self.templates = [(name, words_of(t)) for name, t in templates.items()]
         self.counts = [Counter(t) for _, t in self.templates]
         self.every = {w for _, t in self.templates for w in t}
+        self.telling = [self._telling(k) for k in range(len(self.templates))]
 
     def _enough(self, n: int, template: list[bytes]) -> bool:
         return n / len(template) >= self.floor
 
+    def _telling(self, k: int) -> list[set[int]]:
+        """For each sibling of a template, the places in which the template differs from it."""
+        name, template = self.templates[k]
+        out = []
+        for (other, words), counts in zip(self.templates, self.counts, strict=True):
+            if other == name or not template:
+                continue
+            if self._enough((self.counts[k] & counts).total(), template):
+                same = align(words, template)
+                if self._enough(len(same), template) and len(same) < len(template):
+                    out.append(set(range(len(template))) - {j for _, j in same})
+        return out
+
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(name, coverage, first word, end word) of the best match of each template found."""
         words = words_of(text)
@@ -113,20 +133,29 @@ class Scanner:
         for i, w in enumerate(words):
             if w in self.every:
                 at.setdefault(w, []).append(i)
-        found = []
+        copies = []
         for k, (name, template) in enumerate(self.templates):
             # no alignment can cover more than the words that are there at all
             most = sum(min(n, len(at.get(w, ()))) for w, n in self.counts[k].items())
             if not template or not self._enough(most, template):
                 continue
-            copies = [
-                (-len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1)
-                for pairs in self._copies(words, k, at)
-            ]
-            if copies:
-                cover, first, end = min(copies)
-                found.append((name, -cover, first, end))
-        return found
+            for pairs in self._copies(words, k, at):
+                places = {j for _, j in pairs}
+                if self._enough(len(pairs), template) and all(
+                    2 * len(places & t) > len(t) for t in self.telling[k]
+                ):
+                    spots = [i for i, _ in pairs]
+                    copies.append((-len(pairs), spots[0], spots[-1], name, len(template), spots))
+        taken: set[int] = set()
+        best: dict[str, tuple[float, int, int]] = {}
+        for _, first, last, name, size, spots in sorted(copies):
+            if sum(i not in taken for i in spots) / size < self.floor:
+                continue
+            taken.update(spots)
+            got = (len(spots) / size, first, last + 1)
+            if name not in best or (-got[0], got[1]) < (-best[name][0], best[name][1]):
+                best[name] = got
+        return [(name, *got) for name, got in best.items()]
 
     def _copies(self, words: list, k: int, at: dict) -> Iterator[list[tuple[int, int]]]:
         """Alignments of a template with every stretch of the text that may hold a copy.
@@ -185,7 +214,8 @@ def scan_licenses(
 
     Each entry has ``name``, ``coverage`` (share of the template's words that align, at least
     ``floor``), and the words [``first``, ``end``) between which they lie. Of several
-    occurrences the one that covers most counts, then the first. A null, empty or clean text
+    occurrences the one that covers most counts, then the first. Words of the text count for
+    the template that matches most of them, and versions are told apart: see :class:`Scanner`. A null, empty or clean text
     has an empty list. Repeated rows and null ids stay rows of their own; other columns are
     ignored; an empty table gives no rows. One pass, no shuffle.
     """

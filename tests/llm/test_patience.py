@@ -64,6 +64,30 @@ def test_odd_rows(spark):
     assert patience.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_versions_are_told_apart():
+    scanner = patience.Scanner(patience.TEMPLATES, 0.9)
+    two, three = patience.TEMPLATES["GPL-2.0"], patience.TEMPLATES["GPL-3.0"]
+    names = lambda text: sorted(f[0] for f in scanner.scan(text))
+    assert names(f"a b {two} c") == ["GPL-2.0"]
+    assert names(f"a b {three} c") == ["GPL-3.0"]
+    assert names(f"{three} filler {two}") == ["GPL-2.0", "GPL-3.0"]
+    assert names(three.replace("GNU ", "")) == ["GPL-3.0"]
+    # neither version is named
+    assert names(three.replace("3", "9")) == []
+
+
+def test_licenses_of_the_larger_shared_table(spark):
+    from shelfmark.llm.queries import QUERIES
+
+    d = "/root/testdata/sf0.01"
+    notices = {n: patience.TEMPLATES[n] for n in ("Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "MIT")}
+    got = {r.doc_id: r.names for r in QUERIES["op6_license_scan"](spark, d).collect()}
+    texts = spark.read.parquet(f"{d}/documents.parquet").collect()
+    want = {r.doc_id: ",".join(n for n, line in notices.items() if line in (r.text or "")) for r in texts}
+    assert any("GPL-3.0" in names for names in want.values())
+    assert got == want
+
+
 def test_copies_that_lack_any_one_word():
     """Whatever word a copy lacks, and wherever else that word stands, it is found as by brute force."""
     template = "this work is licensed under the gnu general public license version three"
