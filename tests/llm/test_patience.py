@@ -126,3 +126,35 @@ def test_copies_among_their_own_words():
         got = scanner.scan(" ".join(text))
         want = best / len(template)
         assert [f[1] for f in got] == ([want] if want >= 0.85 else [])
+
+
+def test_usual_texts_reworded_and_wrapped():
+    scanner = patience.Scanner(patience.LICENSES, 0.9)
+    rng = random.Random(6)
+    for name, forms in patience.TEXTS.items():
+        for form in forms:
+            words = form.split()
+            assert [f[:2] for f in scanner.scan(form)] == [(name, 1.0)]
+            wrapped = "\n".join(" * " + " ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+            text = f"/*\n * Copyright 2020 Some One\n{wrapped}\n */ int main"
+            assert [f[:2] for f in scanner.scan(text)] == [(name, 1.0)]
+            if len(words) > 60:
+                for _ in range(5):
+                    changed = list(words)
+                    # "Lesser" and numbers tell licences apart
+                    plain = [i for i, w in enumerate(words) if len(w) > 3 and w[0].islower() and w.isalpha() and w not in ("either", "later")]
+                    for i in rng.sample(plain, len(words) // 25):
+                        changed[i] = rng.choice(["", "reworded", "two words"])
+                    got = scanner.scan("Some text. " + " ".join(changed) + " More text.")
+                    assert [f[0] for f in got] == [name] and 0.9 <= got[0][1] < 1, (name, changed)
+
+
+def test_spdx_lines():
+    scanner = patience.Scanner(patience.LICENSES, 0.9)
+    names = lambda text: sorted(f[0] for f in scanner.scan(text))
+    assert names("// SPDX-License-Identifier: mit\ncode") == ["MIT"]
+    assert names("# SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) OR EUPL-1.2 */") == [
+        "EUPL-1.2", "GPL-2.0-only"
+    ]
+    assert names("SPDX-License-Identifier:") == []
+    assert scanner.scan("two words\nSPDX-License-Identifier: MIT\nmore") == [("MIT", 1.0, 2, 4)]
