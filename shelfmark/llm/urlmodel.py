@@ -6,19 +6,20 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.blocks import spare
+from shelfmark.operators.groups import skew_join
+from shelfmark.session import durable
 
 # Longest context in characters.
 ORDER = 5
-# A context is kept if it was seen this often ...
+# A context counts if it was seen this often.
 MIN_COUNT = 4
-# ... and at least in this share of a model's transitions: so no model has more than
-# (ORDER + 1) * SHARE contexts, whatever the number of URLs.
-SHARE = 100_000
+# Positions of URLs with the same characters that go to one part of a join.
+PART_ROWS = 4096
+# Log-likelihoods are added up in whole multiples of 1/UNIT, in whatever order.
+UNIT = 10**12
 # Scores are clipped here, and calibrated on bins of 1/1000.
 CLIP = 12.0
 START, END = "\x02", "\x03"
@@ -119,21 +120,77 @@ def _transitions(urls: DataFrame, order: int) -> DataFrame:
     )
 
 
-def _fit_models(urls: DataFrame, order: int) -> dict[int, MarkovModel]:
-    counts = _transitions(urls, order)
-    totals = counts.groupBy("cls", "context").agg(F.sum("n").alias("total"))
-    whole = totals.where("context = ''").select("cls", F.col("total").alias("whole"))
-    kept = (
-        totals.join(F.broadcast(whole), "cls")  # two rows at most
-        .where((F.col("total") >= MIN_COUNT) & (F.col("total") >= F.col("whole") / SHARE))
-        .select("cls", "context")
+def _counted(urls: DataFrame, marked: DataFrame, order: int) -> DataFrame:
+    """Every context and character of ``urls`` (s), with what the models know of them.
+
+    ``n0`` and ``n1``: how often the character followed in the rejected and accepted examples;
+    ``all0``, ``kinds0`` and so on: characters and different characters after the context;
+    ``m``: positions in ``urls``.
+    """
+    each = _transitions(marked.unionByName(urls.select(F.lit(2).alias("cls"), "s")), order)
+    n = [F.sum(F.when(F.col("cls") == c, F.col("n")).otherwise(0)) for c in range(3)]
+    pairs = each.groupBy("context", "char").agg(n[0].alias("n0"), n[1].alias("n1"), n[2].alias("m"))
+    context = Window.partitionBy("context")
+    known = {}
+    for c in "01":
+        known["all" + c] = F.sum("n" + c).over(context)
+        known["kinds" + c] = F.sum((F.col("n" + c) > 0).cast("long")).over(context)
+    return durable(pairs.withColumns(known).where("m > 0"))
+
+
+def _gram_scores(counted: DataFrame, order: int, alphabet: int = 1024) -> DataFrame:
+    """``gram`` (longest context and character), ``d`` and ``m``: log-likelihood differences.
+
+    The models are those of :class:`MarkovModel`. Each length of context joins the next
+    shorter one, whose probabilities are a table as well.
+    """
+    ends = None
+    shorter = None
+    for k in range(order + 1):
+        level = counted.where(F.length("context") == k)
+        if shorter is None:
+            level = level.withColumns({"q0": F.lit(1.0 / alphabet), "q1": F.lit(1.0 / alphabet)})
+        else:
+            level = level.withColumn("rest", F.expr("substring(context, 2)")).join(shorter, ["rest", "char"])
+        for c in "01":
+            n, total, kinds, q = (F.col(x + c) for x in ("n", "all", "kinds", "q"))
+            p = F.when(total >= MIN_COUNT, (n + kinds * q) / (total + kinds)).otherwise(q)
+            level = level.withColumn("p" + c, p)
+        # a URL's first characters have no longer context
+        last = level if k == order else level.where(F.col("context").startswith(START))
+        d = F.round((F.log("p1") - F.log("p0")) * UNIT).cast("long")
+        last = last.select(F.concat("context", "char").alias("gram"), d.alias("d"), "m")
+        ends = last if ends is None else ends.unionByName(last)
+        shorter = level.select(
+            F.col("context").alias("rest"), "char", F.col("p0").alias("q0"), F.col("p1").alias("q1")
+        )
+    return durable(ends)
+
+
+def _url_scores(urls: DataFrame, marked: DataFrame, order: int) -> DataFrame | None:
+    """s and score of distinct ``urls`` (id, s, w); None if a side has no examples.
+
+    The score is the clipped difference of the log-likelihoods per character.
+    """
+    counted = _counted(urls, marked, order)
+    top = counted.where("context = ''").select("all0", "all1").first()
+    if top is None or min(top) < MIN_COUNT:
+        return None
+    grams = _gram_scores(counted, order)
+    whole = F.concat(F.lit(START), F.col("s"), F.lit(END))
+    positions = urls.select("id", whole.alias("s")).select(
+        "id", "s", F.explode(F.sequence(F.lit(2), F.length("s"))).alias("i")
+    )
+    first = f"greatest(1, i - {order})"
+    positions = positions.select("id", F.expr(f"substring(s, {first}, i - {first} + 1)").alias("gram"))
+    sums = (
+        skew_join(positions, grams.select("gram", "d"), ["gram"], counts=grams.select("gram", "m"), salt_rows=PART_ROWS)
+        .groupBy("id")
+        .agg((F.sum("d") / UNIT).alias("d"))
     )
-    rows = counts.join(kept, ["cls", "context"]).select("cls", "context", "char", "n")
-    # bounded by SHARE; the driver holds the models anyway
-    by_class: dict[int, list] = {}
-    for r in rows.collect():
-        by_class.setdefault(r.cls, []).append((r.context, r.char, r.n))
-    return {c: MarkovModel(v, order) for c, v in by_class.items()}
+    score = F.col("d") / (F.length("s") + 1)
+    clipped = F.round(F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), score)), 9)
+    return durable(urls.join(sums, "id").select("s", "w", clipped.alias("score")))
 
 
 def calibrate(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -164,31 +221,6 @@ def calibrate(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
     return a, b
 
 
-def _score_rows(df: DataFrame, models: dict[int, MarkovModel], text: str, out: str) -> DataFrame:
-    """``df`` with the clipped difference of the log-likelihoods per character."""
-    names = [*df.columns, out]
-    at = df.columns.index(text)
-    src = df.withColumn(out, F.lit(0.0))
-    sent = df.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches):
-        good, bad = sent.value[1], sent.value[0]
-        known: dict[str, float] = {}
-        for batch in batches:
-            scores = []
-            for s in batch.column(at).to_pylist():
-                if s not in known:
-                    if len(known) > 200_000:
-                        known.clear()
-                    d = (good.log_likelihood(s) - bad.log_likelihood(s)) / (len(s) + 1)
-                    known[s] = round(max(-CLIP, min(CLIP, d)), 9)
-                scores.append(known[s])
-            columns = [*batch.columns[:-1], pa.array(scores, type=pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return src.mapInArrow(run, src.schema)
-
-
 def filter_urls(
     pages: DataFrame,
     rules: Sequence[Rule],
@@ -221,20 +253,28 @@ def filter_urls(
         (F.col("_said") == "allow").cast("int").alias("cls"), F.col("_s").alias("s")
     )
     fold = F.pmod(F.xxhash64(F.lit("fold"), "s"), F.lit(held_out))
-    models = _fit_models(marked.where(fold != 0), order)
-    if len(models) < 2:
+    urls = durable(
+        src.groupBy("_s").agg(F.count(F.lit(1)).alias("w"))
+        .select(F.monotonically_increasing_id().alias("id"), F.col("_s").alias("s"), "w")
+    )
+    scores = _url_scores(urls, marked.where(fold != 0), order)
+    if scores is None:
         scored = src.withColumns({"score": F.lit(0.0), "p_allow": F.lit(0.5)})
     else:
-        (score,) = spare(["cls", "s"], "score")
+        scored = skew_join(
+            src, scores.select(F.col("s").alias("_s"), "score"), ["_s"],
+            counts=scores.select(F.col("s").alias("_s"), "w"),
+        )
         bins = (
-            _score_rows(marked.where(fold == 0), models, "s", score)
-            .groupBy(F.round(score, 3).alias("x"), "cls")
+            scored.where("_said is not null")
+            .where(F.pmod(F.xxhash64(F.lit("fold"), "_s"), F.lit(held_out)) == 0)
+            .groupBy(F.round("score", 3).alias("x"), (F.col("_said") == "allow").cast("int").alias("cls"))
             .agg(F.count(F.lit(1)).alias("n"))
             .orderBy("x", "cls")
             .collect()  # 2 * CLIP * 1000 bins a side at most
         )
         a, b = calibrate([(r.x, r.cls, r.n) for r in bins])
-        scored = _score_rows(src, models, "_s", "score").withColumn(
+        scored = scored.withColumn(
             "p_allow", 1 / (1 + F.exp(-(F.lit(a) * F.col("score") + F.lit(b))))
         )
     judged = F.when(F.col("p_allow") >= 0.5, "allow").otherwise("block")

@@ -85,3 +85,42 @@ def test_calibration_separates():
     a, b = urlmodel.calibrate([(-1.0, 0, 50), (-0.2, 1, 3), (0.1, 0, 2), (1.0, 1, 80)])
     assert a > 0 and abs(b) < 5
     assert urlmodel.calibrate([(1.0, 1, 5)]) == (1.0, 0.0)
+
+
+def test_scores_of_models_of_any_size(spark):
+    """Rare contexts count beside a very frequent URL: brute force with whole models."""
+    rng = random.Random(4)
+    often = [f"http://often.{end}{j}" for end in ("org/x", "com/de/x") for j in range(5)]
+    urls = often * 20_000
+    for _ in range(60):
+        tail = f"/{rng.choice(['fr', 'de'])}/{rng.choice(['zebra', 'quokka', 'été'])}{rng.randrange(9)}"
+        urls += [f"http://{rng.choice('uvw')}.{rng.choice(['org', 'com', 'net'])}{tail}"] * rng.randint(1, 9)
+    urls += ["", None, "no scheme", "http://new.net/zebra"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4)
+    got = urlmodel.filter_urls(df, URL_RULES).collect()
+    assert len(got) == len(urls)
+    fold = urlmodel.F.pmod(urlmodel.F.xxhash64(urlmodel.F.lit("fold"), "s"), urlmodel.F.lit(5))
+    marks = [(int(r.verdict == "allow"), urls[r.page_id]) for r in got if r.rule]
+    table = spark.createDataFrame(marks, "cls int, s string")
+    models = {}
+    for c in (0, 1):
+        seen = [r.s for r in table.where(fold != 0).where(f"cls = {c}").collect()]
+        counts = {}
+        for s, n in ((s, seen.count(s)) for s in set(seen)):
+            s = urlmodel.START + s + urlmodel.END
+            for i in range(1, len(s)):
+                for k in range(min(i, urlmodel.ORDER) + 1):
+                    own = counts.setdefault(s[i - k : i], {})
+                    own[s[i]] = own.get(s[i], 0) + n
+        rows = [
+            (a, b, n) for a, own in counts.items() if sum(own.values()) >= urlmodel.MIN_COUNT
+            for b, n in own.items()
+        ]
+        models[c] = urlmodel.MarkovModel(rows, urlmodel.ORDER)
+    want = {}
+    for r in got:
+        s = urls[r.page_id] or ""
+        if s not in want:
+            d = (models[1].log_likelihood(s) - models[0].log_likelihood(s)) / (len(s) + 1)
+            want[s] = max(-urlmodel.CLIP, min(urlmodel.CLIP, d))
+        assert abs(r.score - want[s]) < 2e-9, s
