@@ -152,10 +152,99 @@ SELECT dw.doc_id, len(dw.ws)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP11_ROUNDS = 10
+
+
+def _op11() -> str:
+    """Ten unrolled rounds over (vector, component, whole number) rows."""
+    ctes = [
+        """kept AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64
+), x AS MATERIALIZED (
+  SELECT vec_id, unnest(range(64))::INTEGER AS d, unnest(list_transform(v, lambda c: floor(1024 * c)::BIGINT)) AS n
+  FROM kept
+), s AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept
+), c0 AS MATERIALIZED (SELECT s.c::INTEGER AS c, x.d, x.n FROM s JOIN x USING (vec_id) WHERE s.c < 8)"""
+    ]
+    for r in range(_OP11_ROUNDS + 1):
+        ctes.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, min(c)::INTEGER AS c, min(dist) AS dist FROM (
+    SELECT *, min(dist) OVER (PARTITION BY vec_id) AS least FROM (
+      SELECT x.vec_id, k.c, sum((x.n - k.n) * (x.n - k.n))::BIGINT AS dist
+      FROM x JOIN c{r} k ON k.d = x.d GROUP BY x.vec_id, k.c)
+  ) WHERE dist = least GROUP BY vec_id)"""
+        )
+        if r < _OP11_ROUNDS:
+            ctes.append(
+                f"""m{r} AS (
+  SELECT a.c, x.d, sum(x.n)::BIGINT AS total, count(*) AS m FROM a{r} a JOIN x USING (vec_id) GROUP BY a.c, x.d
+), c{r + 1} AS MATERIALIZED (
+  SELECT k.c, k.d, CASE WHEN m.m IS NULL THEN k.n
+                        ELSE (m.total - ((m.total % m.m) + m.m) % m.m) // m.m END AS n
+  FROM c{r} k LEFT JOIN m{r} m ON m.c = k.c AND m.d = k.d)"""
+            )
+    last = _OP11_ROUNDS
+    return f"""WITH {", ".join(ctes)},
+h AS (SELECT c, sha256(string_agg(n::VARCHAR, ',' ORDER BY d)) AS digest FROM c{last} GROUP BY c)
+SELECT a.vec_id, a.c AS cluster, a.dist AS distance,
+       (sum(a.dist) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.dist) OVER ())::BIGINT AS inertia, h.digest AS centroid_sha256
+FROM a{last} a JOIN h USING (c)"""
+
+
+OP13 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS ws
+  FROM documents
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT w.part, coalesce(marks.good, false) AS good, coalesce(marks.toxic, false) AS toxic,
+         (len(ws) < 100)::INTEGER
+         + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INTEGER
+         + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * len(t))::INTEGER
+         + 8 * regexp_matches(t, '[#$%&*|]')::INTEGER
+         + 16 * (w.doc_id > min(w.doc_id) OVER (PARTITION BY t))::INTEGER AS mask
+  FROM w LEFT JOIN marks USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || letter FROM orders, letters WHERE position(letter IN o) = 0
+), steps AS (
+  SELECT o.o AS filter_order, k.step, l.letter, l.bit,
+         (SELECT coalesce(sum(b.bit), 0)::INTEGER FROM letters b WHERE position(b.letter IN o.o) < k.step) AS earlier
+  FROM (SELECT o FROM orders WHERE len(o) = 5) o, (SELECT unnest(range(1, 6)) AS step) k, letters l
+  WHERE l.letter = o.o[k.step:k.step]
+), counted AS (
+  SELECT c.part, s.filter_order, s.step, s.letter,
+         sum(CASE WHEN c.mask & (s.earlier | s.bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN c.mask & s.bit <> 0 AND c.mask & s.earlier = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN c.mask & s.bit <> 0 AND c.mask & s.earlier <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN c.mask = s.bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN c.mask & s.bit <> 0 AND c.mask & s.earlier = 0 THEN c.good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN c.mask & s.bit <> 0 AND c.mask & s.earlier = 0 THEN c.toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells c, steps s GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 SQL = {
     "op3_lattice_dedup": OP3,
     "op5_backoff_score": OP5,
     "op7_jaccard_join": OP7,
     "op8_decontaminate": OP8,
     "op10_extendible_shards": OP10,
+    "op11_hadamard_clusters": _op11(),
+    "op13_filter_audit": OP13,
 }

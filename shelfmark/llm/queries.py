@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import backoff, bpe, chat, cotrain, e8, fmindex, jaccard, patience, sharding
+from shelfmark.llm import (
+    audit, backoff, bpe, chat, cotrain, e8, fmindex, hadamard, jaccard, oneperm, patience, sharding,
+)
 from shelfmark.llm.urlmodel import Rule, filter_urls
 
 CHAT_TOKENIZER = "byte_bpe_50k.json"
@@ -106,11 +108,41 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op11_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hadamard.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = oneperm.with_next(_table(spark, sf_dir, "documents"))
+    head, cut = F.col("next_head"), F.floor(F.col("n_chars") / 3).cast("int")
+    own = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - cut).cast("int"))
+    edited = docs.withColumn("edited", F.concat(own, F.left(head, cut)))
+    prints = edited.withColumn(
+        "edited_print", F.when(head.isNotNull(), oneperm.fingerprint(F.col("edited")))
+    )
+    return prints.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        oneperm.as_hex(F.col("print")).alias("fingerprint"),
+        oneperm.as_hex(F.col("edited_print")).alias("edited_fingerprint"),
+        oneperm.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        oneperm.likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_cotrain_quality, op2_url_filter, op3_lattice_dedup, op4_chat_format,
         op5_backoff_score, op6_license_scan, op7_jaccard_join, op8_decontaminate,
-        op9_bpe_roundtrip, op10_extendible_shards,
+        op9_bpe_roundtrip, op10_extendible_shards, op11_hadamard_clusters,
+        op12_document_fingerprints, op13_filter_audit,
     )
 }
