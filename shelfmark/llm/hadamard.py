@@ -30,7 +30,7 @@ def walsh_hadamard(x: np.ndarray) -> np.ndarray:
     out = x.astype(np.int64)
     half = 1
     while half < DIM:
-        pairs = out.reshape(len(out), -1, 2, half)
+        pairs = out.reshape(len(out), DIM // (2 * half), 2, half)
         a, b = pairs[:, :, 0], pairs[:, :, 1]
         out = np.stack((a + b, a - b), axis=2).reshape(len(out), DIM)
         half *= 2
