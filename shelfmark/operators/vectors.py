@@ -68,6 +68,7 @@ class _Side:
         names = data.schema.names
         self.within = _ids(_flat(data.column("within"))) if "within" in names else None
         self.one_per = _ids(_flat(data.column("one_per"))) if "one_per" in names else None
+        self.floor = data.column("floor").to_numpy() if "floor" in names else None
 
 
 def _codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +93,8 @@ def _best(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, corpus row, score) of the k best or all that reach the threshold.
 
-    With a ``within`` value only rows of the same value are compared at all.
+    With a ``within`` value only rows of the same value are compared at all; queries with a
+    ``floor`` have their own threshold.
     """
     if len(q.unit) and len(c.unit) and q.unit.shape[1] != c.unit.shape[1]:
         raise ValueError("vectors differ in length")
@@ -125,7 +127,7 @@ def _best_of(q, c, q_rows, c_rows, k, threshold, drop_self):
         s = np.round(q.unit[mine] @ unit.T, TIE_DIGITS) + 0.0
         if drop_self:
             s[q.ids[mine, None] == c_ids[None, :]] = -np.inf
-        floor = np.full(len(s), -2.0 if threshold is None else threshold)
+        floor = np.full(len(s), -2.0 if threshold is None else threshold) if q.floor is None else q.floor[mine]
         if k is not None and groups is None and s.shape[1] > k:
             floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
         r, col = np.nonzero(s >= floor[:, None])
@@ -297,6 +299,7 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
         F.col("cell"),
     )
     q_slices = max(1, math.ceil(n_queries / slice_rows))
+    own = "floor" in queries.columns
 
     placed = placed.withColumn("c_slice", F.pmod(F.xxhash64("id"), per_cell.cast("bigint")))
     queries = queries.withColumn("q_slice", F.pmod(F.xxhash64("id"), F.lit(q_slices).cast("bigint")))
@@ -311,12 +314,12 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
         ).distinct()
         here = (F.col("cell") == F.col("r_cell")) & (F.col("c_slice") == F.col("r_slice"))
         right = placed.join(met, here).drop("cell", "c_slice")
-        gone = ("cells", "angle", "floor", "n_slices")
+        gone = ("cells", "angle", "n_slices", *(() if own else ("floor",)))
         return _grid_join(left.drop(*gone), right.drop(*gone), limit, threshold, drop_self, out)
 
     if k is None:
-        routed = _routes(queries.withColumn("floor", F.lit(float(threshold))), pivots, cells, "floor")
-        return visit(routed, None)
+        asked = queries if own else queries.withColumn("floor", F.lit(float(threshold)))
+        return visit(_routes(asked, pivots, cells, "floor"), None)
 
     # First look: the query's own cell gives a score its k-th best cannot fall below.
     home = visit(_place(queries, pivots).drop("angle"), k)
@@ -347,11 +350,14 @@ def _merge(found: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
 
 
 def _search(queries, corpus, k, threshold, drop_self, plan, slice_rows) -> DataFrame:
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("d")
-    ).first()
+    texts = [c for c in ("id", "within") if c in queries.columns]
+    # as Arrow table and as arrays: vectors twice, texts with a reference each
+    held = F.size("vector") * 16 + sum(
+        (F.octet_length(F.col(c).cast("string")) * 5 + 64 for c in texts), F.lit(8)
+    )
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("bytes")).first()
     if plan == "auto":
-        plan = "scan" if size["n"] * size["d"] * 8 <= BROADCAST_BYTES else "grid"
+        plan = "scan" if size["bytes"] <= BROADCAST_BYTES else "grid"
     if plan == "scan":
         return _scan(queries, corpus, k, threshold, drop_self)
     n_corpus = corpus.count()
@@ -396,6 +402,24 @@ def vector_pairs(
     return _search(left, right, None, threshold, False, plan, slice_rows)
 
 
+def vector_reach(
+    queries: DataFrame,
+    corpus: DataFrame,
+    floor: str,
+    within: str | None = None,
+    plan: str = "auto",
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """All (query_id, id) with a cosine of at least the query's own positive ``floor``, once each.
+
+    In the grid a query visits only the cells whose angle bound reaches its floor.
+    """
+    scope = [F.col(within).cast("string").alias("within")] if within else []
+    asked = queries.select("id", "vector", *scope, F.col(floor).cast("double").alias("floor"))
+    found = _search(asked, corpus.select("id", "vector", *scope), None, None, False, plan, slice_rows)
+    return found.select("query_id", "id").distinct()
+
+
 def overfetch_topk(queries: DataFrame, corpus: DataFrame, known: DataFrame, k: int, extra: int) -> DataFrame:
     """Ask for k + extra, then drop the query itself and unknown ids; may return fewer than k."""
     hits = vector_topk(queries, corpus, k + extra).drop("rank")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from shelfmark import schemas
-from shelfmark.operators.quality import EMAIL
-
 SQL: dict[str, str] = {}
 
 COLUMN_NAME = """
@@ -309,10 +306,38 @@ cosines AS (
 SELECT query_id, id, lang, round(score, 4) AS score, rank FROM nearest
 """
 
+SQL["stream_embed"] = f"""
+WITH t AS (
+  SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 3 = 0 THEN text || ' zzz' ELSE text END AS text FROM documents),
+v AS (SELECT id, {LETTERS.format(c='text')} AS v FROM t)
+SELECT id, list_sum(v)::BIGINT AS letters, v[26]::BIGINT AS z FROM v
+"""
+
 SQL["similar_global"] = similar("true")
 SQL["similar_category"] = similar("same_cat")
 SQL["similar_organization"] = similar("same_org")
 
+SQL["similar_planned"] = f"""
+WITH {SCORED},
+v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+cosines AS (
+  SELECT a.vec_id AS target_id, b.vec_id AS dataset_id,
+    greatest(round(coalesce(nullif(list_cosine_similarity(a.e, b.e), 'nan'::DOUBLE), 0), 9), 0) AS emb
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+planned AS (
+  SELECT t.* EXCLUDE (score), coalesce(c.emb, 0) AS emb,
+    co * 0.30 + ti * 0.15 + temporal::DOUBLE * 0.10 + coalesce(c.emb, 0) * 0.45 AS score
+  FROM totals t LEFT JOIN cosines c USING (target_id, dataset_id)),
+{ranked("true", "planned", name="everywhere")},
+{ranked("same_org", "planned", name="inside")},
+found AS (
+  SELECT 'global' AS scope, * FROM everywhere UNION ALL SELECT 'organization' AS scope, * FROM inside)
+SELECT scope, target_id, rank, dataset_id, round(score, 4) AS score, round(co, 4) AS column_overlap,
+  round(ti, 4) AS title_similarity, round(temporal::DOUBLE, 4) AS temporal_compatibility,
+  round(emb, 4) AS embedding_similarity
+FROM found
+"""
+
 SQL["semantic_columns"] = """
 WITH v AS (SELECT vec_id, vec_id // 10 AS d, embedding::DOUBLE[] AS e FROM embeddings),
 sims AS (
@@ -493,6 +518,46 @@ SQL["auto_suggest"] = f"""
 WITH {TITLES} SELECT DISTINCT title AS suggestion FROM titles WHERE contains(lower(title), 'ring') ORDER BY 1 LIMIT 10
 """
 
+SQL["suggest_many"] = f"""
+WITH {TITLES}, terms AS (
+  SELECT DISTINCT unnest(list_concat([p_name, p_brand[4:7]], string_split(p_name, ' '))) AS term FROM part),
+t AS (SELECT DISTINCT title AS suggestion FROM titles),
+hits AS (
+  SELECT term, suggestion, row_number() OVER (PARTITION BY term ORDER BY suggestion)::INT AS rank
+  FROM terms JOIN t ON contains(lower(suggestion), lower(term)))
+SELECT * FROM hits WHERE rank <= 10
+"""
+
+SQL["match_keywords"] = """
+WITH d AS (SELECT doc_id AS id, lower(concat_ws(' ', text, source)) AS t FROM documents),
+terms AS (
+  SELECT DISTINCT item_id AS key, unnest(string_split_regex(lower(text), '\\s+')) AS term FROM benchmark),
+words AS (SELECT DISTINCT term FROM terms WHERE term <> ''),
+hit AS (SELECT term, id FROM words JOIN d ON contains(d.t, term)),
+df AS (SELECT term, count(*) AS n FROM hit GROUP BY term),
+w AS (SELECT term, ln(1 + ((SELECT count(*) FROM d) - n + 0.5) / (n + 0.5)) AS w FROM df),
+m AS (
+  SELECT key, id, count(*) AS relevance, sum(w) AS weight
+  FROM terms JOIN hit USING (term) JOIN w USING (term) GROUP BY key, id),
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY relevance DESC, round(weight, 6) DESC, id)::INT AS rank FROM m)
+SELECT key, id, relevance, round(weight, 4) AS weight, rank FROM r WHERE rank <= 20
+"""
+
+_SORTS = {
+    "NEWEST": "lpad((id * 7919 % 1000)::VARCHAR, 4, '0')",
+    "RECENTLY_UPDATED": "CASE WHEN id % 10 > 0 THEN lpad((id * 31 % 97)::VARCHAR, 3, '0') END",
+    "MOST_DOWNLOADED": "id * 17 % 53",
+    "MOST_POPULAR": "views_count",
+    "MOST_RELEVANT": "contains(t, 'ring')::INT + contains(t, 'small')::INT",
+}
+SQL["sort_orders"] = f"WITH {LISTING}" + " UNION ALL ".join(
+    f"""
+SELECT * FROM (
+  SELECT '{name}' AS sort_by, row_number() OVER (ORDER BY {order} DESC NULLS LAST, id) AS position, id, name FROM listing
+  WHERE contains(t, 'ring') OR contains(t, 'small')) WHERE position <= 10"""
+    for name, order in _SORTS.items()
+)
+
 DESCRIBED = TITLES + """,
 described AS (
   SELECT id, regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g') || '-' || id AS slug,
@@ -578,6 +643,14 @@ SELECT l_orderkey, pos, 'part,supplier' AS columns, l_partkey::VARCHAR AS part,
 FROM lines JOIN n ON k = l_orderkey
 """
 
+SQL["preview_wide"] = f"""
+WITH {LINES}
+SELECT l_orderkey, pos, l_partkey AS part, CASE WHEN l_orderkey % 2 = 0 THEN l_quantity END AS amount,
+  CASE WHEN l_orderkey % 2 > 0 THEN 's' || l_suppkey END AS supplier,
+  CASE WHEN l_orderkey % 2 > 0 THEN (l_suppkey % 2 = 0)::VARCHAR END AS even
+FROM lines
+"""
+
 SQL["geo_features"] = f"""
 WITH {LINES}
 SELECT l_orderkey, pos, 'FeatureCollection' AS collection_type, 'Point' AS geometry_type,
@@ -640,12 +713,18 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_
 """
 SQL["latest_per_key"] = newest("event_type", "event_type AS name, event_id AS id, value, props")
 SQL["stream_latest"] = SQL["latest_per_key"]
+SQL["stream_latest_delayed"] = newest("user_id", "user_id AS name, event_id AS id, value")
 SQL["latest_per_user"] = newest("user_id, event_type", "user_id, event_type AS name, event_id AS id, value")
 SQL["today_only"] = newest(
     "event_type", "event_type AS currency_id, event_id AS id, value", "ts::DATE = DATE '2024-01-15'"
 )
 
-PROVINCE_LIST = "[" + ", ".join(f"'{p}'" for p in schemas.PROVINCES) + "]"
+# The provinces in the order of the catalogue.
+PROVINCE_LIST = """[
+  'Phnom Penh', 'Sihanoukville', 'Siem Reap', 'Battambang', 'Takeo', 'Koh Kong', 'Kratie', 'Kampot', 'Kep',
+  'Kampong Thom', 'Svay Rieng', 'Mondulkiri', 'Banteay Meanchey', 'Kandal', 'Prey Veng', 'Kampong Chhnang',
+  'Strung Treng', 'Preah Vihear', 'Tboung Khmum', 'Pailin', 'Ratanakiri', 'Kampong Speu', 'Kampong Cham',
+  'Oddar Meanchey', 'Pursat']"""
 SQL["validate_key"] = f"""
 WITH d AS (SELECT {PROVINCE_LIST} AS l),
 requested AS (
@@ -657,7 +736,7 @@ SELECT s_suppkey, r.name, CASE WHEN i >= 25 THEN 400 WHEN h.name IS NULL THEN 40
 FROM requested r LEFT JOIN have h ON h.name = r.name
 """
 
-_MAIL = EMAIL.replace("'", "''")
+_MAIL = "^[^@ ]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+$"
 SQL["validate_rows"] = f"""
 WITH s AS (
   SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '  ' ELSE ' ' || c_name END AS first_name, c_mktsegment AS last_name,
@@ -705,6 +784,22 @@ SELECT p_partkey, md5('Compare two datasets of an open-data catalogue.' || chr(1
 FROM part
 """
 
+SQL["judge_calls"] = f"""
+WITH p AS ({SQL["judge_prompts"]})
+SELECT p_partkey, (prompt[1] <> '0' AND prompt[2] < '8')::VARCHAR AS similar,
+  (prompt[1] <> '0' AND prompt[3] < '8')::VARCHAR AS joinable,
+  CASE WHEN prompt[1] = '0' THEN 'Error: ConnectionError: ' || prompt[1:4] ELSE prompt[4:9] END AS reasoning,
+  'judge' AS label_source
+FROM p
+"""
+
+SQL["landed_extras"] = """
+SELECT p_partkey::VARCHAR AS id, p_name AS name, p_partkey AS views_count, p_size::BIGINT AS organization_id,
+  p_brand AS organization_name, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS license, p_retailprice AS price,
+  p_brand || '|' || p_type AS tags
+FROM part
+"""
+
 SQL["labeled_pairs"] = f"""
 WITH {PAGES}, p AS (
   SELECT a.id + b.id AS n, len(list_intersect(a.columns, b.columns)) AS s, len(a.columns) AS na, len(b.columns) AS nb

@@ -21,7 +21,7 @@ def profile_hash(text: str | Column = "profile") -> Column:
     return F.sha2(F.col(text) if isinstance(text, str) else text, 256)
 
 
-def index_datasets(
+def embedded_pending(
     profiles: DataFrame,
     payload: DataFrame,
     stored: DataFrame,
@@ -29,19 +29,31 @@ def index_datasets(
     key: str = "profile",
     batch_size: int = PROFILE_BATCH,
 ) -> DataFrame:
-    """Stored vectors after embedding what is new.
+    """Vectors of what is new: id, vector, payload, profile_hash, error.
 
     ``profiles`` holds id and profile, ``payload`` id and payload, ``stored`` id, vector,
     payload, profile_hash, error. With ``key="profile"`` a changed profile is embedded
-    again, with ``key="id"`` every id is embedded once.
+    again, with ``key="id"`` every id is embedded once; one that failed is tried again.
     """
     todo = profiles.select("id", "profile").withColumn("profile_hash", profile_hash())
     keys = ["id", "profile_hash"] if key == "profile" else ["id"]
-    new = (
+    return (
         embed(pending(todo, stored, keys), "profile", fn, batch_size)
         .join(payload.select("id", "payload"), "id", "left")
         .select("id", "vector", "payload", "profile_hash", "error")
     )
+
+
+def index_datasets(
+    profiles: DataFrame,
+    payload: DataFrame,
+    stored: DataFrame,
+    fn: EmbedFn,
+    key: str = "profile",
+    batch_size: int = PROFILE_BATCH,
+) -> DataFrame:
+    """Stored vectors after embedding what is new (:func:`embedded_pending`)."""
+    new = embedded_pending(profiles, payload, stored, fn, key, batch_size)
     return upsert_vectors(stored, durable(new))
 
 

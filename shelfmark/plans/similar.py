@@ -1,14 +1,16 @@
 """Similar datasets by columns, title and time, for all datasets in one job.
 
-The score of a pair is 0.65 * column overlap + 0.25 * title overlap + 0.10 * temporal
-compatibility. Instead of scoring all pairs:
+The score of a pair is a weighted sum of column overlap, title overlap, temporal
+compatibility and, where the weights ask for it, the cosine of two record vectors. Instead
+of scoring all pairs:
 
 1. every target gets a few candidates at hand (neighbours on its rarest columns and title
-   words, and the first series of its scope); their k-th best score is a floor,
-2. a pair above the floor must reach a share of the column or of the title overlap; each
-   target splits its floor between the two where that reads fewest postings, only the
-   rarest columns and words those shares require are joined on, and pairs that share too
-   few of them are dropped by count,
+   words and by vector, and the first series of its scope); their k-th best score is a floor,
+2. a pair above the floor must reach a share of the column overlap, of the title overlap or
+   of the cosine; each target splits its floor between them where that reads fewest
+   postings and vectors. Only the rarest columns and words those shares require are joined
+   on, pairs that share too few of them are dropped by count, and a vector visits only the
+   cells whose angle bound can still reach its share,
 3. what is left is scored exactly and cut to the k best, one per series.
 
 Both cuts are safe: no pair among the k best is lost, however low its score. Heavy
@@ -19,6 +21,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,7 @@ from shelfmark.functions.scores import (
     DEFAULT_WEIGHTS,
     Weights,
     explain_match,
+    norm,
     temporal_compat,
     weighted_score,
 )
@@ -34,6 +39,7 @@ from shelfmark.functions.values import truthy
 from shelfmark.operators.groups import attach_counts, skew_join
 from shelfmark.operators.rank import diversify, topk_per_key
 from shelfmark.operators.setjoin import EPS
+from shelfmark.operators.vectors import TIE_DIGITS, matrix, vector_reach, vector_topk
 from shelfmark.session import durable
 
 SCOPES = ("global", "category", "organization")
@@ -42,8 +48,14 @@ PROBE_TOKENS = 8
 PROBE_ROWS = 16
 # Rows of one token in one salted bucket.
 SALT_ROWS = 20_000
-
-LINKS = "array<struct<name:string,rep:string,m:array<struct<b:string,sim:double>>>>"
+# Pairs of one candidate that meet in one task when its record is attached.
+PAIR_ROWS = 200_000
+# Shares of a floor that may be asked of the cosine, and what their cost is guessed from:
+# cosines with this many records by hash of the id, counted at this many levels.
+EMBED_SHARES = (0.3, 0.5, 0.7, 0.85, 1.0)
+SAMPLE, LEVELS = 512, 32
+# Cosines are compared at TIE_DIGITS digits, so this is the smallest one above zero.
+LEAST = 10.0**-TIE_DIGITS
 
 
 @dataclass(frozen=True)
@@ -65,6 +77,14 @@ def frame(records: DataFrame, options: Options = Options()) -> DataFrame:
     org = F.col("organization_id").cast("string")
     if options.match_null_org:
         org = F.coalesce(org, F.lit("\u0001"))
+    extra = []
+    if options.weights.embedding:
+        if "vector" not in records.columns:
+            raise ValueError("weights with an embedding part need a vector column")
+        v = F.col("vector").cast("array<double>")
+        length = norm(v)
+        unit = F.transform(v, lambda c: c / length)
+        extra = [F.when((F.size(v) > 0) & (length > 0), unit).alias("unit")]
     return durable(
         records.select(
             "id",
@@ -78,6 +98,7 @@ def frame(records: DataFrame, options: Options = Options()) -> DataFrame:
             F.array_distinct("columns").alias("columns"),
             F.array_distinct("columns").alias("tokens"),
             words("series_key").alias("title_words"),
+            *extra,
         )
     )
 
@@ -98,8 +119,7 @@ class ColumnMatches:
 
     Columns with equal vectors share one representative, so that many copies of a column
     do not make a pair each. ``names`` holds (name, rep) of every column with a vector,
-    ``looks`` one row per representative: rep, m (array of the representatives it matches,
-    itself included, with their similarity).
+    ``looks`` one row per match of a representative: rep, b, sim (itself included).
     """
 
     names: DataFrame
@@ -111,49 +131,46 @@ def column_matches(names: DataFrame, pairs: DataFrame) -> ColumnMatches:
     both = pairs.select("a", "b", "sim").unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")
     )
-    looks = (
-        both.groupBy("a", "b")
-        .agg(F.max("sim").alias("sim"))
-        .groupBy(F.col("a").alias("rep"))
-        .agg(F.collect_list(F.struct("b", "sim")).alias("m"))
-    )
+    looks = both.groupBy(F.col("a").alias("rep"), "b").agg(F.max("sim").alias("sim"))
     return ColumnMatches(durable(names.select("name", "rep")), durable(looks))
 
 
-def with_matches(recs: DataFrame, matches: ColumnMatches | None) -> DataFrame:
-    """Put representatives in ``tokens`` and what each column may match in ``links``."""
+@dataclass(frozen=True)
+class Linked:
+    """Columns of the records by what they mean: ``entries`` (id, name, rep) and ``looks``."""
+
+    entries: DataFrame
+    looks: DataFrame
+
+
+def with_matches(recs: DataFrame, matches: ColumnMatches | None) -> tuple[DataFrame, Linked | None]:
+    """Put representatives in ``tokens``; the columns with their representatives are rows."""
     if matches is None:
-        return recs
+        return recs, None
     entries = durable(recs.select("id", F.explode("columns").alias("name")))
     named = durable(skew_join(entries, matches.names, ["name"]))
-    linked = (
-        skew_join(named, matches.looks, ["rep"])
-        .groupBy("id")
-        .agg(
-            F.collect_set("rep").alias("tokens"),
-            F.collect_list(F.struct("name", "rep", "m")).alias("links"),
-        )
-    )
+    tokens = named.groupBy("id").agg(F.collect_set("rep").alias("tokens"))
     nothing = F.array().cast("array<string>")
-    out = recs.drop("tokens").join(linked, "id", "left").withColumn("tokens", F.coalesce("tokens", nothing))
-    return durable(out)
+    out = recs.drop("tokens").join(tokens, "id", "left").withColumn("tokens", F.coalesce("tokens", nothing))
+    return durable(out), Linked(named, matches.looks)
 
 
-def _column_score(linked: bool) -> Column:
-    largest = F.greatest(F.size("x.columns"), F.size("y.columns"))
-    if not linked:
-        matched = F.size(F.array_intersect("x.columns", "y.columns")).cast("double")
-    else:
-        best = F.transform(
-            F.coalesce("x.links", F.array().cast(LINKS)),
-            lambda e: F.array_max(
-                F.transform(
-                    F.filter(e["m"], lambda m: F.array_contains("y.tokens", m["b"])), lambda m: m["sim"]
-                )
-            ),
-        )
-        matched = F.aggregate(best, F.lit(0.0), lambda acc, s: acc + F.coalesce(s, F.lit(0.0)))
-    return F.when(largest > 0, matched / largest).otherwise(F.lit(0.0))
+def _matched(pairs: DataFrame, linked: Linked) -> DataFrame:
+    """Per pair the sum, over the target's columns, of the best match among the candidate's.
+
+    Columns of either side meet as rows, (target's column, candidate's representative), and
+    find their similarity in the table of matches; then the best per column, then the sum.
+    """
+    x = linked.entries.select(F.col("id").alias("target_id"), "name", "rep")
+    y = linked.entries.select("id", F.col("rep").alias("b")).distinct()
+    met = skew_join(pairs.select("target_id", "id"), y, ["id"], salt_rows=PAIR_ROWS).join(x, "target_id")
+    return (
+        skew_join(durable(met), linked.looks, ["rep", "b"])
+        .groupBy("target_id", "id", "name")
+        .agg(F.max("sim").alias("sim"))
+        .groupBy("target_id", "id")
+        .agg(F.sum("sim").alias("matched"))
+    )
 
 
 def _title_score() -> Column:
@@ -162,26 +179,44 @@ def _title_score() -> Column:
     return F.when(either > 0, shared / either).otherwise(F.lit(0.0))
 
 
-def score_pairs(pairs: DataFrame, recs: DataFrame, weights: Weights, linked: bool = False) -> DataFrame:
-    """Scores of (target_id, id) pairs: column, title and temporal part, and the sum."""
-    x = recs.alias("x")
-    y = recs.alias("y")
+def score_pairs(pairs: DataFrame, recs: DataFrame, weights: Weights, linked: Linked | None = None) -> DataFrame:
+    """Scores of (target_id, id) pairs: the parts that have a weight, and the sum.
+
+    A few candidates may be paired with every target (the first of a scope, or neighbours on
+    a frequent word), so their pairs are dealt into parts before records are attached. A
+    cosine below zero, or of a record without a vector, counts as zero.
+    """
+    pairs = durable(pairs)
+    largest = F.greatest(F.size("x.columns"), F.size("y.columns"))
+    matched = F.size(F.array_intersect("x.columns", "y.columns")).cast("double")
+    if linked is not None:
+        matched = F.coalesce("p.matched", F.lit(0.0))
+    y = recs.select("id", F.struct(*[c for c in recs.columns if c != "id"]).alias("y"))
+    met = skew_join(pairs, y, ["id"], salt_rows=PAIR_ROWS)
+    if linked is not None:
+        met = met.join(_matched(pairs, linked), ["target_id", "id"], "left")
+    parts = {
+        "column_overlap": F.when(largest > 0, matched / largest).otherwise(F.lit(0.0)),
+        "title_similarity": _title_score(),
+        "temporal_compatibility": temporal_compat(
+            F.col("x.frequency"), F.col("x.covered"), F.col("y.frequency"), F.col("y.covered")
+        ),
+    }
+    embedding = None
+    if weights.embedding:
+        products = F.zip_with("x.unit", "y.unit", lambda a, b: a * b)
+        near = F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
+        near = F.greatest(F.round(near, TIE_DIGITS), F.lit(0.0))
+        parts["embedding_similarity"] = F.coalesce(near, F.lit(0.0))
+        embedding = F.col("embedding_similarity")
     scored = (
-        pairs.alias("p")
-        .join(x, F.col("p.target_id") == F.col("x.id"))
-        .join(y, F.col("p.id") == F.col("y.id"))
-        .select(
-            "p.*",
-            F.col("y.series").alias("series"),
-            _column_score(linked).alias("column_overlap"),
-            _title_score().alias("title_similarity"),
-            temporal_compat(
-                F.col("x.frequency"), F.col("x.covered"), F.col("y.frequency"), F.col("y.covered")
-            ).alias("temporal_compatibility"),
-        )
+        met.alias("p")
+        .join(recs.alias("x"), F.col("p.target_id") == F.col("x.id"))
+        .select(*[f"p.{c}" for c in pairs.columns], F.col("y.series").alias("series"),
+                *[v.alias(k) for k, v in parts.items()])
     )
     total = weighted_score(
-        F.col("column_overlap"), F.col("title_similarity"), F.col("temporal_compatibility"), weights
+        F.col("column_overlap"), F.col("title_similarity"), F.col("temporal_compatibility"), weights, embedding
     )
     return scored.withColumn("score", total)
 
@@ -223,8 +258,7 @@ def _postings(scoped: DataFrame, tokens: str, size: Column) -> DataFrame:
 def _asked(postings: DataFrame, targets: DataFrame) -> DataFrame:
     """What each target looks for, one row per own token that others hold too.
 
-    scope_key, target_id, n, own, looks (the tokens it matches and how many records hold
-    each), weight (the sum of those).
+    scope_key, target_id, n, own, rep (the token itself), weight (records that hold it).
     """
     mine = postings.join(targets.select("scope_key", "id"), ["scope_key", "id"], "left_semi")
     return mine.where(F.col("f") > 1).select(
@@ -232,39 +266,41 @@ def _asked(postings: DataFrame, targets: DataFrame) -> DataFrame:
         F.col("id").alias("target_id"),
         "n",
         F.col("token").alias("own"),
-        F.array(F.struct("token", "f")).alias("looks"),
+        F.col("token").alias("rep"),
         F.col("f").alias("weight"),
     )
 
 
-def _asked_by_vector(postings: DataFrame, targets: DataFrame, matches: ColumnMatches) -> DataFrame:
-    """The same for columns that match by vector: looks holds the similar representatives."""
+def _asked_by_vector(postings: DataFrame, targets: DataFrame, linked: Linked) -> tuple[DataFrame, DataFrame]:
+    """The same for columns that match by vector, and what each representative looks for.
+
+    The second table has a row per token that a representative matches in a scope:
+    scope_key, rep, token, f (records that hold it); the weight is the sum of those.
+    """
     counts = postings.select("scope_key", "token", "f").distinct()
-    looks = (
-        matches.looks.select("rep", F.explode("m").alias("m"))
-        .select("rep", F.col("m.b").alias("token"))
-        .join(counts, "token")
-        .groupBy("scope_key", "rep")
-        .agg(F.collect_list(F.struct("token", "f")).alias("looks"), F.sum("f").alias("weight"))
+    looks = durable(
+        linked.looks.select("rep", F.col("b").alias("token")).join(counts, "token").select("scope_key", "rep", "token", "f")
     )
+    weights = looks.groupBy("scope_key", "rep").agg(F.sum("f").alias("weight"))
     mine = durable(
-        targets.select(
-            "scope_key",
-            F.col("id").alias("target_id"),
-            F.size("columns").alias("n"),
-            F.explode("links").alias("l"),
-        ).select("scope_key", "target_id", "n", F.col("l.name").alias("own"), F.col("l.rep").alias("rep"))
+        targets.select("scope_key", "id", F.size("columns").alias("n"))
+        .join(linked.entries, "id")
+        .select("scope_key", F.col("id").alias("target_id"), "n", F.col("name").alias("own"), "rep")
     )
-    return skew_join(mine, looks, ["scope_key", "rep"]).drop("rep")
+    asked = skew_join(mine, weights, ["scope_key", "rep"])
+    return durable(asked.select("scope_key", "target_id", "n", "own", "rep", "weight")), looks
 
 
-def _probe(postings: DataFrame, asked: DataFrame) -> DataFrame:
+def _probe(postings: DataFrame, asked: DataFrame, looks: DataFrame | None = None) -> DataFrame:
     """A few neighbours on each target's rarest shared tokens."""
     keys = ["scope_key", "token"]
     heads = topk_per_key(postings.select(*keys, "id"), keys, [F.col("id").asc()], PROBE_ROWS, "_r").drop("_r")
-    looks = asked.select("scope_key", "target_id", F.explode("looks").alias("l"))
+    if looks is None:
+        tokens = asked.select("scope_key", "target_id", F.col("rep").alias("token"), F.col("weight").alias("f"))
+    else:
+        tokens = skew_join(asked.select("scope_key", "target_id", "rep"), looks.where("f > 1"), ["scope_key", "rep"])
     rare = topk_per_key(
-        looks.select("scope_key", "target_id", "l.token", "l.f").where(F.col("f") > 1),
+        tokens.select("scope_key", "target_id", "token", "f").where(F.col("f") > 1),
         ["scope_key", "target_id"],
         [F.col("f").asc(), F.col("token").asc()],
         PROBE_TOKENS,
@@ -274,13 +310,73 @@ def _probe(postings: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def _rare_first(asked: DataFrame, name: str) -> DataFrame:
-    """One row per target of a scope: its tokens, rare ones first, and their full number."""
+    """One row per target of a scope: its own tokens, rare ones first, and their full number."""
     return asked.groupBy("scope_key", "target_id").agg(
         F.any_value("n").alias(f"n_{name}"),
-        F.sort_array(F.collect_list(F.struct("weight", "own", "looks"))).alias(f"o_{name}"),
+        F.sort_array(F.collect_list(F.struct("weight", "own", "rep"))).alias(f"o_{name}"),
     )
 
 
+def _with_vectors(scoped: DataFrame, *more: str) -> DataFrame:
+    return scoped.where("unit is not null").select("scope_key", "id", F.col("unit").alias("vector"), *more)
+
+
+def _vector_probe(scoped: DataFrame, targets: DataFrame, k: int) -> DataFrame:
+    """The nearest records by vector, one per series: with k series at hand the floor is real."""
+    hits = vector_topk(
+        _with_vectors(targets), _with_vectors(scoped, "series"), k,
+        drop_self=True, within="scope_key", one_per="series",
+    )
+    return hits.select(F.col("query_id").alias("target_id"), "id")
+
+
+def _vector_costs(scoped: DataFrame, targets: DataFrame) -> DataFrame:
+    """scope_key, target_id and ``reads``: about how many vectors of the scope lie at each level.
+
+    Level i counts cosines of i / LEVELS or more, by the cosines with a sample of records
+    (``SAMPLE`` at most, by hash of the id). It only steers what is read, never what counts.
+    """
+    scoped_vectors = durable(_with_vectors(scoped))
+    few = (
+        scoped_vectors.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
+    )
+    sample = matrix(few.column("vector"))
+    wanted = targets.where("unit is not null").select("scope_key", F.col("id").alias("target_id"), "unit")
+    kind = wanted.schema["target_id"].dataType.simpleString()
+
+    def count(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = matrix(batch.column(2)) @ sample.T
+            level = np.clip(np.floor(near * LEVELS + 1e-6), -1, LEVELS).astype(int)
+            held = np.zeros((len(level), LEVELS + 2))
+            np.add.at(held, (np.arange(len(level))[:, None], level + 1), 1.0 / max(1, level.shape[1]))
+            above = held[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(list(above), pa.list_(pa.float64()))],
+                names=["scope_key", "target_id", "share"],
+            )
+
+    shares = wanted.mapInArrow(count, f"scope_key string, target_id {kind}, share array<double>")
+    sizes = scoped_vectors.groupBy("scope_key").agg(F.count(F.lit(1)).alias("size"))
+    return skew_join(durable(shares), sizes, ["scope_key"]).select(
+        "scope_key", "target_id", F.transform("share", lambda x: x * F.col("size")).alias("reads")
+    )
+
+
+def _vector_reach(scoped: DataFrame, targets: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(target_id, id) of every pair whose cosine can reach the target's share."""
+    asked = bounds.where("reads is not null").select(
+        "scope_key",
+        F.col("target_id").alias("id"),
+        F.greatest(F.col("split.embedding") - 1e-7, F.lit(LEAST)).alias("floor"),
+    )
+    queries = durable(_with_vectors(targets).join(asked, ["scope_key", "id"]))
+    hits = vector_reach(queries, _with_vectors(scoped), "floor", within="scope_key")
+    return hits.where(F.col("query_id") != F.col("id")).select(F.col("query_id").alias("target_id"), "id")
+
+
 def _prefix_length(share: Column, n: Column, o: Column) -> Column:
     """How many of the rarest tokens must be looked at to meet every overlap >= share.
 
@@ -307,17 +403,23 @@ def _splits(excess: Column, w: Weights) -> list[tuple[Column, Column]]:
     return out
 
 
-def _bounds(by_column: DataFrame, by_word: DataFrame, floors: DataFrame, w: Weights) -> DataFrame:
+def _bounds(
+    by_column: DataFrame, by_word: DataFrame, floors: DataFrame, w: Weights, by_vector: DataFrame | None = None
+) -> DataFrame:
     """Per target and scope the cheapest split of its floor, with both sides' tokens.
 
-    The cost of a split is the number of postings its prefixes would read, so a target
-    avoids its frequent columns and words wherever the floor lets it.
+    The cost of a split is the number of postings its prefixes would read, and of vectors
+    that reach its cosine, so a target avoids its frequent columns and words, and cosines
+    that many records have, wherever the floor lets it. Without a vector the cosine is zero
+    and the floor is split between columns and title alone.
     """
     no_tokens = F.array().cast(by_word.schema["o_word"].dataType)
     keys = ["scope_key", "target_id"]
+    both = by_column.join(by_word, keys, "full_outer")
+    if by_vector is not None:
+        both = both.join(by_vector, keys, "full_outer")
     both = (
-        by_column.join(by_word, keys, "full_outer")
-        .join(floors, "target_id")
+        both.join(floors, "target_id")
         .withColumn("n_column", F.coalesce("n_column", F.lit(0)))
         .withColumn("n_word", F.coalesce("n_word", F.lit(0)))
         .withColumn("o_column", F.coalesce("o_column", no_tokens))
@@ -328,20 +430,34 @@ def _bounds(by_column: DataFrame, by_word: DataFrame, floors: DataFrame, w: Weig
         head = F.slice(f"o_{side}", F.lit(1), _prefix_length(share, F.col(f"n_{side}"), F.col(f"o_{side}")))
         return F.aggregate(head, F.lit(0).cast("bigint"), lambda acc, e: acc + e["weight"])
 
-    options = [
-        F.struct(
-            (cost(a, "column") + cost(b, "word")).alias("cost"), a.alias("column"), b.alias("word")
-        )
-        for a, b in _splits(F.col("excess"), w)
-    ]
+    excess = F.col("excess")
+    if by_vector is None:
+        options = [
+            F.struct((cost(a, "column") + cost(b, "word")).alias("cost"), a.alias("column"), b.alias("word"))
+            for a, b in _splits(excess, w)
+        ]
+        return durable(both.withColumn("split", F.array_min(F.array(*options))).drop("excess"))
+    options = []
+    for share in EMBED_SHARES:
+        # no cosine is above one, so no more than its weight can be asked of it
+        part = F.greatest(F.least(excess * share, F.lit(w.embedding)), F.lit(0.0))
+        part = F.when(F.col("reads").isNotNull(), part).otherwise(F.lit(0.0))
+        floor = part / w.embedding
+        level = F.floor(floor * LEVELS).cast("int")
+        reads = F.coalesce(F.element_at("reads", level + 1), F.lit(0.0))
+        for a, b in _splits(excess - part, w) if w.columns or w.title else [(F.lit(2.0), F.lit(2.0))]:
+            total = cost(a, "column") + cost(b, "word") + reads
+            options.append(
+                F.struct(total.alias("cost"), a.alias("column"), b.alias("word"), floor.alias("embedding"))
+            )
     return durable(both.withColumn("split", F.array_min(F.array(*options))).drop("excess"))
 
 
-def _reach(postings: DataFrame, bounds: DataFrame, side: str, one_to_one: bool) -> DataFrame:
+def _reach(postings: DataFrame, bounds: DataFrame, side: str, looks: DataFrame | None = None) -> DataFrame:
     """(target_id, id) of every pair whose overlap on one side can reach the target's share.
 
-    Equal tokens match ``one_to_one``; similar columns need not, several of the target's may
-    match the same one, so the other side's size says nothing then.
+    Equal tokens match one to one; similar columns (``looks``) need not, several of the
+    target's may match the same one, so the other side's size says nothing then.
     """
     o, share = F.col(f"o_{side}"), F.col("share")
     first = _prefix_length(share, F.col("n"), o)
@@ -351,9 +467,12 @@ def _reach(postings: DataFrame, bounds: DataFrame, side: str, one_to_one: bool)
         .withColumn("n", F.col(f"n_{side}"))
         .withColumn("behind", F.size(o) - first)
         .select(*keep, F.explode(F.slice(o, F.lit(1), first)).alias("e"))
-        .select(*keep, F.explode("e.looks").alias("l"))
-        .select(*keep, "l.token", "l.f")
+        .select(*keep, F.col("e.rep").alias("rep"), F.col("e.weight").alias("f"))
     )
+    if looks is None:
+        prefix = prefix.withColumnRenamed("rep", "token")
+    else:
+        prefix = skew_join(durable(prefix.drop("f")), looks, ["scope_key", "rep"]).drop("rep")
     # A heavy token becomes a square of buckets, each side spread over one of its edges.
     edge = F.ceil(F.col("f") / F.lit(SALT_ROWS)).cast("bigint")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), edge - 1))
@@ -371,7 +490,7 @@ def _reach(postings: DataFrame, bounds: DataFrame, side: str, one_to_one: bool)
         every.alias("row_salt"),
     )
     largest = F.greatest("n", "m")
-    most = F.least("n", "m") if one_to_one else F.col("n")
+    most = F.least("n", "m") if looks is None else F.col("n")
     near = (most >= largest * share - EPS) & (F.col("target_id") != F.col("id"))
     wanted = largest * share
     if side == "word":
@@ -391,12 +510,14 @@ def similar_in_scope(
     recs: DataFrame,
     scope: str,
     options: Options = Options(),
-    matches: ColumnMatches | None = None,
+    linked: Linked | None = None,
     targets: DataFrame | None = None,
 ) -> DataFrame:
-    """The k best of one scope for each target: target_id, id, rank, scores."""
+    """The k best of one scope for each target: target_id, id, rank, scores.
+
+    ``recs`` and ``linked`` come from :func:`frame` and :func:`with_matches`.
+    """
     k, w = options.k, options.weights
-    linked = matches is not None
     scoped = recs.withColumn("scope_key", F.explode(scope_keys(scope)))
     chosen = scoped
     if targets is not None:
@@ -404,12 +525,18 @@ def similar_in_scope(
 
     by_column = _postings(scoped, "tokens", F.size("columns"))
     by_word = _postings(scoped, "title_words", F.size("title_words"))
-    wanted_columns = _asked_by_vector(by_column, chosen, matches) if linked else _asked(by_column, chosen)
+    looks = None
+    if linked is None:
+        wanted_columns = _asked(by_column, chosen)
+    else:
+        wanted_columns, looks = _asked_by_vector(by_column, chosen, linked)
     wanted_words = _asked(by_word, chosen)
 
     at_hand = _fillers(scoped, chosen, k)
-    for postings, asked in ((by_column, wanted_columns), (by_word, wanted_words)):
-        at_hand = at_hand.unionByName(_probe(postings, asked))
+    at_hand = at_hand.unionByName(_probe(by_column, wanted_columns, looks))
+    at_hand = at_hand.unionByName(_probe(by_word, wanted_words))
+    if w.embedding:
+        at_hand = at_hand.unionByName(_vector_probe(scoped, chosen, k))
     at_hand = at_hand.where(F.col("target_id") != F.col("id")).distinct()
     first = durable(score_pairs(at_hand, recs, w, linked))
 
@@ -429,9 +556,12 @@ def similar_in_scope(
         .select("target_id", excess.alias("excess"))
     )
     bounds = _bounds(
-        _rare_first(wanted_columns, "column"), _rare_first(wanted_words, "word"), floors, w
-    )
-    found = _reach(by_column, bounds, "column", not linked).unionByName(_reach(by_word, bounds, "word", True))
+        _rare_first(wanted_columns, "column"), _rare_first(wanted_words, "word"), floors, w,
+        _vector_costs(scoped, chosen) if w.embedding else None,
+    )
+    found = _reach(by_column, bounds, "column", looks).unionByName(_reach(by_word, bounds, "word"))
+    if w.embedding:
+        found = found.unionByName(_vector_reach(scoped, chosen, bounds))
     new = found.distinct().join(first.select("target_id", "id"), ["target_id", "id"], "left_anti")
     scored = first.unionByName(score_pairs(new, recs, w, linked))
     best = diversify(scored, ["target_id"], "series", _order(), k)
@@ -466,7 +596,9 @@ def present(best: DataFrame, recs: DataFrame, reason: str | None = None) -> Data
     )
     rounded = [
         F.round(c, 4).alias(c)
-        for c in ("score", "column_overlap", "title_similarity", "temporal_compatibility")
+        for c in (
+            "score", "column_overlap", "title_similarity", "temporal_compatibility", "embedding_similarity"
+        )
         if c in best.columns
     ]
     return (
@@ -492,14 +624,14 @@ def similar_datasets(
 
     ``matches`` says which columns mean the same by their vectors (see
     ``search.column_similarity``); without it columns match by equal names. Weights with an
-    embedding part are refused, since no embedding is at hand here.
+    embedding part (``PLANNED_WEIGHTS``) need a ``vector`` column in the records, all vectors
+    of one length; a null or zero vector has a cosine of zero with every other, and a
+    negative cosine counts as zero.
     """
-    if options.weights.embedding:
-        raise ValueError("similar_datasets has no embedding term")
-    recs = with_matches(frame(records, options), matches)
+    recs, linked = with_matches(frame(records, options), matches)
     best = None
     for scope in scopes:
-        part = similar_in_scope(recs, scope, options, matches, targets)
+        part = similar_in_scope(recs, scope, options, linked, targets)
         best = part if best is None else best.unionByName(part)
     return present(best, recs)
 
@@ -512,9 +644,9 @@ def rerank_candidates(
     matches: ColumnMatches | None = None,
 ) -> DataFrame:
     """Score a candidate pool (target_id, id), such as the hits of a vector search, by scope."""
-    recs = with_matches(frame(records, options), matches)
+    recs, linked = with_matches(frame(records, options), matches)
     pool = candidates.select("target_id", "id").where(F.col("target_id") != F.col("id")).distinct()
-    scored = durable(score_pairs(pool, recs, options.weights, matches is not None))
+    scored = durable(score_pairs(pool, recs, options.weights, linked))
     best = None
     for scope in scopes:
         part = diversify(in_scope(scored, recs, scope), ["target_id"], "series", _order(), options.k)

@@ -6,6 +6,7 @@ text and scores rounded, so that results compare across engines.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -25,8 +26,7 @@ from shelfmark.plans import evaluation, records, search, series
 from shelfmark.plans import similar as sim
 from shelfmark.session import durable, ensure_checkpoint_dir
 from shelfmark.sources import envelopes, files
-from shelfmark.streaming.jobs import stream_incremental_catalog, stream_latest
-from shelfmark.streaming.tables import KeyedTable
+from shelfmark.streaming.jobs import stream_embed_pending, stream_incremental_catalog, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -307,6 +307,18 @@ def similar_organization(spark, d):
     return _similar_rows(sim.similar_datasets(pages(spark, d), scopes=("organization",)))
 
 
+@query
+def similar_planned(spark, d):
+    """The planned score with an embedding term; pages without a vector have a cosine of zero."""
+    recs = pages(spark, d).join(vectors(spark, d).select("id", "vector"), "id", "left")
+    options = sim.Options(weights=scores.PLANNED_WEIGHTS)
+    both = sim.similar_datasets(recs, options, scopes=("global", "organization"))
+    return both.select(
+        "scope", "target_id", "rank", "dataset_id", "score", "column_overlap", "title_similarity",
+        "temporal_compatibility", "embedding_similarity",
+    )
+
+
 def _vector_datasets(spark, d):
     """Ten vectors make a dataset, each vector is one of its columns."""
     v = vectors(spark, d).select(F.col("id").cast("string").alias("title"), "id", "vector")
@@ -554,6 +566,46 @@ def auto_suggest(spark, d):
     return catalog.auto_suggest(titles(spark, d), "Ring", "title", 10)
 
 
+@query
+def suggest_many(spark, d):
+    """Suggestions for every part name, every word of it and the first letters of each brand."""
+    part = table(spark, d, "part")
+    words_of = F.concat(F.array("p_name", F.substring("p_brand", 4, 4)), F.split("p_name", " "))
+    terms = part.select(F.explode(words_of).alias("term"))
+    return catalog.suggest_many(titles(spark, d), terms, "title", "term", 10)
+
+
+@query
+def match_keywords(spark, d):
+    """Documents by the words of every benchmark text at once: how many they contain, and how rare."""
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.col("text").alias("keyword"))
+    found = catalog.match_keywords(table(spark, d, "documents"), asked, ["text", "source"], "doc_id")
+    best = rank.topk_per_key(
+        found, ["key"], [F.col("relevance").desc(), F.round("weight", 6).desc(), F.col("id").asc()], 20
+    )
+    return best.select("key", "id", "relevance", F.round("weight", 4).alias("weight"), "rank")
+
+
+@query
+def sort_orders(spark, d):
+    """The first ten of a listing in each of the orders it can have."""
+    listing = _listing(spark, d).withColumns(
+        {
+            "created_at": F.lpad(F.pmod(F.col("id") * 7919, F.lit(1000)).cast("string"), 4, "0"),
+            "updated_at": F.when(F.col("id") % 10 > 0, F.lpad(F.pmod(F.col("id") * 31, F.lit(97)).cast("string"), 3, "0")),
+            "download_count": F.pmod(F.col("id") * 17, F.lit(53)),
+        }
+    )
+    out = None
+    for order in rank.SORT_COLUMNS:
+        page = catalog.search_catalog(listing, keyword="small ring", sort_by=order, page=1, page_size=10)
+        page = rank.display_rank(page, rank.catalog_order(order)).select(
+            F.lit(order).alias("sort_by"), "position", "id", "name"
+        )
+        out = page if out is None else out.unionByName(page)
+    return out
+
+
 def _described(spark, d):
     t = titles(spark, d)
     return t.select(
@@ -757,6 +809,27 @@ def json_payload(spark, d):
     return rows.select("id", "value", F.get_json_object("data", "$.k").cast("bigint").alias("k"))
 
 
+@query
+def preview_wide(spark, d):
+    """Previews whose fields change from body to body, as one typed table."""
+    old = F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("part"), x["l_quantity"].alias("amount")))
+    new = F.transform(
+        "lines",
+        lambda x: F.struct(
+            x["l_partkey"].alias("part"), F.concat(F.lit("s"), x["l_suppkey"]).alias("supplier of"), (x["l_suppkey"] % 2 == 0).alias("even")
+        ),
+    )
+    rows = F.when(F.col("l_orderkey") % 2 == 0, F.to_json(old)).otherwise(F.to_json(new))
+    body = F.concat(F.lit('{"data":{"results":'), rows, F.lit("}}"))
+    raw = _lines(spark, d).select("l_orderkey", body.alias("raw"))
+    wide = envelopes.wide_preview(durable(envelopes.preview_values(raw)))
+    return wide.select(
+        "l_orderkey", F.col("pos").cast("bigint").alias("pos"), F.col("part").cast("bigint").alias("part"),
+        F.col("amount").cast("double").alias("amount"), F.col("supplier of").alias("supplier"),
+        F.col("even").cast("string").alias("even"),
+    )
+
+
 @query
 def preview_rows(spark, d):
     rows = F.transform(
@@ -1017,6 +1090,35 @@ def judge_prompts(spark, d):
     return table(spark, d, "part").select("p_partkey", F.md5(prompt).alias("prompt"))
 
 
+@query
+def judge_calls(spark, d):
+    """A judge that is called in two runs: some prompts fail in the first, fewer in the second."""
+    prompt = evaluation.judge_prompt(F.col("p_name"), F.col("p_type"), F.array("p_brand", F.col("p_size").cast("string")))
+    pairs = table(spark, d, "part").select("p_partkey", prompt.alias("prompt"))
+    first = evaluation.judge_pending(pairs, None, _judge("0123"))
+    second = evaluation.judge_pending(pairs, durable(first), _judge("0"))
+    return evaluation.judged(pairs, second, "judge").select(
+        "p_partkey", F.col("similar").cast("string").alias("similar"), F.col("joinable").cast("string").alias("joinable"),
+        "reasoning", "label_source",
+    )
+
+
+def _judge(fails: str):
+    """A stand-in for a model: answers by the digits of the prompt's MD5, and fails on some."""
+
+    def fn(prompts):
+        out = []
+        for p in prompts:
+            digits = hashlib.md5(p.encode()).hexdigest()
+            if digits[0] in fails:
+                raise ConnectionError(digits[:4])
+            yes = [str(c < "8").lower() for c in digits[1:3]]
+            out.append(f'{{"similar": {yes[0]}, "joinable": {yes[1]}, "reasoning": "{digits[3:9]}"}}')
+        return out
+
+    return fn
+
+
 @query
 def labeled_pairs(spark, d):
     """Pairs of page schemas with the judgments that have arrived, and how they count."""
@@ -1087,6 +1189,29 @@ def landed_records(spark, d):
     )
 
 
+@query
+def landed_extras(spark, d):
+    """Fields of landed records that no schema names, beside the typed ones."""
+    part = table(spark, d, "part")
+    body = F.struct(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.col("p_name").alias("name"),
+        F.col("p_partkey").alias("views_count"),
+        F.struct(F.col("p_size").alias("organization_id"), F.col("p_brand").alias("name_en")).alias("organization"),
+        F.when(F.col("p_partkey") % 3 > 0, F.col("p_type")).alias("license"),
+        F.struct(F.col("p_retailprice").alias("price"), F.array("p_brand", "p_type").alias("tags")).alias("custom"),
+    )
+    path = _folder(spark, "extras")
+    part.repartition(3).select(F.to_json(body).alias("value")).write.text(path)
+    found = files.read_catalog(spark, path, whole_file=False, extras="raw")
+    named = files.extra_fields(found, "raw", "license string, custom struct<price:double,tags:array<string>>")
+    return named.select(
+        "id", "name", "views_count", F.col("organization.organization_id").alias("organization_id"),
+        F.col("organization.name_en").alias("organization_name"), "license", F.col("custom.price").alias("price"),
+        F.array_join("custom.tags", "|").alias("tags"),
+    )
+
+
 @query
 def similar_landed(spark, d):
     recs = durable(records.build_records(*_landed(spark, d)))
@@ -1150,6 +1275,9 @@ def rejected_vectors(spark, d):
 # ── streams ─────────────────────────────────────────────────────────────────────
 
 
+STREAM_BUCKETS = 4
+
+
 def _events_in_files(spark, d, n=4):
     """The events in several files, for a stream that reads one a batch."""
     path = _folder(spark, "events")
@@ -1164,9 +1292,9 @@ def stream_catalog(spark, d):
     feed = _events_in_files(spark, d).select(
         F.col("user_id").alias("id"), F.col("ts").alias("updated_at"), F.col("event_type").alias("name"), "event_id"
     )
-    store = KeyedTable(spark, _folder(spark, "entries"))
-    stream_incremental_catalog(feed, store).start().awaitTermination()
-    return store.read().select("id", "name", "event_id")
+    path = _folder(spark, "entries")
+    stream_incremental_catalog(feed, path, tie="event_id", buckets=STREAM_BUCKETS).start().awaitTermination()
+    return upsert.read_table(spark, path).select("id", "name", "event_id")
 
 
 @query
@@ -1174,6 +1302,41 @@ def stream_latest_query(spark, d):
     """The newest reading per event type, kept by a stream over the landed files."""
     landed = _events_in_files(spark, d)
     feed = landed.select(F.col("event_id").alias("id"), F.col("event_type").alias("name"), "ts", "value", "props")
-    store = KeyedTable(spark, _folder(spark, "latest"))
-    stream_latest(feed, store, ["name"], "ts").start().awaitTermination()
-    return store.read().select("name", "id", "value", "props")
+    path = _folder(spark, "latest")
+    stream_latest(feed, path, ["name"], "ts", buckets=STREAM_BUCKETS).start().awaitTermination()
+    return upsert.read_table(spark, path).select("name", "id", "value", "props")
+
+
+@query
+def stream_latest_delayed(spark, d):
+    """Readings that land twice, in several batches, through the watermark and its repeat filter.
+
+    The watermark is as wide as the table, so that no reading is too late, however the files
+    are cut; repeats of an id are dropped across batches and across a restart of the stream.
+    """
+    events = table(spark, d, "events")
+    path, latest = _folder(spark, "events_twice"), _folder(spark, "latest_delayed")
+    for _ in range(2):
+        events.repartition(2, "event_id").write.mode("append").parquet(path)
+        landed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        feed = landed.select(F.col("event_id").alias("id"), F.col("user_id").alias("name"), F.col("ts").cast("timestamp").alias("ts"), "value")
+        writer = stream_latest(feed, latest, ["name"], "ts", delay="3650 days", buckets=STREAM_BUCKETS)
+        writer.start().awaitTermination()
+    return upsert.read_table(spark, latest).select("name", "id", "value")
+
+
+@query
+def stream_embed(spark, d):
+    """Vectors of documents that land in files; a third of them lands again with another text."""
+    payload = F.lit(None).cast(schemas.VECTOR_PAYLOAD).alias("payload")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("profile"), payload)
+    docs = docs.withColumn("id", F.col("id").cast("string"))
+    changed = docs.where(F.col("id").cast("bigint") % 3 == 0).withColumn("profile", F.concat("profile", F.lit(" zzz")))
+    path, stored = _folder(spark, "profiles"), _folder(spark, "vectors")
+    for landing in (docs, changed):
+        landing.repartition(2, "id").write.mode("append").parquet(path)
+        feed = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        stream_embed_pending(feed, stored, letter_counts, buckets=STREAM_BUCKETS).start().awaitTermination()
+    found = upsert.read_table(spark, stored)
+    share = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return found.select("id", share.cast("bigint").alias("letters"), F.element_at("vector", 26).cast("bigint").alias("z"))

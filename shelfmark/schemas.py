@@ -1,7 +1,8 @@
 """Schemas of landed catalogue files and of the derived tables.
 
-Nothing is inferred at run time: fields not named here are kept in a raw column by the
-operators that need them.
+Nothing is inferred at run time. Fields not named here are dropped, unless the reader is
+asked to keep records whole beside them (``files.read_catalog(extras=...)``). The names are
+fixed values: they are those of the landed files.
 """
 
 from __future__ import annotations

@@ -157,6 +157,49 @@ def preview_rows(raw: DataFrame, body: str = "raw") -> DataFrame:
     )
 
 
+def preview_values(raw: DataFrame, body: str = "raw") -> DataFrame:
+    """One row per preview record, kept as a variant: the columns of ``raw``, pos, row."""
+    rows = F.try_variant_get(F.try_parse_json(body), "$.data.results", "array<variant>")
+    return raw.select("*", F.posexplode(rows).alias("pos", "row")).drop(body)
+
+
+def wide_preview(rows: DataFrame, row: str = "row") -> DataFrame:
+    """Preview records as one typed table: a column per field that any of them has.
+
+    Names and types are those that fit all records together (one pass, one aggregated schema);
+    a record without a field has NULL there, and a field that clashes with a column of
+    ``rows`` gets ``_field`` behind its name. Fields of mixed kinds stay variants. Records
+    that are no objects have no fields.
+    """
+    objects = F.when(F.schema_of_variant(row).startswith("OBJECT"), F.col(row))
+    schema = rows.select(F.schema_of_variant_agg(objects)).first()[0]
+    taken = {c.lower() for c in rows.columns}
+    fields = []
+    for name, kind in variant_fields(schema or ""):
+        shown = name
+        while shown.lower() in taken:
+            shown += "_field"
+        taken.add(shown.lower())
+        # a path can't name a field with both kinds of quotes
+        quote = '"' if '"' not in name else "'"
+        value, path = F.col(row), f"$[{quote}{name}{quote}]"
+        if quote in name:
+            value, path = F.try_variant_get(row, "$", "map<string,variant>")[name], "$"
+        fields.append(F.try_variant_get(value, path, kind).alias(shown))
+    return rows.select(*[c for c in rows.columns if c != row], *fields)
+
+
+def variant_fields(schema: str) -> list[tuple[str, str]]:
+    """(name, type) of the fields of an aggregated variant schema, as ``OBJECT<a: BIGINT, ...>``."""
+    if not schema.startswith("OBJECT<"):
+        return []
+    kinds = schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    if kinds == "STRUCT<>":
+        return []
+    struct = T.StructType.fromDDL(f"r {kinds}")["r"].dataType
+    return [(f.name, f.dataType.simpleString()) for f in struct]
+
+
 def geo_features(raw: DataFrame, body: str = "raw") -> DataFrame:
     """One row per feature of a FeatureCollection.
 

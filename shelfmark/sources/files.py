@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark import schemas
 from shelfmark.functions.text import join_names, strip_script
@@ -24,17 +25,41 @@ def _read(spark: SparkSession, path: str, schema: str, fmt: str, whole_file: boo
 
 
 def read_catalog(
-    spark: SparkSession, path: str, fmt: str = "json", whole_file: bool = True
+    spark: SparkSession, path: str, fmt: str = "json", whole_file: bool = True, extras: str | None = None
 ) -> DataFrame:
     """Catalogue records; those without an id are dropped.
 
     ``whole_file`` reads files that hold one JSON array each. Large landings come as JSON
-    lines (``whole_file=False``) or parquet, which Spark can split.
+    lines (``whole_file=False``) or parquet, which Spark can split. ``extras`` names a column
+    that keeps each JSON record whole, as a variant beside the typed fields, so that fields
+    outside the schema can be asked for later (:func:`extra_fields`).
     """
-    records = _read(spark, path, schemas.CATALOG, fmt, whole_file)
+    if extras is None:
+        records = _read(spark, path, schemas.CATALOG, fmt, whole_file)
+    else:
+        if fmt != "json":
+            raise ValueError("extras are kept for JSON only")
+        reader = spark.read.option("singleVariantColumn", extras).option("multiLine", whole_file)
+        whole = reader.json(path)
+        if whole_file:  # a file is one array, or a single record
+            listed = F.try_variant_get(extras, "$", "array<variant>")
+            whole = whole.select(F.explode(F.coalesce(listed, F.array(extras))).alias(extras))
+        fields = [
+            F.try_variant_get(extras, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+            for f in T.StructType.fromDDL(schemas.CATALOG)
+        ]
+        records = whole.select(*fields, extras)
     return records.where(truthy("id").isNotNull())
 
 
+def extra_fields(records: DataFrame, extras: str, fields: str) -> DataFrame:
+    """``records`` with ``fields`` (as in a schema, ``license string, tags array<string>``) read
+    from the variant column that :func:`read_catalog` kept; absent or unfitting values are NULL."""
+    wanted = T.StructType.fromDDL(fields)
+    got = {f.name: F.try_variant_get(extras, f"$.{f.name}", f.dataType.simpleString()) for f in wanted}
+    return records.withColumns(got)
+
+
 def read_columns(
     spark: SparkSession, path: str, fmt: str = "json", whole_file: bool = True
 ) -> DataFrame:
