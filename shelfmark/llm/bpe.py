@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.blocks import release_memory
+
 # Distinct pieces a task remembers at least; at twice as many the older ones go.
 PIECES = 80_000
 # Ids per Arrow batch that a task sends on are about this many.
@@ -137,19 +139,6 @@ class WordBPE:
         self.encode_into(text, out)
         return out.tolist()
 
-    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
-        """Texts of many id lists: each id's vocabulary string, joined; null lists are empty."""
-        lists = pc.fill_null(lists, pa.scalar([], type=lists.type)) if lists.null_count else lists
-        table = pa.array([self.strings.get(i) for i in range(max(self.strings) + 1)], pa.string())
-        ids = lists.flatten()
-        if len(ids) and (pc.max(ids).as_py() >= len(table) or pc.min(ids).as_py() < 0):
-            ids = pc.if_else(pc.and_(pc.less(ids, len(table)), pc.greater_equal(ids, 0)), ids, None)
-        strings = table.take(ids)
-        if strings.null_count:
-            return pa.array([self.decode(v.as_py()) for v in lists], pa.string())
-        offsets = pc.subtract(lists.offsets, lists.offsets[0])
-        return pc.binary_join(pa.ListArray.from_arrays(offsets, strings), " ")
-
 
 class Decoder:
     """Vocabulary strings of ids; a file without a decoder puts a space between them."""
@@ -195,16 +184,34 @@ def read_spec(path: str) -> str:
     return json.dumps(spec)
 
 
+def _id_batches(coder: WordBPE, batch: pa.RecordBatch, text_at: int):
+    """Slices of a batch with the id lists of their texts, about OUT_IDS ids each."""
+    start, ids, ends = 0, array("i"), [0]
+    for i, text in enumerate(batch.column(text_at)):
+        coder.encode_into(text.as_py(), ids)
+        ends.append(len(ids))
+        if len(ids) > OUT_IDS or i + 1 == batch.num_rows:
+            values = pa.array(np.frombuffer(ids, dtype=np.int32) if ids else [], pa.int32())
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            yield batch.slice(start, i + 1 - start), lists
+            start, ids, ends = i + 1, array("i"), [0]
+
+
+def _without(docs: DataFrame, *gone: str) -> list:
+    taken = {c.lower() for c in gone}
+    return [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
+
+
 def encode(
     docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids"
 ) -> DataFrame:
     """``docs`` with the token ids of the whole text (array of int).
 
     A null text counts as empty and has no ids. ``out_col`` replaces a column of that name,
-    all others are kept. One pass, no shuffle; each distinct piece is merged once per task.
+    all others are kept. Repeated rows and null ids stay rows of their own; an empty table
+    gives no rows. One pass, no shuffle; each distinct piece is merged once per task.
     """
-    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out_col.lower()]
-    src = docs.select(*rest, F.lit(None).cast("array<int>").alias(out_col))
+    src = docs.select(*_without(docs, out_col), F.lit(None).cast("array<int>").alias(out_col))
     names, schema = src.columns, src.schema
     text_at = names.index(text_col)
     spec = src.sparkSession.sparkContext.broadcast(read_spec(path))
@@ -212,16 +219,8 @@ def encode(
     def run(batches):
         coder = _coder(spec.value)
         for batch in batches:
-            start, ids, ends = 0, array("i"), [0]
-            for i, text in enumerate(batch.column(text_at)):
-                coder.encode_into(text.as_py(), ids)
-                ends.append(len(ids))
-                if len(ids) > OUT_IDS or i + 1 == batch.num_rows:
-                    part = batch.slice(start, i + 1 - start)
-                    values = pa.array(np.frombuffer(ids, dtype=np.int32) if ids else [], pa.int32())
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
-                    start, ids, ends = i + 1, array("i"), [0]
+            for part, lists in _id_batches(coder, batch, text_at):
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=names)
         coder.forget()
         pa.default_memory_pool().release_unused()
 
@@ -232,9 +231,9 @@ def decode(
     docs: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded"
 ) -> DataFrame:
     """``docs`` with the text that the ids stand for; null ids count as none, unknown ids are
-    skipped. ``out_col`` replaces a column of that name, all others are kept."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out_col.lower()]
-    src = docs.select(*rest, F.lit(None).cast("string").alias(out_col))
+    skipped. ``out_col`` replaces a column of that name, all others are kept. Repeated rows
+    stay rows of their own; an empty table gives no rows."""
+    src = docs.select(*_without(docs, out_col), F.lit(None).cast("string").alias(out_col))
     names, schema = src.columns, src.schema
     ids_at = names.index(ids_col)
     spec = src.sparkSession.sparkContext.broadcast(read_spec(path))
@@ -250,3 +249,36 @@ def decode(
         pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, schema)
+
+
+def round_trip(
+    docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded"
+) -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: ``docs`` without the text, its ids, and the
+    text that they stand for. Nulls, repeated and missing rows count as they do there.
+
+    One Python worker a core holds the vocabulary, and lets go of it when its task ends.
+    """
+    src = docs.select(
+        *_without(docs, ids_col, out_col),
+        F.lit(None).cast("array<int>").alias(ids_col),
+        F.lit(None).cast("string").alias(out_col),
+    )
+    names = src.columns
+    text_at = names.index(text_col)
+    kept = [k for k in range(len(names) - 2) if k != text_at]
+    out = src.drop(text_col)
+    spec = src.sparkSession.sparkContext.broadcast(read_spec(path))
+
+    def run(batches):
+        coder, decoder = _coder(spec.value), _decoder(spec.value)
+        for batch in batches:
+            for part, lists in _id_batches(coder, batch, text_at):
+                columns = [part.column(k) for k in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, lists, decoder.decode_lists(lists)], names=[*(names[k] for k in kept), ids_col, out_col]
+                )
+        coder.forget()
+        release_memory(_coder.cache_clear, _decoder.cache_clear)
+
+    return src.mapInArrow(run, out.schema)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfmark.llm.blocks import spare
+from shelfmark.llm.blocks import release_memory, spare
 
 # Bytes of text in one shard: bounds what a task holds, whatever its partition is like.
 SHARD_BYTES = 4 << 20
@@ -252,23 +252,35 @@ def find_spans(
     A text larger than a shard is a shard of its own. The phrases are the stated query set:
     they travel to the tasks in blocks of bounded size, one pass over the documents a block.
     Null and empty texts have no words and no spans; items with a null id or text, or without
-    words, are never found; repeated items count once. The columns named by ``out`` replace
-    columns of ``docs`` of that name; all others are kept.
+    words, are never found; repeated items count once. Repeated rows and rows with a null id
+    are searched like any other; an empty table gives no rows. The columns named by ``out``
+    replace columns of ``docs`` of that name; all others are kept.
     """
-    kinds = ("bigint", "array<array<bigint>>", "array<bigint>")
-    taken = {c.lower() for c in out}
-    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
-    found = docs.select(*rest, *(F.lit(None).cast(k).alias(c) for c, k in zip(out, kinds, strict=True)))
+    found, blocks = _with_columns(docs, out), _item_blocks(benchmark, item_id_col, item_text_col)
     empty = True
-    for block in _item_blocks(benchmark, item_id_col, item_text_col):
+    for block in blocks:
         found = _search_block(found, Phrases(block, window), text_col, out)
         empty = False
     return _search_block(found, Phrases([], window), text_col, out) if empty else found
 
 
+def _with_columns(docs: DataFrame, out: tuple[str, str, str]) -> DataFrame:
+    kinds = ("bigint", "array<array<bigint>>", "array<bigint>")
+    taken = {c.lower() for c in out}
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
+    return docs.select(*rest, *(F.lit(None).cast(k).alias(c) for c, k in zip(out, kinds, strict=True)))
+
+
 def _search_block(
-    docs: DataFrame, phrases: Phrases, text_col: str, out: tuple[str, str, str]
+    docs: DataFrame,
+    phrases: Phrases,
+    text_col: str,
+    out: tuple[str, str, str],
+    cut: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+    cut_schema: T.StructType | None = None,
 ) -> DataFrame:
+    """``docs`` with what one block of phrases finds added to what earlier ones have found;
+    the last pass may go on to ``cut`` the texts."""
     names = docs.columns
     text_at, (words_at, spans_at, items_at) = names.index(text_col), map(names.index, out)
     sent = docs.sparkSession.sparkContext.broadcast(phrases)
@@ -282,7 +294,8 @@ def _search_block(
         columns[words_at] = pa.array([len(t.split()) for t in texts], type=pa.int64())
         columns[spans_at] = pa.array(spans, type=pa.list_(pa.list_(pa.int64())))
         columns[items_at] = pa.array(items, type=pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays(columns, names=names)
+        found = pa.RecordBatch.from_arrays(columns, names=names)
+        return found if cut is None else cut(found)
 
     def run(batches):
         for batch in batches:
@@ -296,8 +309,9 @@ def _search_block(
                 held += len(folded)
             if texts:
                 yield shard(batch.slice(start), texts)
+        release_memory()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema if cut is None else cut_schema)
 
 
 def _union(a: list, b: list) -> list:
@@ -324,30 +338,33 @@ def decontaminate(
     The characters between two cut words go with them; what stands before and after a span
     stays, joined by one space. Texts without a hit are returned as they are, nulls too. All
     columns are kept; ``size_col``, if given, becomes the new number of characters of cut texts.
+    Repeated rows and rows with a null id are cut like any other; an empty table gives no rows.
+    Search and cut are one pass where the phrases fit one block.
     """
     out = spare(docs.columns, "n_words", "spans", "items")
-    found = find_spans(docs, benchmark, text_col, window=window, out=out)
-    names = docs.columns
-    schema = docs.schema
-    found_names = found.columns
+    found = _with_columns(docs, out)
+    names, found_names = docs.columns, found.columns
+    order = [found_names.index(n) for n in names]
     text_at, spans_at = found_names.index(text_col), found_names.index(out[1])
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            spans = batch.column(spans_at).to_pylist()
-            cut = [cut_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
-            order = [found_names.index(n) for n in names]
-            arrays = [batch.column(k) for k in order]
-            arrays[names.index(text_col)] = pa.array(cut, type=batch.schema.field(text_at).type)
-            if size_col is not None:
-                at = names.index(size_col)
-                old = arrays[at].to_pylist()
-                new = [len(c) if s else n for c, s, n in zip(cut, spans, old, strict=True)]
-                arrays[at] = pa.array(new, type=arrays[at].type)
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    return found.mapInArrow(run, schema)
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, spans = batch.column(text_at).to_pylist(), batch.column(spans_at).to_pylist()
+        left = [cut_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
+        arrays = [batch.column(k) for k in order]
+        arrays[names.index(text_col)] = pa.array(left, type=batch.schema.field(text_at).type)
+        if size_col is not None:
+            at = names.index(size_col)
+            old = arrays[at].to_pylist()
+            new = [len(c) if s else n for c, s, n in zip(left, spans, old, strict=True)]
+            arrays[at] = pa.array(new, type=arrays[at].type)
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    last = Phrases([], window)
+    for n, block in enumerate(_item_blocks(benchmark, "item_id", "text")):
+        if n:
+            found = _search_block(found, last, text_col, out)
+        last = Phrases(block, window)
+    return _search_block(found, last, text_col, out, cut, docs.schema)
 
 
 def cut_spans(text: str, spans: list) -> str:
@@ -363,7 +380,3 @@ def cut_spans(text: str, spans: list) -> str:
         at = int(ends[end - 1])
     parts.append(raw[at:].lstrip())
     return b" ".join(p for p in parts if p).decode("utf-8", "surrogatepass")
-
-
-def item_digest(items: list[int]) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()

@@ -5,9 +5,8 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -274,6 +273,10 @@ class Scanner:
         for k, counts in enumerate(self.counts):
             for w, n in counts.items():
                 self.users.setdefault(w, []).append((k, n))
+        # fewest words that are enough
+        self.needed = [
+            next((n for n in range(len(t) + 1) if self._enough(n, t)), 0) if t else 0 for _, t in self.templates
+        ]
         self.telling = [self._telling(k) for k in range(len(self.templates))]
 
     def _enough(self, n: int, template: list[bytes]) -> bool:
@@ -331,47 +334,76 @@ class Scanner:
     def _copies(self, words: list, k: int, at: dict) -> Iterator[list[tuple[int, int]]]:
         """Alignments of a template with every stretch of the text that may hold a copy.
 
-        A copy that lacks at most ``lack`` words begins with one of the first ``lack`` + 1
-        words of the template and ends with one of the last, so all stretches between such
-        words count that have enough of the template's words. Those with most words are
-        aligned first, then the shorter; a stretch is left out where a copy that overlaps it
-        has as many words as it could have.
+        Only words of the template matter, so foreign words in a copy, however many, change
+        nothing. A stretch may hold a copy if it has enough of the template's words in the
+        template's order. Each such stretch is taken as it ends first and starts last; then it
+        grows, up to its neighbours, as long as that adds words. Of the stretches of a copy
+        that add up to one number of words each, the one that aligns best counts.
         """
         template, counts = self.templates[k][1], self.counts[k]
-        size, lack = len(template), 0
-        while lack + 1 < size and self._enough(size - lack - 1, template):
-            lack += 1
-        heads, tails = set(template[: lack + 1]), set(template[-lack - 1 :])
-        hits = sorted((i, w) for w in counts for i in at.get(w, ()))
-        reach = 4 * size + 1
-        stretches = []
-        held: Counter[bytes] = Counter()
-        there = end = 0  # words that count in the ``reach`` from a hit on, and where it ends
-        for n, (a, head) in enumerate(hits):
-            while end < len(hits) and hits[end][0] < a + reach:
-                w = hits[end][1]
-                there += held[w] < counts[w]
-                held[w] += 1
-                end += 1
-            if head in heads and there >= size - lack:
-                seen: Counter[bytes] = Counter()
-                got = 0
-                for b, w in hits[n:end]:
-                    if seen[w] < counts[w]:
-                        seen[w] += 1
-                        got += 1
-                    if w in tails and got >= size - lack:
-                        stretches.append((-got, b - a, a, b + 1))
-            held[head] -= 1
-            there -= held[head] < counts[head]
-        covered = np.zeros(len(words) if stretches else 0, dtype=np.int32)
-        for got, _, a, b in sorted(stretches):
-            if covered[a:b].max() >= -got:
-                continue
-            pairs = align(words[a:b], template)
-            if self._enough(len(pairs), template):
-                np.maximum(covered[a:b], len(pairs), out=covered[a:b])
-                yield [(a + i, j) for i, j in pairs]
+        size, need = len(template), self.needed[k]
+        spots = sorted(i for w in counts for i in at.get(w, ()))
+        found = [words[i] for i in spots]
+        ahead, back = _masks(template), _masks(template[::-1])
+
+        def grown(masks: dict, places: range) -> list[int]:
+            """For 1, 2, ... words in order the place at which so many are there first."""
+            out: list[int] = []
+            for i, held in zip(places, _in_order(masks, size, (found[i] for i in places)), strict=True):
+                if held > len(out):
+                    out.append(i)
+            return out
+
+        tight = []
+        start = 0
+        while start < len(found):
+            end = None
+            for i, held in enumerate(_in_order(ahead, size, found[start:]), start):
+                if held >= need:
+                    end = i
+                    break
+            if end is None:
+                break
+            tight.append((grown(back, range(end, start - 1, -1))[need - 1], end))
+            start = end + 1
+        low = 0
+        for n, (first, _) in enumerate(tight):
+            high = tight[n + 1][0] if n + 1 < len(tight) else len(found)
+            last = grown(ahead, range(first, high))[-1]
+            starts = grown(back, range(last, low - 1, -1))
+            best: list[tuple[int, int]] = []
+            for held in range(len(starts), need - 1, -1):
+                if len(best) >= held:
+                    break
+                a = starts[held - 1]
+                ends = grown(ahead, range(a, last + 1))
+                pairs = align(found[a : ends[held - 1] + 1], template) if len(ends) >= held else []
+                if len(pairs) > len(best):
+                    best = [(a + i, j) for i, j in pairs]
+            low = last + 1
+            if len(best) >= need:
+                yield [(spots[i], j) for i, j in best]
+
+
+def _masks(template: list[bytes]) -> dict[bytes, int]:
+    """For each word, the places of a template that hold it, as bits."""
+    out: dict[bytes, int] = {}
+    for j, w in enumerate(template):
+        out[w] = out.get(w, 0) | 1 << j
+    return out
+
+
+def _in_order(masks: dict[bytes, int], size: int, words: Iterable[bytes]) -> Iterator[int]:
+    """After each word, how many words of a template have been there in its order.
+
+    The number is that of zeros in a row of bits which one addition a word brings up to date.
+    """
+    full = (1 << size) - 1
+    row = full
+    for w in words:
+        hit = row & masks[w]
+        row = (row + hit | row - hit) & full
+        yield size - row.bit_count()
 
 
 def scan_licenses(
@@ -387,6 +419,8 @@ def scan_licenses(
     ``floor``), and the words [``first``, ``end``) between which they lie. Of several
     occurrences the one that covers most counts, then the first. Words of the text count for
     the template that matches most of them, and versions are told apart: see :class:`Scanner`.
+    Any number of foreign words may stand in a copy. Work and memory grow with the words of a
+    text that some template has.
     A name may have several templates. Licences declared by ``SPDX-License-Identifier`` lines
     are entries of coverage 1, whether or not there is a template. A null, empty or clean text
     has an empty list. Repeated rows and null ids stay rows of their own; other columns are
