@@ -34,8 +34,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
     path = public_tokenizers.path(WORD_TOKENIZER)
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    return bpe.decode(encoded.drop("text"), path)
+    return bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
 
 
 STAGES: list[tuple[str, Stage]] = [
