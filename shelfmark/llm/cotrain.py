@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+import pickle
 import zlib
 from collections import Counter
 from collections.abc import Callable
@@ -12,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -259,8 +261,19 @@ def _targets(rows: Rows, y: np.ndarray, judge: Model | None, kind: int, confiden
     return target, use
 
 
-def _sums(table: DataFrame, make: Callable[[Rows, np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """Sum over all rows of the array that ``make`` returns per batch.
+def _ship(df: DataFrame, state: object):
+    """A broadcast of what tasks need of the model, compressed; a few MB at most by the number
+    of slots. It carries its own code, and is destroyed as soon as a fit is done with it."""
+    raw = zlib.compress(cloudpickle.dumps(state), 1)
+    return df.sparkSession.sparkContext.broadcast(raw)
+
+
+def _state(sent):
+    return pickle.loads(zlib.decompress(sent.value))
+
+
+def _sums(table: DataFrame, sent, make: Callable[[dict, Rows, np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """Sum over all rows of the array that ``make`` returns per batch, given what was sent.
 
     A task adds up its batches and sends on one row per key that is not zero; as many rows
     come back as there are keys, whatever the number of documents.
@@ -268,9 +281,10 @@ def _sums(table: DataFrame, make: Callable[[Rows, np.ndarray], np.ndarray], size
 
     def run(batches):
         total: np.ndarray | None = None
+        state = _state(sent)
         for batch in batches:
             if batch.num_rows:
-                got = make(_read(batch), _labels(batch))
+                got = make(state, _read(batch), _labels(batch))
                 total = got if total is None else total + got
         if total is not None:
             at = np.flatnonzero(total)
@@ -283,14 +297,14 @@ def _sums(table: DataFrame, make: Callable[[Rows, np.ndarray], np.ndarray], size
     return out
 
 
-def _count_slots(table: DataFrame, judge: Model | None, confident: float) -> tuple[Slots, Slots]:
+def _count_slots(table: DataFrame, sent, confident: float) -> tuple[Slots, Slots]:
     """Slots of both views from the labels, and from what the other view is sure of."""
     size = FOLDS * 2 * (SLOTS + 1)
 
-    def make(rows: Rows, y: np.ndarray) -> np.ndarray:
+    def make(state: dict, rows: Rows, y: np.ndarray) -> np.ndarray:
         out = np.zeros(2 * size)
         for kind in (WORDS, META):
-            target, use = _targets(rows, y, judge, kind, confident)
+            target, use = _targets(rows, y, state["before"], kind, confident)
             line = (rows.fold * 2 + target.astype(np.int64)) * (SLOTS + 1)
             if kind == WORDS:
                 row = rows.row_of_word()
@@ -302,7 +316,7 @@ def _count_slots(table: DataFrame, judge: Model | None, confident: float) -> tup
             out += np.bincount(keys + kind * size, minlength=2 * size)
         return out
 
-    counts = _sums(table, make, 2 * size).reshape(2, FOLDS, 2, SLOTS + 1)
+    counts = _sums(table, sent, make, 2 * size).reshape(2, FOLDS, 2, SLOTS + 1)
     return tuple(Slots.of(c[:, :, :SLOTS], c[:, :, SLOTS]) for c in counts)
 
 
@@ -311,13 +325,13 @@ class Problem:
     """A logistic regression: ``pick`` gives features, targets of the rows of a batch that count."""
 
     weights: np.ndarray
-    pick: Callable[[Rows, np.ndarray], tuple[np.ndarray, np.ndarray]]
+    pick: Callable[[dict, Rows, np.ndarray], tuple[np.ndarray, np.ndarray]]
     ridge: float = RIDGE
     done: bool = False
 
-    def part(self, rows: Rows, y: np.ndarray) -> np.ndarray:
+    def part(self, state: dict, rows: Rows, y: np.ndarray) -> np.ndarray:
         """Weight, gradient and curvature of a batch."""
-        x, target = self.pick(rows, y)
+        x, target = self.pick(state, rows, y)
         p = _sigmoid(x @ self.weights)
         h = x * (p * (1 - p))[:, None]
         return np.concatenate(([len(x)], x.T @ (p - target), (h.T @ x).ravel()))
@@ -335,7 +349,7 @@ class Problem:
         self.done = bool(np.abs(step).max() <= TOLERANCE)
 
 
-def _solve(table: DataFrame, problems: list[Problem]) -> list[np.ndarray]:
+def _solve(table: DataFrame, sent, problems: list[Problem]) -> list[np.ndarray]:
     """Newton steps of several problems over the same rows until all have converged, one pass
     a step for all."""
     for _ in range(STEPS):
@@ -343,7 +357,7 @@ def _solve(table: DataFrame, problems: list[Problem]) -> list[np.ndarray]:
         if not live:
             break
         sizes = [1 + len(p.weights) + len(p.weights) ** 2 for p in live]
-        sums = _sums(table, lambda r, y, live=live: np.concatenate([p.part(r, y) for p in live]), sum(sizes))
+        sums = _sums(table, sent, lambda c, r, y, live=live: np.concatenate([p.part(c, r, y) for p in live]), sum(sizes))
         for p, total in zip(live, np.split(sums, np.cumsum(sizes)[:-1]), strict=True):
             p.step(total)
     if not all(p.done for p in problems):
@@ -351,12 +365,13 @@ def _solve(table: DataFrame, problems: list[Problem]) -> list[np.ndarray]:
     return [p.weights for p in problems]
 
 
-def _held_out(kinds: tuple[int, ...], views):
-    """Logits of views on the labelled rows that no fit has seen, as features."""
+def _held_out(kinds: tuple[int, ...], lines: dict[int, tuple[np.ndarray, float, float]]):
+    """Logits of views (weights, slope, offset) on the labelled rows that no fit has seen."""
 
-    def pick(rows: Rows, y: np.ndarray):
+    def pick(state: dict, rows: Rows, y: np.ndarray):
         use = ~np.isnan(y) & (rows.fold == 0)
-        z = [views[k].logit(rows.matrix(k, views[k].slots))[use] for k in kinds]
+        views = [(k, View(state["slots"][k], *lines[k])) for k in kinds]
+        z = [view.logit(rows.matrix(k, view.slots))[use] for k, view in views]
         return np.column_stack((*z, np.ones(int(use.sum())))), y[use]
 
     return pick
@@ -364,22 +379,27 @@ def _held_out(kinds: tuple[int, ...], views):
 
 def _fit(table: DataFrame, before: Model | None, confident: float) -> tuple[View, View]:
     """Both views, fitted to the labels and to what the other view of ``before`` is sure of."""
-    slots = _count_slots(table, before, confident)
+    sent = _ship(table, {"before": before})
+    slots = _count_slots(table, sent, confident)
+    sent.destroy()
 
     def examples(kind: int):
-        def pick(rows: Rows, y: np.ndarray):
-            target, use = _targets(rows, y, before, kind, confident)
-            return rows.matrix(kind, slots[kind])[use], target[use]
+        def pick(state: dict, rows: Rows, y: np.ndarray):
+            target, use = _targets(rows, y, state["before"], kind, confident)
+            return rows.matrix(kind, state["slots"][kind])[use], target[use]
 
         return pick
 
+    sent = _ship(table, {"before": before, "slots": slots})
     start = (np.zeros(TEXT_DIM), np.zeros(META_DIM)) if before is None else [v.weights for v in before.views]
-    weights = _solve(table, [Problem(start[k], examples(k)) for k in (WORDS, META)])
+    weights = _solve(table, sent, [Problem(start[k], examples(k)) for k in (WORDS, META)])
     views = tuple(View(slots[k], weights[k]) for k in (WORDS, META))
     lines = [(1.0, 0.0)] * 2 if before is None else [(v.slope, v.offset) for v in before.views]
-    problems = [Problem(np.array(lines[k]), _held_out((k,), views), 1e-4) for k in (WORDS, META)]
-    for view, (slope, offset) in zip(views, _solve(table, problems), strict=True):
+    raw = {k: (weights[k], 1.0, 0.0) for k in (WORDS, META)}
+    problems = [Problem(np.array(lines[k]), _held_out((k,), raw), 1e-4) for k in (WORDS, META)]
+    for view, (slope, offset) in zip(views, _solve(table, sent, problems), strict=True):
         view.slope, view.offset = float(slope), float(offset)
+    sent.destroy()
     return views
 
 
@@ -440,8 +460,11 @@ def train(
         if np.abs(np.concatenate([v.weights for v in model.views]) - last).max() < TOLERANCE:
             break  # neither view has learnt anything from the other
     # the calibrated logits are the features of the combination
-    both = Problem(np.array([1.0, 0.0, 0.0]), _held_out((WORDS, META), model.views), 1e-4)
-    (model.mix,) = _solve(table, [both])
+    sent = _ship(table, {"slots": [v.slots for v in model.views]})
+    lines = {k: (v.weights, v.slope, v.offset) for k, v in enumerate(model.views)}
+    both = Problem(np.array([1.0, 0.0, 0.0]), _held_out((WORDS, META), lines), 1e-4)
+    (model.mix,) = _solve(table, sent, [both])
+    sent.destroy()
     return model, table
 
 
@@ -454,9 +477,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **
     everything scores 0.5 and is kept. Repeated rows are rows of their own; other columns are
     ignored; an empty table gives no rows.
     """
-    model, table = train(docs, labels, id_col=id_col, **options)
+    trained, table = train(docs, labels, id_col=id_col, **options)
+    sent = _ship(table, trained)
 
     def run(batches):
+        model = _state(sent)
         for batch in batches:
             if batch.num_rows:
                 a, b, q = model.score(_read(batch))
@@ -479,13 +504,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     is fitted once; documents are then judged where they are read, in one pass, unshuffled.
     """
     columns = {"text_col": text_col, "lang_col": lang_col, "source_col": source_col, "size_col": size_col}
-    model, _ = train(docs, labels, id_col=id_col, **columns, **options)
+    trained, _ = train(docs, labels, id_col=id_col, **columns, **options)
+    sent = _ship(docs, trained)
     (fold,) = spare(docs.columns, "fold")
     src = docs.withColumn(fold, _fold(id_col))
     names = src.columns
     at = [names.index(c) for c in columns.values()]
 
     def run(batches):
+        model = _state(sent)
         for whole in batches:
             for batch in _texts_in_steps(whole, at[0]):
                 values = [batch.column(k).to_pylist() for k in at]
