@@ -50,12 +50,15 @@ def map_buckets(
     fn: Callable[[int, pa.Table, pa.Table | None], dict | None],
     schema: str,
     block_rows: int = BLOCK_ROWS,
+    *,
+    payload: DataFrame | None = None,
 ) -> DataFrame:
     """Call ``fn(bucket, left, right)`` so that every two members of a bucket meet once.
 
-    ``rows`` holds a bucket id and a member id (both long) with any payload. Buckets of one
-    member are left out. A bucket of up to ``block_rows`` members is one call with ``right``
-    None. A larger one is dealt into slices by a hash of the member, and each pair of slices
+    ``rows`` holds a bucket id and a member id (both long) with any other columns; ``payload``
+    one row per member (by all columns the two share) with the wide ones, which are attached
+    only where a member meets another. Buckets of one member are left out. A bucket of up to
+    ``block_rows`` members is one call with ``right`` None. A larger one
     is a call of its own in its own task, so no task holds a bucket whole and none is cut.
     ``fn`` returns columns as a dict of arrays, or None.
     """
@@ -70,6 +73,8 @@ def map_buckets(
         .withColumn("_b", F.greatest("_s", "_t"))
         .drop("_m", "_k", "_t")
     )
+    if payload is not None:
+        dealt = dealt.join(payload, [c for c in payload.columns if c in rows.columns])
     keys = [bucket, "_a", "_b"]
     arrow_schema = None
 

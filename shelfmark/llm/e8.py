@@ -246,11 +246,10 @@ def near_duplicates(
         .dropDuplicates(["key"])
         .select("key", F.xxhash64("key").alias("node"), "copies", "unit", "cells")
     )
-    rows = members.select(
-        F.explode("cells").alias("cell"), F.col("node").alias("id"), "copies", "unit", "cells"
-    )
+    rows = members.select(F.explode("cells").alias("cell"), F.col("node").alias("id"))
+    wide = members.select(F.col("node").alias("id"), "copies", "unit", "cells")
     schema = "id bigint, gain bigint, root bigint"
-    found = durable(map_buckets(rows, "cell", "id", _links_in_cell(min_cosine), schema))
+    found = durable(map_buckets(rows, "cell", "id", _links_in_cell(min_cosine), schema, payload=wide))
     gains = found.groupBy("id").agg(F.sum("gain").alias("gain"))
     stars = found.select(F.col("id").alias("a"), F.col("root").alias("b"))
     comps = components(stars)
