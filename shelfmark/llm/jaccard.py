@@ -15,6 +15,8 @@ from shelfmark.session import durable
 
 # A broadcast list of ids may hold this many; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
+# Shared tokens of a bucket that are compared at a time.
+STEP_TOKENS = 4_096
 # Hash lists per Arrow batch that a task sends on are about this long.
 OUT_VALUES = 1_000_000
 
@@ -168,21 +170,32 @@ def _pairs_in_bucket(percent: int):
         slot = np.cumsum(keep) - 1
         width = int(keep.sum())
 
-        def incidence(values, off, pos, code):
+        def places(values, off, pos, code):
+            """Shared tokens of one side by slot: slot, row, and whether before this token."""
             row = np.repeat(np.arange(len(off) - 1), np.diff(off))
             at = np.arange(len(values)) - off[:-1][row]
-            use = keep[code]
-            full = np.zeros((len(off) - 1, width), dtype=np.float32)
-            full[row[use], slot[code[use]]] = 1
-            early = use & (at < pos[row])
+            use = np.flatnonzero(keep[code])
+            order = use[np.argsort(slot[code[use]], kind="stable")]
+            return slot[code[order]], row[order], at[order] < pos[row[order]]
+
+        def incidence(side, rows, start):
+            """Rows by the tokens of STEP_TOKENS slots, all of them and those before this one."""
+            a, b = np.searchsorted(side[0], [start, start + STEP_TOKENS])
+            full = np.zeros((rows, STEP_TOKENS), dtype=np.float32)
+            full[side[1][a:b], side[0][a:b] - start] = 1
             head = np.zeros_like(full)
-            head[row[early], slot[code[early]]] = 1
+            early = side[2][a:b]
+            head[side[1][a:b][early], side[0][a:b][early] - start] = 1
             return full, head
 
-        lf, lh = incidence(lt, lo, lp, code[: len(lt)])
-        rf, rh = (lf, lh) if right is None else incidence(rt, ro, rp, code[len(lt) :])
-        shared = lf @ rf.T
-        earlier = lh @ rh.T
+        ls = places(lt, lo, lp, code[: len(lt)])
+        rs = ls if right is None else places(rt, ro, rp, code[len(lt) :])
+        shared, earlier = np.zeros(ok.shape, dtype=np.float32), np.zeros(ok.shape, dtype=np.float32)
+        for start in range(0, width, STEP_TOKENS):
+            lf, lh = incidence(ls, len(li), start)
+            rf, rh = (lf, lh) if right is None else incidence(rs, len(ri), start)
+            shared += lf @ rf.T
+            earlier += lh @ rh.T
         ok &= (earlier == 0) & (shared >= np.minimum(ll[:, None], rl[None, :]))
         a, b = np.nonzero(ok)
         if not len(a):
@@ -309,16 +322,15 @@ def jaccard_components(
     near = durable(_verify(first, sets, percent))
     members = durable(
         keys.select("key", F.col("pos").cast("bigint").alias("pos"), "tok")
-        .join(lists.select("key", "id", "n", "u", "ell", "pre"), "key")
+        .join(lists.select("key", "id"), "key")
         .join(components(near).withColumnRenamed("node", "id"), "id", "left")
         .withColumn("comp", F.coalesce("comp", "id"))
     )
     # buckets that lie within one component are done
     apart = members.groupBy("tok").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-    rows = members.join(apart.where("x < y").select("tok"), "tok", "left_semi").select(
-        "tok", "id", "n", "u", "ell", "pos", "comp", "pre"
-    )
-    pairs = map_buckets(rows, "tok", "id", _pairs_in_bucket(percent), "a bigint, b bigint")
+    rows = members.join(apart.where("x < y").select("tok"), "tok", "left_semi").select("tok", "key", "id", "pos", "comp")
+    wide = lists.select("key", "id", "n", "u", "ell", "pre")
+    pairs = map_buckets(rows, "tok", "id", _pairs_in_bucket(percent), "a bigint, b bigint", payload=wide)
     links = _verify(durable(pairs), sets, percent)
     # an id with several texts ties their classes together
     several = sized.groupBy("id").agg(F.min("key").alias("x"), F.max("key").alias("y"))
