@@ -598,6 +598,11 @@ SELECT coalesce(nullif(s_nationkey, 0)::VARCHAR, 'unknown') AS nation, count(*)
   string_agg(s_suppkey, ',' ORDER BY s_suppkey) AS ids FROM supplier GROUP BY 1
 """
 
+SQL["group_members"] = """
+WITH c AS (SELECT coalesce(nullif(c_nationkey, 0)::VARCHAR, 'unknown') AS nation, c_custkey FROM customer)
+SELECT nation, c_custkey, count(*) OVER (PARTITION BY nation) AS n_ids FROM c
+"""
+
 LINES = """
 lines AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus) - 1 AS pos

@@ -47,13 +47,11 @@ def normalize_title(spark, d):
 
 @query
 def normalize_column(spark, d):
-    # Each spelling is normalised once, not once per document.
-    w = durable(documents(spark, d).select("id", F.explode("columns").alias("c")))
-    names = w.select("c").distinct().withColumn("name", text.normalize_column("c"))
+    # A document's spellings are normalised and made distinct in its row, so one count is left.
+    names = F.array_distinct(F.transform("columns", text.normalize_column))
     return (
-        w.join(names, "c")
-        .select("id", "name")
-        .distinct()
+        documents(spark, d)
+        .select(F.explode(names).alias("name"))
         .groupBy("name")
         .agg(F.count(F.lit(1)).alias("documents"))
     )
@@ -676,6 +674,12 @@ def group_ids(spark, d):
     )
 
 
+@query
+def group_members(spark, d):
+    s = table(spark, d, "customer").withColumn("nation", F.nullif("c_nationkey", F.lit(0)).cast("string"))
+    return catalog.group_members(s, "nation", "c_custkey").select("nation", "c_custkey", "n_ids")
+
+
 # ── ingest ──────────────────────────────────────────────────────────────────────
 
 
