@@ -99,10 +99,23 @@ def _words_of_block(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, np.repeat(first, sizes), sizes
 
 
-def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of ``parts`` equal ranges of hashes starts in the sorted keys."""
-    bounds = np.array([(p << 64) // parts for p in range(1, parts)], dtype=np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, bounds), [len(keys)]))
+def _pieces(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, start, end) of the ranges of hashes, of ``parts`` equal ones, that sorted keys have.
+
+    Only ranges with keys are named, so a block of few n-grams has few pieces however many
+    parts there are.
+    """
+    out, start = [], 0
+    while start < len(keys):
+        part = int(keys[start]) * parts >> 64
+        end = len(keys)
+        if part + 1 < parts:
+            # the first hash of the next range
+            bound = -(-((part + 1) << 64) // parts)
+            end = int(np.searchsorted(keys, np.uint64(bound)))
+        out.append((part, start, end))
+        start = end
+    return out
 
 
 def score_documents(
@@ -124,7 +137,8 @@ def score_documents(
 
     One row per row of ``docs``: id, ``n_words``, ``log_score`` (null without words). Null and
     empty texts have no words; repeated rows are documents of their own; null ids are kept;
-    other columns are ignored; an empty table gives no rows.
+    other columns are ignored; an empty table gives no rows. ``docs`` is read several times, and
+    its rows must come in the same order each time: hand in a scan or a durable table.
 
     Documents are dealt into blocks of about ``block_chars``. A block sends its distinct
     n-grams, with counts, to count tables that are partitioned by hash, each cut sorted; every
@@ -138,7 +152,10 @@ def score_documents(
     dealt = docs.select(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
-        F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int").alias("block"),
+        # the place of a row in its file, so that repeated rows are dealt like any others
+        F.pmod(F.xxhash64(id_col, text_col, F.monotonically_increasing_id()), F.lit(blocks))
+        .cast("int")
+        .alias("block"),
     )
     dealt = _packed(dealt).repartition(blocks, "block")
     gram_schema = pa.schema(
@@ -153,13 +170,9 @@ def score_documents(
         for n in range(1, order + 1):
             grams, ok = grams_of(words, starts, n)
             grams, counts = np.unique(grams[ok], return_counts=True)
-            cut = _cuts(grams, parts)
-            for p in range(parts):
-                g = grams[cut[p] : cut[p + 1]]
-                if len(g):
-                    step = np.diff(g, prepend=np.uint64(0))
-                    c = counts[cut[p] : cut[p + 1]].astype(np.uint32)
-                    rows.append((p, n, block, len(g), _planes(step), _planes(c)))
+            for p, a, b in _pieces(grams, parts):
+                step = np.diff(grams[a:b], prepend=np.uint64(0))
+                rows.append((p, n, block, b - a, _planes(step), _planes(counts[a:b].astype(np.uint32))))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         return pa.Table.from_arrays(
             [pa.array(c, type=f.type) for c, f in zip(columns, gram_schema, strict=True)],
@@ -207,11 +220,7 @@ def score_documents(
             for n in range(1, order + 1):
                 grams, ok = grams_of(words, starts, n)
                 keys, place, counts = np.unique(grams[ok], return_inverse=True, return_counts=True)
-                rest = [
-                    _values(others[n, p][0], np.uint64, others[n, p][1])
-                    for p in range(parts)
-                    if (n, p) in others
-                ]
+                rest = [_values(others[n, p][0], np.uint64, others[n, p][1]) for p, _, _ in _pieces(keys, parts)]
                 total = np.concatenate([np.empty(0, np.uint64), *rest]).astype(np.int64) + counts
                 # less the document's own: each (document, n-gram) counted
                 place += doc[ok] * np.int64(len(keys))

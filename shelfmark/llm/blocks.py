@@ -58,8 +58,9 @@ def map_buckets(
     ``rows`` holds a bucket id and a member id (both long) with any other columns; ``payload``
     one row per member (by all columns the two share) with the wide ones, which are attached
     only where a member meets another. Buckets of one member are left out. A bucket of up to
-    ``block_rows`` members is one call with ``right`` None. A larger one
-    is a call of its own in its own task, so no task holds a bucket whole and none is cut.
+    ``block_rows`` members is one call with ``right`` None. A larger one is dealt into slices
+    by a hash of the member, and each pair of slices is a call of its own in its own task, so
+    no task holds a bucket whole and none is cut.
     ``fn`` returns columns as a dict of arrays, or None.
     """
     counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")

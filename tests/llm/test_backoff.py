@@ -65,3 +65,37 @@ def test_odd_rows(spark):
     assert sorted((str(r.doc_id), r.n_words) for r in got) == [("1", 2), ("1", 2), ("2", 0), ("None", 2)]
     assert len({r.log_score for r in got if r.n_words}) == 1
     assert backoff.score_documents(df.limit(0)).count() == 0
+
+
+def test_many_repeated_rows_and_a_very_long_text(spark, monkeypatch):
+    """Copies of one row go to several blocks; each scores as a document of its own."""
+    seen = spark.sparkContext.accumulator(0)
+    plain = backoff._words_of_block
+
+    def counted(texts):
+        seen.add(1)
+        return plain(texts)
+
+    monkeypatch.setattr(backoff, "_words_of_block", counted)
+    texts = ["same words in every row of this text"] * 60 + ["other " * 30_000, "same words again"]
+    df = spark.createDataFrame([(1 if t.startswith("same words in") else 2, t) for t in texts], "doc_id long, text string")
+    got = backoff.score_documents(df.repartition(3), block_chars=300).collect()
+    want = brute(texts, 3, 0.4)
+    key = lambda r: (r[0], round(r[1], 9))
+    assert sorted(key((r.n_words, r.log_score)) for r in got) == sorted(map(key, want))
+    # each block is read twice
+    assert seen.value >= 2 * 7
+
+
+def test_pieces_cover_the_sorted_keys():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for parts in (1, 2, 3, 7, 1000, 10**9):
+        keys = np.unique(rng.integers(0, 2**63, 50).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        got = backoff._pieces(keys, parts)
+        assert [a for _, a, _ in got] == [0, *(b for _, _, b in got[:-1])] and got[-1][2] == len(keys)
+        for p, a, b in got:
+            assert all(int(k) * parts >> 64 == p for k in keys[a:b])
+        assert len({p for p, _, _ in got}) == len(got)
+    assert backoff._pieces(np.zeros(0, dtype=np.uint64), 5) == []
