@@ -81,6 +81,46 @@ def test_schema_pairs_are_all_pairs(spark):
         expanded |= pairs
     assert expanded == set(want) and sum(r.n_pairs for r in links) == len(want)
 
+def test_pairs_with_one_frequent_word_in_common_are_dropped_by_count(spark):
+    # Every two sets share the word "all", which is rare in none; only twins share more.
+    rows = [(i, sorted(["all", *(f"w{i // 2}-{j}" for j in range(5)), f"own{i}"])) for i in range(60)]
+    df = spark.createDataFrame([(i, c, len(c)) for i, c in rows], "set_id long, tokens array<string>, n int")
+    keys = {r.set_id: r.first for r in setjoin._prefix_keys(df, 0.6, 2000).select("set_id", "first").collect()}
+    assert set(keys.values()) == {setjoin.SHARED_FIRST}
+    found = setjoin.similar_sets(df, 0.6, shared=True).collect()
+    assert {(r.a, r.b) for r in found} == {(i, i + 1) for i in range(0, 60, 2)}
+    assert all(r.shared == sorted(set(rows[r.a][1]) & set(rows[r.b][1])) for r in found)
+
+
+@pytest.mark.parametrize("t", [0.3, 0.6, 0.9])
+def test_long_sets_equal_brute_force_in_small_blocks(spark, monkeypatch, t):
+    monkeypatch.setattr(setjoin, "BLOCK_PAIRS", 5)
+    r = random.Random(5)
+    base = [[f"t{int(300 * r.random() ** 2)}" for _ in range(40)] for _ in range(12)]
+    sets = {}
+    for i in range(150):
+        own = set(base[i % 12]) | {f"x{i}-{j}" for j in range(r.randint(0, 6))}
+        sets[i] = sorted(w for w in own if r.random() < 0.9)
+    distinct = {v: k for k, v in reversed([(k, tuple(s)) for k, s in sets.items()])}
+    sets = {k: list(v) for v, k in distinct.items()}
+    df = spark.createDataFrame([(k, v, len(v)) for k, v in sets.items()], "set_id long, tokens array<string>, n int")
+    got = {(x.a, x.b): x.jaccard for x in setjoin.similar_sets(df, t, 4).collect()}
+    assert got == pytest.approx(brute_pairs(sets, t))
+
+
+def test_pairs_of_datasets_are_made_by_the_last_join(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "MEETING_ROWS", 7)
+    rows = [(i, f"T{i}", ["a", "b", "c"] + ["d"] * (i % 2), ["k"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, title string, columns array<string>, category_slugs array<string>")
+    pairs = evaluation.schema_pairs(df, title="title", shared={"n": lambda c: F.size(c)})
+    # no exchange above the join that makes the pairs
+    top = plan_of(pairs).split("Join")[0]
+    assert "Exchange" not in top
+    got = pairs.collect()
+    assert len(got) == len({(r.dataset_a_id, r.dataset_b_id) for r in got}) == 40 * 39 // 2
+    assert all(r.dataset_a_title == f"T{r.dataset_a_id}" and r.dataset_b_title == f"T{r.dataset_b_id}" for r in got)
+    assert {r.n for r in got} == {3, 4}
+
 
 # ── vectors ─────────────────────────────────────────────────────────────────────
 
