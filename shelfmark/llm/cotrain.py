@@ -406,7 +406,9 @@ def _fit(table: DataFrame, before: Model | None, confident: float) -> tuple[View
 def _labelled(docs: DataFrame, labels: DataFrame, label_id_col: str, label_col: str) -> DataFrame:
     """Feature rows with their label (null where there is none).
 
-    Rows without an id have no label and take no part in the join.
+    Rows without an id have no label and take no part in the join. Labels grow with the
+    documents, so both sides are dealt by id whatever their size: a join that sends all labels
+    to every task on small tables would be another one on large tables.
     """
     marks = (
         labels.select(F.col(f"`{label_id_col}`").cast("bigint").alias("id"), F.col(f"`{label_col}`").cast("double").alias("q"))
@@ -414,7 +416,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, label_id_col: str, label_col:
         .groupBy("id")
         .agg((F.avg("q") >= 0.5).cast("double").alias("y"))
     )
-    known = _featured(docs.where("id is not null")).join(marks, "id", "left")
+    known = _featured(docs.where("id is not null")).join(marks.hint("merge"), "id", "left")
     lost = _featured(docs.where("id is null")).withColumn("y", F.lit(None).cast("double"))
     return known.unionByName(lost)
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from conftest import plan_of
 from shelfmark.llm import cotrain
 
 
@@ -245,3 +246,11 @@ def test_clashing_names_keep_their_values(spark):
     assert 0 < len(rows) < 80 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
     scored = {r.doc_id: r.kept for r in cotrain.score_quality(df, marks).collect()}
     assert {r.doc_id for r in rows} == {i for i, k in scored.items() if k}
+
+
+def test_labels_are_joined_in_the_same_way_on_small_tables(spark):
+    docs = spark.createDataFrame([(1, 1, "a b", "en", "s", 3)], "id long, fold int, t string, l string, s string, c long")
+    marks = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    joined = cotrain._labelled(docs, marks, "doc_id", "quality")
+    assert "SortMergeJoin" in plan_of(joined) and "BroadcastHashJoin" not in plan_of(joined)
+    assert [r.y for r in joined.collect()] == [1.0]
