@@ -40,7 +40,7 @@ from shelfmark.operators.groups import attach_counts, skew_join
 from shelfmark.operators.rank import diversify, topk_per_key
 from shelfmark.operators.setjoin import EPS
 from shelfmark.operators.vectors import TIE_DIGITS, matrix, vector_reach, vector_topk
-from shelfmark.session import durable
+from shelfmark.session import BROADCAST_BYTES, durable
 
 SCOPES = ("global", "category", "organization")
 # First look: this many of a target's rarest tokens, and neighbours per token.
@@ -179,20 +179,51 @@ def _title_score() -> Column:
     return F.when(either > 0, shared / either).otherwise(F.lit(0.0))
 
 
-def score_pairs(pairs: DataFrame, recs: DataFrame, weights: Weights, linked: Linked | None = None) -> DataFrame:
+def _held(fields: DataFrame) -> int:
+    """About how many bytes the records take in memory."""
+    arrays = [c for c, kind in fields.dtypes if kind == "array<string>"]
+    texts = [c for c, kind in fields.dtypes if kind == "string"]
+    each = F.lit(64)
+    for c in arrays:
+        each = each + F.coalesce(F.octet_length(F.concat_ws("", c)) + 24 * F.size(c), F.lit(0))
+    for c in texts:
+        each = each + F.coalesce(F.octet_length(c), F.lit(0))
+    if "unit" in fields.columns:
+        each = each + F.coalesce(8 * F.size("unit"), F.lit(0))
+    return fields.agg(F.coalesce(F.sum(each), F.lit(0))).first()[0]
+
+
+def score_pairs(
+    pairs: DataFrame,
+    recs: DataFrame,
+    weights: Weights,
+    linked: Linked | None = None,
+    floors: DataFrame | None = None,
+) -> DataFrame:
     """Scores of (target_id, id) pairs: the parts that have a weight, and the sum.
 
-    A few candidates may be paired with every target (the first of a scope, or neighbours on
-    a frequent word), so their pairs are dealt into parts before records are attached. A
-    cosine below zero, or of a record without a vector, counts as zero.
+    Only the fields that are compared go to the pairs. Records of a checked size are sent to
+    every task and the pairs stay in place. Beyond that a few candidates may be paired with
+    every target (the first of a scope, or neighbours on a frequent word), so their pairs are
+    dealt into parts before records are attached. With ``floors`` (target_id, floor, last) pairs
+    that come after that score and id are dropped as they are scored. A cosine below zero, or of a
+    record without a vector, counts as zero.
     """
     pairs = durable(pairs)
+    compared = ["series", "columns", "title_words", "frequency", "covered", *(["unit"] if weights.embedding else [])]
+    fields = recs.select("id", *compared)
+    in_place = _held(fields) <= BROADCAST_BYTES
     largest = F.greatest(F.size("x.columns"), F.size("y.columns"))
     matched = F.size(F.array_intersect("x.columns", "y.columns")).cast("double")
     if linked is not None:
         matched = F.coalesce("p.matched", F.lit(0.0))
-    y = recs.select("id", F.struct(*[c for c in recs.columns if c != "id"]).alias("y"))
-    met = skew_join(pairs, y, ["id"], salt_rows=PAIR_ROWS)
+    y = fields.select("id", F.struct(*compared).alias("y"))
+    met = pairs.join(F.broadcast(y), "id") if in_place else skew_join(pairs, y, ["id"], salt_rows=PAIR_ROWS)
+    x = fields.drop("series")
+    if floors is not None:
+        x = x.join(floors.withColumnRenamed("target_id", "id"), "id", "left")
+    if in_place:
+        x = F.broadcast(x)
     if linked is not None:
         met = met.join(_matched(pairs, linked), ["target_id", "id"], "left")
     parts = {
@@ -211,14 +242,19 @@ def score_pairs(pairs: DataFrame, recs: DataFrame, weights: Weights, linked: Lin
         embedding = F.col("embedding_similarity")
     scored = (
         met.alias("p")
-        .join(recs.alias("x"), F.col("p.target_id") == F.col("x.id"))
+        .join(x.alias("x"), F.col("p.target_id") == F.col("x.id"))
         .select(*[f"p.{c}" for c in pairs.columns], F.col("y.series").alias("series"),
-                *[v.alias(k) for k, v in parts.items()])
+                *[v.alias(k) for k, v in parts.items()],
+                *(["x.floor", "x.last"] if floors is not None else []))
     )
     total = weighted_score(
         F.col("column_overlap"), F.col("title_similarity"), F.col("temporal_compatibility"), weights, embedding
     )
-    return scored.withColumn("score", total)
+    scored = scored.withColumn("score", total)
+    if floors is None:
+        return scored
+    open_ = F.col("last").isNull() | (F.col("score") > F.col("floor"))
+    return scored.where(open_ | ((F.col("score") == F.col("floor")) & (F.col("id") < F.col("last")))).drop("floor", "last")
 
 
 def _order() -> list[Column]:
@@ -540,11 +576,16 @@ def similar_in_scope(
     at_hand = at_hand.where(F.col("target_id") != F.col("id")).distinct()
     first = durable(score_pairs(at_hand, recs, w, linked))
 
-    kth = (
-        diversify(first.select("target_id", "id", "series", "score"), ["target_id"], "series", _order(), k)
-        .groupBy("target_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s"))
-        .select("target_id", F.when(F.col("n") >= k, F.col("s")).otherwise(0.0).alias("floor"))
+    # The k best of these stand for all of them: what is not among them is behind k series.
+    ahead = durable(diversify(first, ["target_id"], "series", _order(), k).drop("rank"))
+    kth = durable(
+        ahead.groupBy("target_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct((-F.col("score")).alias("s"), "id")).alias("last"))
+        .select(
+            "target_id",
+            F.when(F.col("n") >= k, -F.col("last.s")).otherwise(0.0).alias("floor"),
+            F.when(F.col("n") >= k, F.col("last.id")).alias("last"),
+        )
     )
     # What a pair must bring from columns and title to reach the floor with the full time part.
     bonus = (F.col("frequency").isNotNull().cast("int") + F.col("covered").cast("int")) * 0.5
@@ -552,7 +593,7 @@ def similar_in_scope(
     floors = (
         chosen.select(F.col("id").alias("target_id"), "frequency", "covered")
         .distinct()
-        .join(kth, "target_id", "left")
+        .join(kth.drop("last"), "target_id", "left")
         .select("target_id", excess.alias("excess"))
     )
     bounds = _bounds(
@@ -563,7 +604,7 @@ def similar_in_scope(
     if w.embedding:
         found = found.unionByName(_vector_reach(scoped, chosen, bounds))
     new = found.distinct().join(first.select("target_id", "id"), ["target_id", "id"], "left_anti")
-    scored = first.unionByName(score_pairs(new, recs, w, linked))
+    scored = ahead.unionByName(score_pairs(new, recs, w, linked, kth))
     best = diversify(scored, ["target_id"], "series", _order(), k)
     return best.withColumn("scope", F.lit(scope)).drop("series")
 

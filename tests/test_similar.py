@@ -156,3 +156,30 @@ def test_hot_candidates_are_dealt(spark, monkeypatch):
     df = spark.createDataFrame(rows, RECORD)
     got = {(r.target_id, r["rank"]): (r.dataset_id, r.score) for r in sim.similar_datasets(df, scopes=("global",)).collect()}
     assert got == brute_similar(rows, "global", sim.Options(), equal_columns)
+
+
+def test_only_pairs_that_can_still_win_are_scored_on(spark):
+    recs = spark.createDataFrame(
+        [(i, f"T{i}", f"s{i}", "o", ["k"], None, False, ["a", "b"]) for i in range(6)],
+        "id long, title string, series_key string, organization_id string, category_slugs array<string>, "
+        "frequency string, covered boolean, columns array<string>",
+    )
+    framed = sim.frame(recs)
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 6)], "target_id long, id long")
+    (score,) = {r.score for r in sim.score_pairs(pairs, framed, sim.DEFAULT_WEIGHTS).collect()}
+    floors = spark.createDataFrame([(0, score, 3)], "target_id long, floor double, last long")
+    left = sim.score_pairs(pairs, framed, sim.DEFAULT_WEIGHTS, floors=floors)
+    assert sorted(r.id for r in left.collect()) == [1, 2] and "floor" not in left.columns
+    lower = spark.createDataFrame([(0, score / 2, 3)], "target_id long, floor double, last long")
+    assert sim.score_pairs(pairs, framed, sim.DEFAULT_WEIGHTS, floors=lower).count() == 5
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 27])
+def test_same_scores_whether_records_are_sent_or_dealt(spark, monkeypatch, limit):
+    monkeypatch.setattr(sim, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(sim, "PAIR_ROWS", 4)
+    rows = [(i, f"T{i}", f"s{i}", None, [], "Annual", True, [f"c{i // 4}"]) for i in range(40)]
+    framed = sim.frame(spark.createDataFrame(rows, RECORD))
+    pairs = spark.createDataFrame([(i, j) for i in range(40) for j in (0, 1) if i != j], "target_id long, id long")
+    got = {(r.target_id, r.id): r.column_overlap for r in sim.score_pairs(pairs, framed, sim.DEFAULT_WEIGHTS).collect()}
+    assert got == {(i, j): float(i // 4 == 0) for i in range(40) for j in (0, 1) if i != j}
