@@ -31,9 +31,14 @@ from shelfmark.session import BROADCAST_BYTES, durable
 # in a matrix product.
 TIE_DIGITS = 9
 # Queries per matrix product inside a task.
-STEP = 256
-# Vectors of one side in one grid task.
+STEP = 128
+# Corpus rows that give a query its first floor, before it meets all of them.
+LOOK = 1_024
+# A corpus of fewer rows is dealt over all cores when this many queries scan it.
+SPREAD_ROWS, SPREAD_QUERIES = 4_000_000, 1_000
+# Vectors of one side in one grid task: this many at least, more where they are short.
 SLICE_ROWS = 8_192
+SLICE_BYTES = 8 * 1024 * 1024
 MAX_PIVOTS = 512
 
 
@@ -69,6 +74,8 @@ class _Side:
         self.within = _ids(_flat(data.column("within"))) if "within" in names else None
         self.one_per = _ids(_flat(data.column("one_per"))) if "one_per" in names else None
         self.floor = data.column("floor").to_numpy() if "floor" in names else None
+        # Score of the k-th best of each query so far, where a task has one.
+        self.least: np.ndarray | None = None
 
 
 def _codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,20 +125,39 @@ def _nothing() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _best_of(q, c, q_rows, c_rows, k, threshold, drop_self):
-    """The same for chosen rows of either side."""
+    """The same for chosen rows of either side.
+
+    All pairs are compared in single precision first. What can reach a query's floor, by the
+    bound on the error of such a product, is scored in double precision.
+    """
     rows, cols, vals = [], [], []
     unit, c_ids = c.unit[c_rows], c.ids[c_rows]
-    groups = None if c.one_per is None else c.one_per[c_rows]
+    groups = None if c.one_per is None else np.unique(c.one_per[c_rows], return_inverse=True)[1]
+    near, slack = unit.astype(np.float32).T, (unit.shape[1] + 8) * float(np.finfo(np.float32).eps)
+    look = np.linspace(0, len(c_rows) - 1, min(LOOK, len(c_rows))).astype(np.int64)
     for start in range(0, len(q_rows), STEP):
         mine = q_rows[start : start + STEP]
-        s = np.round(q.unit[mine] @ unit.T, TIE_DIGITS) + 0.0
+        asked = q.unit[mine]
+        floor = np.full(len(mine), -2.0 if threshold is None else threshold) if q.floor is None else q.floor[mine]
+        least = np.full(len(mine), -2.0) if q.least is None else q.least[mine].copy()
+        if k is not None and len(c_rows) > k:
+            for seen in (look, slice(None))[: 1 + (len(look) < len(c_rows))]:
+                new = np.flatnonzero(least == -2.0)
+                if len(new):
+                    own = q.ids[mine[new], None] == c_ids[seen] if drop_self else None
+                    least[new] = _kth(asked[new] @ unit[seen].T, own, None if groups is None else groups[seen], k)
+        floor = np.maximum(floor, least)
+        close = asked.astype(np.float32) @ near
+        r, col = np.divmod(np.flatnonzero(close >= (floor - slack)[:, None].astype(np.float32)), close.shape[1])
+        if len(r) * 32 > close.size:
+            v = (asked @ unit.T)[r, col]
+        else:
+            v = np.einsum("ij,ij->i", asked[r], unit[col])
+        v = np.round(v, TIE_DIGITS) + 0.0
+        kept = v >= floor[r]
         if drop_self:
-            s[q.ids[mine, None] == c_ids[None, :]] = -np.inf
-        floor = np.full(len(s), -2.0 if threshold is None else threshold) if q.floor is None else q.floor[mine]
-        if k is not None and groups is None and s.shape[1] > k:
-            floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
-        r, col = np.nonzero(s >= floor[:, None])
-        v = s[r, col]
+            kept &= q.ids[mine][r] != c_ids[col]
+        r, col, v = r[kept], col[kept], v[kept]
         if k is not None and len(r):
             keep = _cut(r, v, c_ids[col], None if groups is None else groups[col], k)
             r, col, v = r[keep], col[keep], v[keep]
@@ -143,6 +169,21 @@ def _best_of(q, c, q_rows, c_rows, k, threshold, drop_self):
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
 
 
+def _kth(s: np.ndarray, own: np.ndarray | None, groups: np.ndarray | None, k: int) -> np.ndarray:
+    """A score that the k-th best of a row does not fall below, each group counted once; else -2."""
+    if own is not None:
+        s[own] = -np.inf
+    if groups is not None:
+        order = np.argsort(groups, kind="stable")
+        starts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+        if len(starts) < len(groups):
+            s = np.maximum.reduceat(s[:, order], starts, axis=1)
+    if s.shape[1] < k:
+        return np.full(len(s), -2.0)
+    # Sums in another order differ by less than the digits that count.
+    return np.maximum(np.partition(s, -k, axis=1)[:, -k] - 2 * 10.0**-TIE_DIGITS, -2.0)
+
+
 def _emit(schema: pa.Schema, q_col, c_col, r, c, v) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
@@ -198,6 +239,7 @@ def _scan(queries, corpus, k, threshold, drop_self) -> DataFrame:
                 keep = _cut(*new[:4], k)
                 new = [None if x is None else x.take(pa.array(keep)) if isinstance(x, pa.Array) else x[keep] for x in new]
             best = new
+            q.least = _least(best[0], best[1], len(q.unit), k)
         if best is not None:
             r, v, _, _, ids = best
             yield _emit(schema, q.id_column, ids, r, np.arange(len(r)), v)
@@ -205,6 +247,13 @@ def _scan(queries, corpus, k, threshold, drop_self) -> DataFrame:
     return corpus.mapInArrow(search, out)
 
 
+def _least(r: np.ndarray, v: np.ndarray, n: int, k: int) -> np.ndarray:
+    """The smallest score of each of n queries that has its k rows, else -2."""
+    least = np.full(n, np.inf)
+    np.minimum.at(least, r, v)
+    return np.where(np.bincount(r, minlength=n) >= k, least, -2.0)
+
+
 def _joined(a, b):
     if a is None:
         return None
@@ -355,14 +404,24 @@ def _search(queries, corpus, k, threshold, drop_self, plan, slice_rows) -> DataF
     held = F.size("vector") * 16 + sum(
         (F.octet_length(F.col(c).cast("string")) * 5 + 64 for c in texts), F.lit(8)
     )
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("bytes")).first()
+    size = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("bytes"), F.max(F.size("vector")).alias("dim")
+    ).first()
     if plan == "auto":
         plan = "scan" if size["bytes"] <= BROADCAST_BYTES else "grid"
-    if plan == "scan":
+    if plan == "scan" and size["n"] < SPREAD_QUERIES:
         return _scan(queries, corpus, k, threshold, drop_self)
     n_corpus = corpus.count()
+    if plan == "scan":
+        # Many queries cost far more than a small corpus does to move.
+        if n_corpus <= SPREAD_ROWS:
+            corpus = corpus.repartition(corpus.sparkSession.sparkContext.defaultParallelism)
+        return _scan(queries, corpus, k, threshold, drop_self)
     if not n_corpus or not size["n"]:
         return _scan(queries.limit(0), corpus, k, threshold, drop_self)
+    if slice_rows is None:
+        # A slice travels once for each slice it meets, so short vectors go in longer ones.
+        slice_rows = max(SLICE_ROWS, SLICE_BYTES // (8 * max(size["dim"], 1)))
     return _grid(queries, corpus, k, threshold, drop_self, size["n"], n_corpus, slice_rows)
 
 
@@ -375,7 +434,7 @@ def vector_topk(
     within: str | None = None,
     one_per: str | None = None,
     plan: str = "auto",
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """The k corpus vectors closest to each query: query_id, id, score, rank.
 
@@ -393,7 +452,7 @@ def vector_topk(
 
 
 def vector_pairs(
-    left: DataFrame, right: DataFrame, threshold: float, plan: str = "auto", slice_rows: int = SLICE_ROWS
+    left: DataFrame, right: DataFrame, threshold: float, plan: str = "auto", slice_rows: int | None = None
 ) -> DataFrame:
     """All (query_id, id, score) with a cosine of at least ``threshold``."""
     if threshold <= 0:
@@ -408,7 +467,7 @@ def vector_reach(
     floor: str,
     within: str | None = None,
     plan: str = "auto",
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """All (query_id, id) with a cosine of at least the query's own positive ``floor``, once each.
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +182,44 @@ def test_vector_pairs(spark, plan):
     assert got == want
 
 
+def points(vectors_, **columns):
+    ids = pa.array(range(len(vectors_)))
+    return vectors._Side(pa.table({"id": ids, "vector": pa.array(list(vectors_)), **columns}))
+
+
+@pytest.mark.parametrize("n_groups", [3, 700])
+def test_search_by_group_ranks_few_rows(monkeypatch, n_groups):
+    r = np.random.default_rng(5)
+    m = np.concatenate([r.normal(size=(2900, 16)) + 1.0, np.ones((100, 16))])
+    names = np.arange(3000) % n_groups
+    side = points(m, one_per=pa.array([f"g{i}" for i in names]))
+    ranked = []
+    cut = vectors._cut
+    monkeypatch.setattr(vectors, "_cut", lambda r, *rest: ranked.append(len(r)) or cut(r, *rest))
+    rows, cols, _ = vectors._best(points(m[:200]), side, 5, None, True)
+    assert sum(ranked) < 0.1 * 200 * 3000 or n_groups < 5
+    s = np.round(side.unit[:200] @ side.unit.T, 9)
+    s[np.arange(200), np.arange(200)] = -np.inf
+    for q in range(0, 200, 20):
+        best = {}
+        for i in np.lexsort((np.arange(3000), -s[q])):
+            best.setdefault(names[i], int(i))
+        assert cols[rows == q].tolist() == list(best.values())[:5]
+
+
+def test_scan_keeps_what_ties_over_batches(spark):
+    # the k best lie in the last batch of a task, and ties of the k-th best in all of them
+    near = [[1.0, i / 4000.0] for i in range(4000)]
+    df = spark.createDataFrame([(3999 - i, v) for i, v in enumerate(near)] + [(4000 + i, near[10]) for i in range(50)],
+                               "id long, vector array<double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        hits = vectors.vector_topk(df.where("id = 3999"), df.coalesce(1), 12).orderBy("rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [h.id for h in hits] == [3999 - i for i in range(11)] + [4000]
+
+
 def test_vectors_of_different_length_are_refused(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "id long, vector array<float>")
     with pytest.raises(Exception, match="differ in length"):
