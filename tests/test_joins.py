@@ -12,6 +12,7 @@ from shelfmark.functions.scores import Weights
 from shelfmark.operators import groups, setjoin, vectors
 from shelfmark.plans import evaluation, search, series
 from shelfmark.plans import similar as sim
+from shelfmark.queries import QUERIES
 
 
 def random_sets(seed, n, vocabulary, longest):
@@ -349,6 +350,10 @@ def test_similar_by_column_vectors(spark, seed):
     assert [s for _, s in (got[k] for k in sorted(got))] == pytest.approx([want[k][1] for k in sorted(want)], abs=1e-4)
 
 
+def test_hit_rate_searches_once(spark):
+    assert "MapInArrow" not in plan_of(QUERIES["hit_rate"](spark, "/root/testdata/sf0.001"))
+
+
 def test_similar_for_chosen_targets(spark):
     rows = random_records(5)
     df = spark.createDataFrame(rows, RECORD)
