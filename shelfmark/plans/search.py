@@ -13,7 +13,7 @@ from shelfmark.operators.rank import diversify, last_wins
 from shelfmark.operators.upsert import pending, upsert_vectors
 from shelfmark.operators.vectors import overfetch_topk, resolve_candidates, vector_pairs, vector_topk
 from shelfmark.plans.records import column_entries, unique_columns
-from shelfmark.plans.similar import ColumnMatches, Options, column_matches, frame, present, scope_keys
+from shelfmark.plans.similar import ColumnMatches, ColumnVectors, Options, column_matches, frame, present, scope_keys
 from shelfmark.session import durable
 
 
@@ -63,6 +63,24 @@ def index_columns(columns: DataFrame, fn: EmbedFn, batch_size: int = COLUMN_BATC
     return embed(titles.select("id", "title", "semantic_string"), "semantic_string", fn, batch_size)
 
 
+def _named(column_vectors: DataFrame, key: str) -> DataFrame:
+    """(name, vector) of the columns that have one."""
+    have = column_vectors.where(F.col("vector").isNotNull())
+    if key == "normalized":
+        keyed = have.withColumn("name", normalize_column("title"))
+        keyed = last_wins(keyed, ["name"], "title")
+    else:
+        keyed = have.withColumn("name", F.col("title"))
+    return keyed.select("name", "vector")
+
+
+def column_vectors(vectors: DataFrame, threshold: float = COLUMN_MATCH, key: str = "normalized") -> ColumnVectors:
+    """The same choice of columns as :func:`column_similarity`, without a list of matches."""
+    if threshold <= 0:
+        raise ValueError("a pair search needs a positive threshold")
+    return ColumnVectors(durable(_named(vectors, key)), threshold)
+
+
 def column_similarity(
     column_vectors: DataFrame, threshold: float = COLUMN_MATCH, key: str = "normalized", **options
 ) -> ColumnMatches:
@@ -73,13 +91,7 @@ def column_similarity(
     ``key="raw"`` keeps raw titles: a column then counts only if its normalised name is
     also somebody's raw title. Columns with equal vectors are searched once.
     """
-    have = column_vectors.where(F.col("vector").isNotNull())
-    if key == "normalized":
-        keyed = have.withColumn("name", normalize_column("title"))
-        keyed = last_wins(keyed, ["name"], "title")
-    else:
-        keyed = have.withColumn("name", F.col("title"))
-    named = durable(keyed.select("name", "vector", F.xxhash64("vector").alias("h")))
+    named = durable(_named(column_vectors, key).withColumn("h", F.xxhash64("vector")))
     reps = named.groupBy("h", "vector").agg(F.min("name").alias("rep"))
     reps = durable(reps)
     names = skew_join(named.select("name", "h", "vector"), reps, ["h", "vector"]).select("name", "rep")

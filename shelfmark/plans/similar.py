@@ -40,6 +40,7 @@ from shelfmark.operators.groups import attach_counts, skew_join
 from shelfmark.operators.rank import diversify, topk_per_key
 from shelfmark.operators.setjoin import EPS
 from shelfmark.operators.vectors import TIE_DIGITS, matrix, vector_reach, vector_topk
+from shelfmark.plans.dense import best_in_blocks, with_column_vectors
 from shelfmark.session import BROADCAST_BYTES, durable
 
 SCOPES = ("global", "category", "organization")
@@ -135,6 +136,18 @@ def column_matches(names: DataFrame, pairs: DataFrame) -> ColumnMatches:
     return ColumnMatches(durable(names.select("name", "rep")), durable(looks))
 
 
+@dataclass(frozen=True)
+class ColumnVectors:
+    """Columns by their vectors (name, vector): two match from a cosine of ``threshold`` on.
+
+    For thresholds that a large share of all pairs of columns reaches: no match is listed, and
+    all records of a scope are compared (see ``plans.dense``).
+    """
+
+    names: DataFrame
+    threshold: float
+
+
 @dataclass(frozen=True)
 class Linked:
     """Columns of the records by what they mean: ``entries`` (id, name, rep) and ``looks``."""
@@ -609,6 +622,17 @@ def similar_in_scope(
     return best.withColumn("scope", F.lit(scope)).drop("series")
 
 
+def _similar_in_blocks(
+    recs: DataFrame, scope: str, options: Options, matches: ColumnVectors, targets: DataFrame | None
+) -> DataFrame:
+    """:func:`similar_in_scope` for records with ``vectors``, by comparing all of a scope."""
+    scoped = recs.withColumn("scope_key", F.explode(scope_keys(scope)))
+    chosen = scoped if targets is None else scoped.join(targets.select("id").distinct(), "id", "left_semi")
+    found = best_in_blocks(scoped, chosen, options.weights, matches.threshold, options.k)
+    best = diversify(found, ["target_id"], "series", _order(), options.k)
+    return best.withColumn("scope", F.lit(scope)).drop("series")
+
+
 def present(best: DataFrame, recs: DataFrame, reason: str | None = None) -> DataFrame:
     """Result rows as shown: titles, rounded scores, shared columns, reason."""
     x = recs.select(
@@ -658,21 +682,28 @@ def similar_datasets(
     records: DataFrame,
     options: Options = Options(),
     scopes: tuple[str, ...] = SCOPES,
-    matches: ColumnMatches | None = None,
+    matches: ColumnMatches | ColumnVectors | None = None,
     targets: DataFrame | None = None,
 ) -> DataFrame:
     """Global, category and organisation lists for all datasets, or for ``targets`` (id).
 
     ``matches`` says which columns mean the same by their vectors (see
-    ``search.column_similarity``); without it columns match by equal names. Weights with an
+    ``search.column_similarity``, or ``search.column_vectors`` where most columns match);
+    without it columns match by equal names. Weights with an
     embedding part (``PLANNED_WEIGHTS``) need a ``vector`` column in the records, all vectors
     of one length; a null or zero vector has a cosine of zero with every other, and a
     negative cosine counts as zero.
     """
-    recs, linked = with_matches(frame(records, options), matches)
+    if isinstance(matches, ColumnVectors):
+        recs = with_column_vectors(frame(records, options), matches.names)
+    else:
+        recs, linked = with_matches(frame(records, options), matches)
     best = None
     for scope in scopes:
-        part = similar_in_scope(recs, scope, options, linked, targets)
+        if isinstance(matches, ColumnVectors):
+            part = _similar_in_blocks(recs, scope, options, matches, targets)
+        else:
+            part = similar_in_scope(recs, scope, options, linked, targets)
         best = part if best is None else best.unionByName(part)
     return present(best, recs)
 

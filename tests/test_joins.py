@@ -1,5 +1,6 @@
 """Set joins, vector search and similarity against brute force."""
 
+import dataclasses
 import random
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from shelfmark.functions.scores import Weights
 from shelfmark.operators import groups, setjoin, vectors
-from shelfmark.plans import evaluation, search, series
+from shelfmark.plans import dense, evaluation, search, series
 from shelfmark.plans import similar as sim
 from shelfmark.queries import QUERIES
 
@@ -350,6 +351,43 @@ def test_similar_by_column_vectors(spark, seed):
     assert [s for _, s in (got[k] for k in sorted(got))] == pytest.approx([want[k][1] for k in sorted(want)], abs=1e-4)
 
 
+@pytest.mark.parametrize("scope", ["global", "category"])
+def test_similar_in_blocks_of_column_vectors(spark, monkeypatch, scope):
+    rows = random_records(3, 60)
+    rng = np.random.default_rng(1)
+    names = sorted({c for r in rows for c in r[7]})
+    vecs = {c: np.float32(rng.normal(size=6) + 0.5) for i, c in enumerate(names) if i % 5 < 4}
+    unit = {c: v.astype(float) / np.linalg.norm(v.astype(float)) for c, v in vecs.items()}
+
+    def column_score(a, b):
+        total = 0.0
+        for x in a:
+            best = max((round(float(unit[x] @ unit[y]), 9) for y in b if x in unit and y in unit), default=0.0)
+            total += best if best >= 0.3 else 0.0
+        return total / max(len(a), len(b)) if a and b else 0.0
+
+    table = spark.createDataFrame([(c, v.tolist()) for c, v in vecs.items()], "title string, vector array<float>")
+    monkeypatch.setattr(dense, "BLOCK", 60)
+    matches = search.column_vectors(table, 0.3)
+    # most columns match: no table of matches is made
+    assert [f.name for f in dataclasses.fields(matches)] == ["names", "threshold"] and matches.names.count() == len(vecs)
+    best = sim.similar_datasets(spark.createDataFrame(rows, RECORD), sim.Options(), (scope,), matches)
+    got = {(r.target_id, r["rank"]): (r.dataset_id, r.score) for r in best.collect()}
+    want = brute_similar(rows, scope, sim.Options(), column_score)
+    assert got.keys() == want.keys()
+    assert [got[k][1] for k in sorted(got)] == pytest.approx([want[k][1] for k in sorted(want)], abs=1e-4)
+
+
+def test_strips_cover_all_targets(monkeypatch):
+    class Records:
+        ids, ends = np.arange(6), np.array([0, 3, 3, 50, 51, 51, 60])
+
+    for held in (1, 40, 10_000):
+        monkeypatch.setattr(dense, "STRIP", held)
+        runs = list(dense._strips(Records, 2))
+        assert [i for r in runs for i in range(r.start, r.stop)] == list(range(6))
+
+
 def test_hit_rate_searches_once(spark):
     assert "MapInArrow" not in plan_of(QUERIES["hit_rate"](spark, "/root/testdata/sf0.001"))
 
