@@ -31,7 +31,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as datasets of yearly series: id, title, series_key and catalogue fields."""
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     year = F.lit(2000) + F.col("p_size")
     style = F.pmod("p_partkey", F.lit(3))
     suffix = (

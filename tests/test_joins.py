@@ -443,6 +443,21 @@ def test_series_lists_are_full(spark):
     assert [r.query_id for r in evaluation.series_hits(found, members).collect()] == [0]
 
 
+@pytest.mark.parametrize("between", [",", " + "])
+def test_series_lists_as_texts_of_many_tasks(spark, monkeypatch, between):
+    names = ["9", "10", "é", "100", "1", "11", "11", "0"]
+    rows = [(x, "t", "mixed") for x in names] + [(f"{i}", "t", "big") for i in range(300)] + [("a", "t", "two"), ("b", "t", "two")]
+    members = series.series_members(spark.createDataFrame(rows, "id string, title string, series_key string"))
+    whole = {(r.series_key, r.query_dataset_id): r.relevant_dataset_ids for r in series.series_pairs(members).collect()}
+    monkeypatch.setattr(series, "LIST_IDS", 5_000)
+    told = series.series_pairs(members, between)
+    got = {(r.series_key, r.query_dataset_id): r.relevant_dataset_ids for r in told.collect()}
+    assert got == {k: between.join(v) for k, v in whole.items()} and len(got) == 309
+    # a small table of members, and a long result: one series is listed by several tasks
+    by = told.where("series_key = 'big'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(by) > 4
+
+
 def test_labels_only_where_judged(spark):
     pairs = spark.createDataFrame([(1, 2, True, "rule"), (1, 3, True, "rule")], "a int, b int, joinable boolean, label_source string")
     labels = spark.createDataFrame([(1, 2, False, "r")], "a int, b int, joinable boolean, reasoning string")
