@@ -222,6 +222,14 @@ def test_scan_keeps_what_ties_over_batches(spark):
     assert [h.id for h in hits] == [3999 - i for i in range(11)] + [4000]
 
 
+def test_scan_sends_on_as_much_from_any_number_of_files(spark):
+    # each task sends on k rows per query, so tasks must not grow in number with a small corpus
+    ids = spark.range(1200).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    for parts in (1, 64):
+        found = vectors._search(ids, ids.repartition(parts), 3, None, True, "scan", None)
+        assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_vectors_of_different_length_are_refused(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "id long, vector array<float>")
     with pytest.raises(Exception, match="differ in length"):
