@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,35 @@ def test_pairs_of_datasets_are_made_by_the_last_join(spark, monkeypatch):
     assert {r.n for r in got} == {3, 4}
 
 
+def test_pairs_come_out_block_by_block(spark, monkeypatch, tmp_path):
+    # Three schemas whose datasets take turns, so rows of one schema lie apart in the input.
+    rows = [(i, f"T{i}", [f"{c}{i % 3}" for c in "abc"], ["k"]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, title string, columns array<string>, category_slugs array<string>")
+    told = {"shared": lambda c: F.array_join(c, ",")}
+    for block in (4_096, 7):
+        monkeypatch.setattr(evaluation, "MEETING_ROWS", block)
+        evaluation.schema_pairs(df, title="title", shared=told).write.parquet(f"{tmp_path}/{block}")
+        parts = [pq.read_table(f).to_pylist() for f in sorted((tmp_path / f"{block}").glob("*.parquet"))]
+        pairs = [(r["dataset_a_id"], r["dataset_b_id"]) for p in parts for r in p]
+        assert sorted(pairs) == [(a, b) for a in range(120) for b in range(a + 3, 120, 3)]
+        assert len(pairs) == 3 * 40 * 39 // 2
+        # a schema follows another once per meeting of two blocks, not once per dataset
+        turns = sum(x["shared"] != y["shared"] for p in parts for x, y in zip(p, p[1:]))
+        assert turns < (3 if block > 40 else 3 * 10 * 11 // 2)
+    # a run of one dataset with all of its block
+    ids = [[{r["dataset_a_id"], r["dataset_b_id"]} for r in p] for p in parts]
+    assert sum(not x & y for p in ids for x, y in zip(p, p[1:])) < len(pairs) / 3
+
+
+def test_repeated_and_missing_ids_meet_as_before_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "MEETING_ROWS", 2)
+    rows = [(i, ["a", "b"], ["k"]) for i in (1, 1, 2, 3, 4, 5, None)]
+    df = spark.createDataFrame(rows, "id long, columns array<string>, category_slugs array<string>")
+    got = sorted((r.dataset_a_id, r.dataset_b_id) for r in evaluation.schema_pairs(df).collect())
+    ids = [1, 1, 2, 3, 4, 5]
+    assert got == sorted((a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if a < b)
+
+
 # ── vectors ─────────────────────────────────────────────────────────────────────
 
 
