@@ -10,11 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from shelfmark import queries
 from shelfmark.functions.scores import Weights
 from shelfmark.operators import groups, setjoin, vectors
 from shelfmark.plans import dense, evaluation, search, series
 from shelfmark.plans import similar as sim
 from shelfmark.queries import QUERIES
+from shelfmark.session import durable
 
 
 def random_sets(seed, n, vocabulary, longest):
@@ -155,6 +157,57 @@ def test_repeated_and_missing_ids_meet_as_before_in_blocks(spark, monkeypatch):
     assert got == sorted((a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if a < b)
 
 
+def test_labels_by_group_count_as_labels_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "MEETING_ROWS", 7)
+    sets = random_sets(3, 60, 12, 4)
+    sets |= {i: ["same", "columns", "here"] for i in range(1000, 1030)}
+    rows = [(i, c, [f"c{i % 3}"] if i % 5 else []) for i, c in sets.items()] + [(1003, sets[1003], [])]
+    df = spark.createDataFrame(rows, "id long, columns array<string>, category_slugs array<string>")
+    links, members = evaluation.schema_links(df)
+    fields = ["dataset_a_id", "dataset_b_id", "jaccard_score", "same_category"]
+    pairs = sorted(map(tuple, evaluation.linked_pairs(links, members).collect()))
+    assert pairs == sorted(map(tuple, evaluation.schema_pairs(df, shared={}).select(*fields).collect()))
+    r = random.Random(4)
+    judged = {p[:2] for p in pairs if r.random() < 0.6}
+    # pairs that are none, in the wrong order and of unknown datasets: judgments on nothing
+    judged |= {(b, a) for a, b in list(judged)[:9]} | {(1, 1), (0, 1029), (1, 9999)}
+    labels = [(a, b, r.random() < 0.5, r.choice([True, False, None])) for a, b in sorted(judged)]
+    labels = spark.createDataFrame(labels, "dataset_a_id long, dataset_b_id long, similar boolean, joinable boolean")
+    counts = [F.sum(c).alias(c) for c in ("pairs", "joinable", "similar")]
+    for shipped in (True, False):
+        monkeypatch.setattr(evaluation, "BROADCAST_BYTES", evaluation.BROADCAST_BYTES if shipped else 0)
+        by_group = evaluation.label_links(links, members, labels, "judge")
+        got = {tuple(x) for x in by_group.groupBy("label_source").agg(*counts).collect()}
+        by_pair = evaluation.attach_labels(evaluation.schema_pairs(df, shared={}), labels, fields[:2], "judge")
+        by_pair = by_pair.groupBy("label_source").agg(F.count(F.lit(1)), F.count_if("joinable"), F.count_if("similar"))
+        assert got == {tuple(x) for x in by_pair.collect()} and len(got) == 2
+
+
+def test_judgments_on_all_pairs_are_counted_where_they_lie(spark, monkeypatch, tmp_path):
+    html = "<title>t</title>" + "".join(f'<a href="c{i}">x</a>' for i in range(4))
+    rows = [(i, f"http://h/en/{i}", html) for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    plans = []
+
+    def told(df):
+        plans.append(plan_of(df))
+        return durable(df)
+
+    for module in (evaluation, queries):
+        monkeypatch.setattr(module, "durable", told)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = QUERIES["labeled_pairs"](spark, str(tmp_path))
+        got = {tuple(x) for x in out.collect()}
+        plans.append(plan_of(out))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    of = [a + b for a in range(40) for b in range(a + 1, 40)]
+    judged = [n for n in of if n % 3]
+    assert got == {("judge", len(judged), sum(n % 2 == 0 for n in judged), len(judged)), (None, len(of) - len(judged), 0, 0)}
+    assert not any(f"hashpartitioning(dataset_{s}_id" in p for p in plans for s in "ab")
+
+
 # ── vectors ─────────────────────────────────────────────────────────────────────
 
 
