@@ -36,9 +36,11 @@ STEP = 128
 LOOK = 1_024
 # A corpus of fewer rows is dealt over all cores when this many queries scan it.
 SPREAD_ROWS, SPREAD_QUERIES = 4_000_000, 1_000
-# Vectors of one side in one grid task: this many at least, more where they are short.
+# Vectors of one side in one grid task: this many at least, more where they are short, and of
+# a large table as many as leave a few tasks to a core, up to a bound on their size.
 SLICE_ROWS = 8_192
 SLICE_BYTES = 8 * 1024 * 1024
+MOST_SLICE_BYTES = 64 * 1024 * 1024
 MAX_PIVOTS = 512
 
 
@@ -260,8 +262,18 @@ def _joined(a, b):
     return pa.concat_arrays([a, b]) if isinstance(a, pa.Array) else np.concatenate([a, b])
 
 
-def _pivots(corpus: DataFrame, n: int) -> np.ndarray:
-    count = min(MAX_PIVOTS, max(1, math.isqrt(max(n // SLICE_ROWS, 1)) * 4))
+def _slice_rows(n: int, dim: int, cores: int) -> int:
+    """Rows of a slice of the larger side, n vectors.
+
+    A vector travels once for each slice it meets, so the number of slices stays the same as a
+    table grows, and what is moved grows as the table does, until slices are as large as may be.
+    """
+    least, most = (max(SLICE_ROWS, b // (8 * max(dim, 1))) for b in (SLICE_BYTES, MOST_SLICE_BYTES))
+    return min(max(math.ceil(n / math.ceil(math.sqrt(4 * cores))), least), most)
+
+
+def _pivots(corpus: DataFrame, n: int, rows: int) -> np.ndarray:
+    count = min(MAX_PIVOTS, max(1, math.isqrt(max(n // rows, 1)) * 4))
     picked = corpus.orderBy(F.xxhash64("id"), "id").limit(count).select("vector").toArrow()
     return matrix(picked.column("vector"))
 
@@ -326,10 +338,10 @@ def _routes(queries: DataFrame, pivots, cells, floor: str) -> DataFrame:
     return queries.mapInArrow(route, out).withColumn("cell", F.explode("cells")).drop("cells")
 
 
-def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_rows) -> DataFrame:
+def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_rows, cell_rows=SLICE_ROWS) -> DataFrame:
     sc = corpus.sparkSession.sparkContext
     out = _result_types(queries, corpus)
-    pivots = sc.broadcast(_pivots(corpus, n_corpus))
+    pivots = sc.broadcast(_pivots(corpus, n_corpus, cell_rows))
     placed = durable(_place(corpus, pivots))
     # At most MAX_PIVOTS rows come back.
     stats = (
@@ -419,10 +431,13 @@ def _search(queries, corpus, k, threshold, drop_self, plan, slice_rows) -> DataF
         return _scan(queries, corpus, k, threshold, drop_self)
     if not n_corpus or not size["n"]:
         return _scan(queries.limit(0), corpus, k, threshold, drop_self)
+    cell_rows = SLICE_ROWS
     if slice_rows is None:
-        # A slice travels once for each slice it meets, so short vectors go in longer ones.
-        slice_rows = max(SLICE_ROWS, SLICE_BYTES // (8 * max(size["dim"], 1)))
-    return _grid(queries, corpus, k, threshold, drop_self, size["n"], n_corpus, slice_rows)
+        cores = corpus.sparkSession.sparkContext.defaultParallelism
+        slice_rows = _slice_rows(max(size["n"], n_corpus), size["dim"], cores)
+        # Cells grow with the slices: a query travels once for each cell it visits.
+        cell_rows = SLICE_ROWS * slice_rows // _slice_rows(0, size["dim"], cores)
+    return _grid(queries, corpus, k, threshold, drop_self, size["n"], n_corpus, slice_rows, cell_rows)
 
 
 def vector_topk(

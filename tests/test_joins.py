@@ -256,6 +256,23 @@ def test_vector_topk_equals_brute_force(spark, plan, options):
     assert got == brute_topk(data, 4, **options)
 
 
+def test_slices_of_a_grid_grow_with_the_table(spark, monkeypatch):
+    def slices(n):
+        return -(-n // vectors._slice_rows(n, 64, 12))
+
+    # a vector travels once a slice: as often over 700,000 vectors as over 150,000
+    assert slices(150_000) == slices(300_000) == slices(700_000) == 7
+    assert vectors._slice_rows(20_000, 64, 12) == 16_384 and vectors._slice_rows(10**9, 64, 12) == 131_072
+    seen = []
+    grid = vectors._grid
+    monkeypatch.setattr(vectors, "_grid", lambda *a: seen.append(a[-2:]) or grid(*a))
+    monkeypatch.setattr(vectors, "SLICE_ROWS", 16)
+    monkeypatch.setattr(vectors, "SLICE_BYTES", 0)
+    data, df = vector_table(spark)
+    got = as_dict(vectors.vector_topk(df, df, 4, drop_self=True, plan="grid"))
+    assert got == brute_topk(data, 4) and seen == [(-(-len(data) // 6),) * 2]
+
+
 @pytest.mark.parametrize("plan", ["scan", "grid"])
 def test_vector_pairs(spark, plan):
     data, df = vector_table(spark, n=120, copies=20)
