@@ -42,6 +42,8 @@ SLICE_ROWS = 8_192
 SLICE_BYTES = 8 * 1024 * 1024
 MOST_SLICE_BYTES = 64 * 1024 * 1024
 MAX_PIVOTS = 512
+# Tasks that the meetings of all slices are dealt over, two to a meeting if there are few.
+MOST_TASKS = 2_000
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -301,7 +303,7 @@ def _place(df: DataFrame, pivots) -> DataFrame:
     return df.mapInArrow(place, out)
 
 
-def _grid_join(routed, sliced, k, threshold, drop_self, out) -> DataFrame:
+def _grid_join(routed, sliced, k, threshold, drop_self, out, tasks) -> DataFrame:
     schema = _arrow_schema(out)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -312,6 +314,8 @@ def _grid_join(routed, sliced, k, threshold, drop_self, out) -> DataFrame:
         return pa.Table.from_batches([_emit(schema, q.id_column, c.id_column, *hit)])
 
     left_keys, right_keys = ["q_slice", "cell", "c_slice"], ["r_query", "r_cell", "r_slice"]
+    # By bytes Spark would put several meetings into one task, but they cost seconds, not bytes.
+    routed, sliced = routed.repartition(tasks, *left_keys), sliced.repartition(tasks, *right_keys)
     return routed.groupBy(*left_keys).cogroup(sliced.groupBy(*right_keys)).applyInArrow(search, out)
 
 
@@ -360,6 +364,7 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
         F.col("cell"),
     )
     q_slices = max(1, math.ceil(n_queries / slice_rows))
+    tasks = min(MOST_TASKS, 2 * q_slices * int(slices_per_cell.sum()))
     own = "floor" in queries.columns
 
     placed = placed.withColumn("c_slice", F.pmod(F.xxhash64("id"), per_cell.cast("bigint")))
@@ -376,7 +381,7 @@ def _grid(queries, corpus, k, threshold, drop_self, n_queries, n_corpus, slice_r
         here = (F.col("cell") == F.col("r_cell")) & (F.col("c_slice") == F.col("r_slice"))
         right = placed.join(met, here).drop("cell", "c_slice")
         gone = ("cells", "angle", "n_slices", *(() if own else ("floor",)))
-        return _grid_join(left.drop(*gone), right.drop(*gone), limit, threshold, drop_self, out)
+        return _grid_join(left.drop(*gone), right.drop(*gone), limit, threshold, drop_self, out, tasks)
 
     if k is None:
         asked = queries if own else queries.withColumn("floor", F.lit(float(threshold)))
