@@ -41,6 +41,7 @@ from shelfmark.operators.rank import diversify, topk_per_key
 from shelfmark.operators.setjoin import EPS
 from shelfmark.operators.vectors import TIE_DIGITS, matrix, vector_reach, vector_topk
 from shelfmark.plans.dense import best_in_blocks, with_column_vectors
+from shelfmark.plans.meet import best_of_scope
 from shelfmark.session import BROADCAST_BYTES, durable
 
 SCOPES = ("global", "category", "organization")
@@ -85,7 +86,8 @@ def frame(records: DataFrame, options: Options = Options()) -> DataFrame:
         v = F.col("vector").cast("array<double>")
         length = norm(v)
         unit = F.transform(v, lambda c: c / length)
-        extra = [F.when((F.size(v) > 0) & (length > 0), unit).alias("unit")]
+        there = (F.size(v) > 0) & (length > 0)
+        extra = [F.when(there, unit).alias("unit"), F.when(there, F.col("vector")).alias("vector")]
     return durable(
         records.select(
             "id",
@@ -571,6 +573,11 @@ def similar_in_scope(
     chosen = scoped
     if targets is not None:
         chosen = scoped.join(targets.select("id").distinct(), "id", "left_semi")
+    if linked is None:
+        # What each task has found is kept, since results may be read more than once.
+        found = durable(best_of_scope(scoped, chosen, w, k))
+        best = diversify(found, ["target_id"], "series", _order(), k)
+        return best.withColumn("scope", F.lit(scope)).drop("series")
 
     by_column = _postings(scoped, "tokens", F.size("columns"))
     by_word = _postings(scoped, "title_words", F.size("title_words"))

@@ -1,5 +1,7 @@
 """Similar datasets: the embedding term, columns that match many others, hot candidates."""
 
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from shelfmark.functions.scores import PLANNED_WEIGHTS, Weights
 from shelfmark.operators import vectors
-from shelfmark.plans import search
+from shelfmark.plans import meet, search
 from shelfmark.plans import similar as sim
 from test_joins import RECORD, brute_similar, equal_columns, random_records
 
@@ -183,3 +185,46 @@ def test_same_scores_whether_records_are_sent_or_dealt(spark, monkeypatch, limit
     pairs = spark.createDataFrame([(i, j) for i in range(40) for j in (0, 1) if i != j], "target_id long, id long")
     got = {(r.target_id, r.id): r.column_overlap for r in sim.score_pairs(pairs, framed, sim.DEFAULT_WEIGHTS).collect()}
     assert got == {(i, j): float(i // 4 == 0) for i in range(40) for j in (0, 1) if i != j}
+
+
+@pytest.mark.parametrize("scope", sim.SCOPES)
+@pytest.mark.parametrize("dearer", [0, 1_000])
+def test_blocks_of_a_scope_equal_brute_force(spark, monkeypatch, scope, dearer):
+    """Slices, blocks and classes of equal records change where pairs are compared, not what is found."""
+    for name, value in (("BLOCK", 25), ("SLICE", 16), ("SEEDS", 2), ("DEARER", dearer)):
+        monkeypatch.setattr(meet, name, value)
+    rows = random_records(8, 40)
+    rows += [(i + 40, *r[1:]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, RECORD)
+    got = {(r.target_id, r["rank"]): (r.dataset_id, r.score) for r in sim.similar_datasets(df, scopes=(scope,)).collect()}
+    assert got == brute_similar(rows, scope, sim.Options(), equal_columns)
+
+
+def test_no_table_of_pairs_is_written(spark, monkeypatch):
+    """Records that all share a word and a column: what is kept is a few rows per target, not all pairs."""
+    n, written = 120, []
+    rows = [(i, f"T{i}", f"budget s{i}", "o", [], None, False, ["year", f"c{i % 7}"]) for i in range(n)]
+    plain = sim.durable
+
+    def counted(df):
+        out = plain(df)
+        written.append(out.count())
+        return out
+
+    for module in [m for name, m in sys.modules.items() if name.startswith("shelfmark.")]:
+        if getattr(module, "durable", None) is plain:
+            monkeypatch.setattr(module, "durable", counted)
+    assert sim.similar_datasets(spark.createDataFrame(rows, RECORD), scopes=("organization",)).count() == 5 * n
+    assert max(written) <= 5 * n
+
+
+def test_records_with_several_rows_or_no_lists(spark):
+    """An id with different rows is never its own neighbour; an overlap that is not known comes last."""
+    rows = [
+        (1, "A", "a b", "o", [], "Annual", True, ["x", "y"]), (1, "A", "c", "o", [], None, False, ["x", "y"]),
+        (2, "B", "b", "o", [], "Annual", True, ["x"]), (3, "C", "d", "o", [], None, False, None),
+    ]
+    best = sim.similar_datasets(spark.createDataFrame(rows, RECORD), scopes=("organization",)).where("target_id != 1")
+    got = sorted({(r.target_id, r["rank"], r.dataset_id, r.score) for r in best.collect()})
+    assert [g[:3] for g in got] == [(2, 1, 1), (2, 2, 1), (2, 3, 3), (3, 1, 1), (3, 2, 1), (3, 3, 2)]
+    assert got[2][3] is None
