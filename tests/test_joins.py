@@ -16,6 +16,7 @@ from shelfmark.operators import groups, setjoin, vectors
 from shelfmark.plans import dense, evaluation, search, series
 from shelfmark.plans import similar as sim
 from shelfmark.queries import QUERIES
+from shelfmark import session
 from shelfmark.session import durable
 
 
@@ -585,3 +586,16 @@ def test_topk_is_cut_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = plan_of(topk_per_key(df, ["k"], [F.col("id").desc()], 2))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_tables_of_a_set_join_go_when_they_are_read(spark, monkeypatch):
+    """Of the tables behind a list of pairs only those that it reads are left, and no shuffle files."""
+    made = []
+    for module in (evaluation, setjoin):
+        monkeypatch.setattr(module, "durable", lambda df: made.append(durable(df)) or made[-1])
+    rows = [(i, [f"w{j}" for j in range(i % 9, i % 9 + 6)], ["k"]) for i in range(60)]
+    sets = spark.createDataFrame(rows, "id long, columns array<string>, category_slugs array<string>")
+    pairs = evaluation.schema_pairs(sets, shared={})
+    left = [df for df in made if df._table in session._tables]
+    assert pairs.count() and len(left) < len(made) / 2
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
