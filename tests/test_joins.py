@@ -588,6 +588,16 @@ def test_topk_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_joinable_pairs_stay_where_they_are_made(spark):
+    """Only the few results are moved; repeated cases and cases without results count."""
+    rows = [(1, 2, True), (1, 2, True), (2, 3, True), (4, None, True), (5, 6, False)]
+    labeled = spark.createDataFrame(rows, "dataset_a_id long, dataset_b_id long, joinable boolean")
+    similar = spark.createDataFrame([(1, 2), (1, 2), (3, 2), (5, 6)], "target_id long, dataset_id long")
+    rate = evaluation.evaluate_joinable(similar, labeled)
+    assert [tuple(r) for r in rate.collect()] == [(4, 2, 0.5)]
+    assert "hashpartitioning" not in plan_of(rate)
+
+
 def test_tables_of_a_set_join_go_when_they_are_read(spark, monkeypatch):
     """Of the tables behind a list of pairs only those that it reads are left, and no shuffle files."""
     made = []
