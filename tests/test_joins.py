@@ -609,3 +609,20 @@ def test_tables_of_a_set_join_go_when_they_are_read(spark, monkeypatch):
     left = [df for df in made if df._table in session._tables]
     assert pairs.count() and len(left) < len(made) / 2
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_long_lists_of_members_are_not_shipped(spark, monkeypatch):
+    """Lists that go to every task twice have a smaller limit than a table that goes once."""
+    sets = spark.createDataFrame(
+        [(i, [f"c{i % 3}"], ["k"], f"T{i}") for i in range(40)],
+        "id long, columns array<string>, category_slugs array<string>, title string",
+    )
+    held = 40 * (64 + 2) + 40 * 3
+    monkeypatch.setattr(evaluation, "BROADCAST_BYTES", held * 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = evaluation.schema_pairs(sets, title="title", shared={})
+        assert "BroadcastHashJoin" not in plan_of(pairs)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert pairs.count() == 14 * 13 // 2 + 2 * (13 * 12 // 2)
